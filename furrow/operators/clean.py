@@ -27,8 +27,9 @@ def clean_readings(
 
 
 def strict_measures(readings: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
-    """Cast to double and fail on text that is no number (ANSI mode)."""
-    return readings.withColumns({name: F.col(name).cast("double") for name in measures})
+    """Cast to double and fail on text that is no number (ANSI mode); doubles stay untouched."""
+    other = [name for name in measures if dict(readings.dtypes)[name] != "double"]
+    return readings.withColumns({name: F.col(name).cast("double") for name in other})
 
 
 def with_time_parts(readings: DataFrame, time: str = "timestamp") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from furrow.functions.columns import reading_hour
 from furrow.functions.rules import DRY_SOIL, IRRIGATION_LABEL, MEASURES
 from furrow.operators.clean import strict_measures, with_calendar
-from furrow.operators.series import along, lag, lead, trailing_mean
+from furrow.operators.series import Cut, along, lag, lead, trailing_mean
 from furrow.sources.files import require_columns
 
 # ---- Fixed values: feature names in model order ----
@@ -47,27 +47,27 @@ def interactions(readings: DataFrame) -> DataFrame:
     })
 
 
-def sensor_trends(readings: DataFrame, segment: str | None = "day") -> DataFrame:
+def sensor_trends(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
     """Changes since the sensor's previous reading and means of its last three."""
     trended = along(readings, ["sensor_id"], {
         "previous_temperature": lag("temperature"),
         "previous_soil_moisture": lag("soil_moisture"),
         **{f"{name}_rolling_avg": trailing_mean(name) for name in ROLLING},
-    }, segment=segment)
+    }, cut=cut)
     return trended.withColumns({
         f"{name}_change": F.col(name) - F.col(f"previous_{name}")
         for name in ("temperature", "soil_moisture")
     })
 
 
-def irrigation_features(readings: DataFrame, segment: str | None = "day") -> DataFrame:
+def irrigation_features(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
     """Ids, 19 features without NULLs, and the 0/1 label.
 
     The label is a rule over two of the features, so a model on it re-learns that rule; read its
     accuracy as a check of the wiring, not as forecasting skill.
     """
     columns = ["reading_id", "sensor_id", "farm_id", "timestamp"]
-    trended = sensor_trends(readings.select(*columns, *MEASURES), segment)
+    trended = sensor_trends(readings.select(*columns, *MEASURES), cut)
     built = with_calendar(interactions(trended), "timestamp", hour="reading_hour", month_day=True)
     labelled = built.withColumn(IRRIGATION_TARGET, IRRIGATION_LABEL.column())
     filled = labelled.fillna(0, list(IRRIGATION_FEATURES))
@@ -81,7 +81,7 @@ def farm_hour_means(readings: DataFrame) -> DataFrame:
     )
 
 
-def next_moisture_features(readings: DataFrame, segment: str | None = "hour") -> DataFrame:
+def next_moisture_features(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
     """13 features and the soil moisture of the farm's next reading.
 
     Rows follow (timestamp, reading_id) per farm. The next reading may be another sensor in the
@@ -93,7 +93,7 @@ def next_moisture_features(readings: DataFrame, segment: str | None = "hour") ->
         **{f"soil_moisture_lag_{n}": lag("soil_moisture", n) for n in (1, 2, 3)},
         **{f"{name}_rolling_avg_3": trailing_mean(name, -3, -1) for name in LAGGED_ROLLING},
         MOISTURE_TARGET: lead("soil_moisture"),
-    }, segment=segment)
+    }, cut=cut)
     return with_calendar(series.withColumn("reading_hour", reading_hour()), "reading_hour")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from furrow.functions import rules
 from furrow.functions.columns import mean_of_rounded, reading_date, reading_hour, round2
 from furrow.operators.quality import fill_by_type
-from furrow.operators.series import temperature_trend
+from furrow.operators.series import Cut, temperature_trend
 
 PROCESSED = "_gold_processed_timestamp"
 
@@ -83,7 +83,7 @@ def irrigation_alerts(readings: DataFrame) -> DataFrame:
     return _publish(alerts)
 
 
-def environment_trend(readings: DataFrame, segment: str | None = "day") -> DataFrame:
+def environment_trend(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
     """Hourly means per farm and sensor beside the farm's temperatures of that day.
 
     Missing values count as 0 in the means. The farm's daily figures are equal for every reading
@@ -92,7 +92,7 @@ def environment_trend(readings: DataFrame, segment: str | None = "day") -> DataF
     or_zero = lambda column: F.coalesce(column, F.lit(0))
     trend = temperature_trend(
         readings.select("reading_id", "farm_id", "sensor_id", "timestamp", *rules.MEASURES),
-        ["farm_id", "sensor_id"], rounded=True, segment=segment,
+        ["farm_id", "sensor_id"], rounded=True, cut=cut,
     )
     hourly = _summary(trend, ["farm_id", "sensor_id", reading_hour()], {
         **{f"avg_{name}": round2(F.avg(or_zero(F.col(name)))) for name in rules.MEASURES},

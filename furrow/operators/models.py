@@ -37,12 +37,23 @@ def hashed_split(df: DataFrame, key: str, train_share: float = TRAIN_SHARE, seed
     return df.withColumn("split", F.when(digest.substr(1, 4) < limit, "train").otherwise("test"))
 
 
+def spread(train: DataFrame) -> DataFrame:
+    """Give every core a part of a training table that has fewer partitions than there are cores.
+
+    A forest passes over its input once per tree level. Larger tables keep their own splits.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+
+
 def fit_classifier(train: DataFrame, label: str, **settings: int) -> RandomForestClassificationModel:
-    return RandomForestClassifier(labelCol=label, featuresCol="features", **FOREST | settings).fit(train)
+    forest = RandomForestClassifier(labelCol=label, featuresCol="features", **FOREST | settings)
+    return forest.fit(spread(train.select("features", label)))
 
 
 def fit_regressor(train: DataFrame, label: str, **settings: int) -> RandomForestRegressionModel:
-    return RandomForestRegressor(labelCol=label, featuresCol="features", **FOREST | settings).fit(train)
+    forest = RandomForestRegressor(labelCol=label, featuresCol="features", **FOREST | settings)
+    return forest.fit(spread(train.select("features", label)))
 
 
 def classification_metrics(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -1,8 +1,9 @@
 """Per-entity time series columns that stay distributed when one entity is very large.
 
 A plain ``Window.partitionBy(entity)`` sorts an entity's whole history in one task, and the
-adaptive planner cannot split it. All frames here reach a few rows only, so ``along`` cuts each
-history at fixed time segments and repairs the rows next to a cut.
+adaptive planner cannot split it. All frames here reach a few rows only, so ``along`` can cut the
+histories that ``fitting_cut`` found to be large into time segments, and repair the rows next to
+each cut.
 """
 
 from __future__ import annotations
@@ -39,20 +40,49 @@ def trailing_mean(name: str, first: int = -2, last: int = 0) -> Series:
     return Series(lambda w: F.avg(name).over(w.rowsBetween(first, last)), back=-first)
 
 
-def fitting_segment(
+@dataclass(frozen=True)
+class Cut:
+    """Where ``along`` cuts histories: at every ``unit``, for the ``large`` entities or for all."""
+
+    unit: str
+    large: DataFrame | None = None
+
+
+def fitting_cut(
     df: DataFrame, entity: Sequence[str], time: str = "timestamp", limit: int = 2_000_000
-) -> str | None:
-    """The coarsest cut for ``along`` that leaves at most ``limit`` rows in one window group.
+) -> Cut | None:
+    """Find the entities with more than ``limit`` rows and the coarsest unit that splits them.
 
-    ``None`` when no entity is larger than that. Each step is one count over the entity and time
-    columns, combined before its shuffle; it goes on to a finer unit only while one is needed.
+    ``None`` when there is no such entity. The limit rises to a ten-thousandth of all rows, about
+    one shuffle partition of a large job, so at most 10,000 entities can exceed it; this bounds
+    what is collected here and broadcast later. Each step is one count, combined before its
+    shuffle.
     """
-    for unit in (None, "day", "hour", "minute"):
-        keys = [*entity, *([F.date_trunc(unit, F.col(time))] if unit else [])]
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-        if (largest or 0) <= limit:
-            return unit
-    return "second"
+    per_entity = df.groupBy(*entity).count()
+    total, largest = per_entity.agg(F.sum("count"), F.max("count")).first()
+    limit = max(limit, (total or 0) // 10_000)
+    if (largest or 0) <= limit:
+        return None
+    rows = per_entity.filter(F.col("count") > limit).select(*entity).collect()
+    large = df.sparkSession.createDataFrame(rows, df.select(*entity).schema)
+    for unit in ("day", "hour", "minute"):
+        cut = Cut(unit, large)
+        sizes = _segmented(df.select(*entity, time), entity, time, cut).filter("_segment IS NOT NULL")
+        biggest = sizes.groupBy(*entity, "_segment").count().agg(F.max("count")).first()[0]
+        if (biggest or 0) <= limit:
+            return cut
+    return Cut("second", large)
+
+
+def _segmented(df: DataFrame, entity: Sequence[str], time: str, cut: Cut) -> DataFrame:
+    """Add ``_segment``: the start of the row's time unit, or NULL for an uncut entity."""
+    start = F.date_trunc(cut.unit, F.col(time))
+    if cut.large is None:
+        return df.withColumn("_segment", start)
+    large = cut.large.select(*(F.col(key).alias(f"_{key}") for key in entity), F.lit(True).alias("_large"))
+    same = all_of(df[key].eqNullSafe(large[f"_{key}"]) for key in entity)
+    marked = df.join(F.broadcast(large), same, "left")
+    return marked.select(*(df[name] for name in df.columns), F.when(F.col("_large"), start).alias("_segment"))
 
 
 def along(
@@ -61,22 +91,20 @@ def along(
     columns: Mapping[str, Series],
     time: str = "timestamp",
     tie_break: str = "reading_id",
-    segment: str | None = "day",
+    cut: Cut | None = None,
 ) -> DataFrame:
     """Add series columns per entity, ordered by ``time`` and ``tie_break``.
 
-    ``segment`` is the time unit a history is cut at; ``fitting_segment`` picks one from counts.
-    Columns are first computed inside each segment. Only the few rows
-    near a cut, at most ``2 * reach`` per segment, go to a second window over the whole entity.
-    Both branches read the same shuffle. ``segment=None`` is the plain window, for entities known
-    to be small.
+    Without a cut this is the plain window. With one, columns are first computed inside each
+    segment; only the few rows near a cut, at most ``2 * reach`` per segment, go to a second
+    window over the whole entity. Both branches read the same shuffle.
 
     Distances to the cut come from ``rank`` and ``cume_dist``, which rows with equal sort keys
     share, so both branches agree on every row even when the sort keys are not unique.
     """
     order = (time, tie_break)
     whole = Window.partitionBy(*entity).orderBy(*order)
-    if segment is None:
+    if cut is None:
         return df.withColumns({name: s.over(whole) for name, s in columns.items()})
 
     reach_back = max(s.back for s in columns.values())
@@ -86,20 +114,19 @@ def along(
     rows = F.count(F.lit(1)).over(
         inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
-    local = (
-        df.withColumn("_segment", F.date_trunc(segment, F.col(time)))
-        .withColumns({
-            "_before": F.rank().over(inside) - 1,
-            "_after": rows - F.round(F.cume_dist().over(inside) * rows).cast("bigint"),
-            **{name: s.over(inside) for name, s in columns.items()},
-        })
-    )
+    local = _segmented(df, entity, time, cut).withColumns({
+        "_before": F.rank().over(inside) - 1,
+        "_after": rows - F.round(F.cume_dist().over(inside) * rows).cast("bigint"),
+        **{name: s.over(inside) for name, s in columns.items()},
+    })
     before, after = F.col("_before"), F.col("_after")
     touched = any_of(
         ([before < reach_back] if reach_back else []) + ([after < reach_ahead] if reach_ahead else [])
     )
+    one_way = not (reach_back and reach_ahead)  # then every touched row needs the wider window
     repaired = {
-        name: F.when(before < s.back if s.back else after < s.ahead, s.over(whole)).otherwise(F.col(name))
+        name: s.over(whole) if one_way
+        else F.when(before < s.back if s.back else after < s.ahead, s.over(whole)).otherwise(F.col(name))
         for name, s in columns.items()
     }
     near_cut = local.filter((before < reach) | (after < reach)).withColumns(repaired).filter(touched)
@@ -131,14 +158,14 @@ def daily_temperature(readings: DataFrame, entity: str, rounded: bool = False) -
 
 
 def temperature_trend(
-    readings: DataFrame, entity: Sequence[str], rounded: bool = False, segment: str | None = "day"
+    readings: DataFrame, entity: Sequence[str], rounded: bool = False, cut: Cut | None = None
 ) -> DataFrame:
     """Add the previous temperature, its change and the mean of the last three readings."""
     shape = (lambda c: F.round(c, 2)) if rounded else (lambda c: c)
     trend = along(readings, entity, {
         "previous_temperature": lag("temperature"),
         "3_reading_average": trailing_mean("temperature"),
-    }, segment=segment)
+    }, cut=cut)
     return trend.withColumns({
         "temperature_change": shape(F.col("temperature") - F.col("previous_temperature")),
         "3_reading_average": shape(F.col("3_reading_average")),

@@ -77,8 +77,8 @@ def describe_readings(readings: DataFrame, farms: DataFrame) -> DataFrame:
     """Trusted readings with statuses, trends, daily statistics and farm columns."""
     timed = with_time_parts(readings)
     stated = timed.withColumns({ladder.name: ladder.column() for ladder in rules.READING_STATUSES})
-    segment = series.fitting_segment(readings, ["sensor_id"])
-    trend = series.temperature_trend(stated, ["sensor_id"], segment=segment)
+    cut = series.fitting_cut(readings, ["sensor_id"])
+    trend = series.temperature_trend(stated, ["sensor_id"], cut=cut)
     daily = series.daily_temperature(trend, "sensor_id")
     return enrich.enrich(daily, farms, "farm_id").withColumn(
         "_silver_processed_timestamp", F.current_timestamp()
@@ -91,14 +91,14 @@ def publish_marts(lake: Lake) -> DataFrame:
     for name, mart in MARTS.items():
         options = {}
         if name == "environment_trend":
-            options["segment"] = series.fitting_segment(readings, ["farm_id", "sensor_id"])
+            options["cut"] = series.fitting_cut(readings, ["farm_id", "sensor_id"])
         tables.replace_table(mart(readings, **options), lake.name("gold", name))
     return tables.census(lake.spark, [lake.name("gold", name) for name in MARTS])
 
 
 def publish_features(lake: Lake) -> DataFrame:
     readings = lake.read("silver", "valid_sensor")
-    built = features.irrigation_features(readings, series.fitting_segment(readings, ["sensor_id"]))
+    built = features.irrigation_features(readings, series.fitting_cut(readings, ["sensor_id"]))
     return tables.replace_table(built, lake.name("features", "irrigation_features"))
 
 
@@ -122,7 +122,7 @@ def train_irrigation(lake: Lake, model_path: str, **settings: int) -> DataFrame:
 def forecast_moisture(lake: Lake, **settings: int) -> DataFrame:
     """Fit the soil moisture regressor on the earlier readings and publish the later forecasts."""
     readings = lake.read("silver", "valid_sensor")
-    built = features.next_moisture_features(readings, series.fitting_segment(readings, ["farm_id"]))
+    built = features.next_moisture_features(readings, series.fitting_cut(readings, ["farm_id"]))
     numbered = ordinal.with_ordinal(
         features.next_moisture_dataset(built), ["timestamp", "reading_id"],
         shared.fresh_path(lake.spark, "moisture-dataset"),

@@ -5,9 +5,7 @@ Rounded values go through DECIMAL, which rounds halves away from zero as Spark d
 
 from __future__ import annotations
 
-from furrow.sources.sensor_views import (
-    RAW_READINGS, READINGS, REGISTERED, RESENT,
-)
+from furrow.sources.sensor_views import RAW_READINGS, READINGS, REGISTERED, RESENT
 
 
 def _round(value: str) -> str:
@@ -257,6 +255,8 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT reading_id, sensor_id, farm_id, field_id, timestamp,
             nullif(temperature, '') AS temperature, humidity, soil_moisture, rainfall, battery
         FROM raw"""),
+    "csv_scan_inferred": ((), """
+        SELECT c_custkey AS sensor_id, c_name AS sensor_name, c_nationkey AS farm_id FROM customer"""),
     "bronze_audit": (("raw",), "SELECT reading_id, TRUE AS has_load_time, TRUE AS has_source_file FROM raw"),
     "table_overwrite": (("readings",), """
         SELECT reading_id, timestamp, temperature, humidity, soil_moisture, rainfall, battery FROM readings"""),
@@ -408,6 +408,36 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "moisture_regressor": (("split_dataset",), """
         SELECT split, count(*) AS records, CAST(100 AS INTEGER) AS tree_count, CAST(13 AS INTEGER) AS feature_count
         FROM split_dataset GROUP BY split"""),
+    "next_hour_target": (("trusted",), """
+        SELECT farm_id, reading_hour, soil_moisture, lag(soil_moisture) OVER w AS soil_moisture_lag_1,
+            lead(soil_moisture) OVER w AS next_hour_soil_moisture
+        FROM (SELECT farm_id, CAST(date_trunc('hour', timestamp) AS TIMESTAMP) AS reading_hour,
+                  avg(soil_moisture) AS soil_moisture
+              FROM trusted GROUP BY ALL)
+        WINDOW w AS (PARTITION BY farm_id ORDER BY reading_hour)"""),
+    "classifier_metrics_of_rule": (("featured",), """
+        SELECT round((hit1 + hit0) / n, 9) AS accuracy,
+            round((is1 * hit1 / said1 + is0 * hit0 / said0) / n, 9) AS weighted_precision,
+            round((hit1 + hit0) / n, 9) AS weighted_recall,
+            round((is1 * 2 * hit1 / (is1 + said1) + is0 * 2 * hit0 / (is0 + said0)) / n, 9) AS f1
+        FROM (SELECT CAST(count(*) AS DOUBLE) AS n,
+                  CAST(count(*) FILTER (irrigation_label = 1) AS DOUBLE) AS is1,
+                  CAST(count(*) FILTER (irrigation_label = 0) AS DOUBLE) AS is0,
+                  CAST(count(*) FILTER (soil_moisture < 30) AS DOUBLE) AS said1,
+                  CAST(count(*) FILTER (soil_moisture >= 30) AS DOUBLE) AS said0,
+                  CAST(count(*) FILTER (irrigation_label = 1 AND soil_moisture < 30) AS DOUBLE) AS hit1,
+                  CAST(count(*) FILTER (irrigation_label = 0 AND soil_moisture >= 30) AS DOUBLE) AS hit0
+              FROM featured)"""),
+    "regressor_metrics_of_mean": (("dataset",), """
+        SELECT round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse,
+            round(1 - avg(e * e) / var_pop(y), 6) AS r2
+        FROM (SELECT next_hour_soil_moisture AS y,
+                  next_hour_soil_moisture - soil_moisture_rolling_avg_3 AS e FROM dataset)"""),
+    "moisture_predictions_of_mean": (("dataset",), f"""
+        SELECT farm_id, reading_hour, temperature, humidity, soil_moisture, rainfall, battery,
+            next_hour_soil_moisture, {_round('soil_moisture_rolling_avg_3')} AS predicted_next_hour_soil_moisture,
+            CASE WHEN soil_moisture_rolling_avg_3 < 30 THEN 'YES' ELSE 'NO' END AS predicted_irrigation_required
+        FROM dataset"""),
     "model_roundtrip": (("hash_split",), """
         SELECT count(*) AS records, CAST(0 AS BIGINT) AS differing FROM hash_split WHERE split = 'test'"""),
 }

@@ -54,15 +54,15 @@ def trusted(spark: SparkSession, sf: str) -> DataFrame:
     return shared.written_once(spark, f"trusted{sf.replace('/', '_')}", build, ["reading_date"])
 
 
-_segments: dict[tuple[str, str, tuple[str, ...]], str | None] = {}
+_cuts: dict[tuple[str, str, tuple[str, ...]], series.Cut | None] = {}
 
 
-def segment(spark: SparkSession, sf: str, *entity: str) -> str | None:
+def cut(spark: SparkSession, sf: str, *entity: str) -> series.Cut | None:
     """How to cut the trusted table's histories, counted once."""
     key = (spark.sparkContext.applicationId, sf, entity)
-    if key not in _segments:
-        _segments[key] = series.fitting_segment(trusted(spark, sf), entity)
-    return _segments[key]
+    if key not in _cuts:
+        _cuts[key] = series.fitting_cut(trusted(spark, sf), entity)
+    return _cuts[key]
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,6 +92,20 @@ def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
     return _landing(spark, sf)
 
 
+@query
+def csv_scan_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Master data with types found by a pass over the file."""
+
+    def write(path: str) -> None:
+        sensor_views.table(spark, sf, "customer").select(
+            F.col("c_custkey").alias("sensor_id"), F.col("c_name").alias("sensor_name"),
+            F.col("c_nationkey").alias("farm_id"),
+        ).write.csv(path, header=True)
+
+    path = shared.written_path(spark, f"masters{sf.replace('/', '_')}", write)
+    return files.scan_csv(spark, path)
+
+
 @query
 def bronze_audit(spark: SparkSession, sf: str) -> DataFrame:
     audited = files.with_audit(_landing(spark, sf))
@@ -294,7 +308,7 @@ def limit_n(spark: SparkSession, sf: str) -> DataFrame:
 
 def _trend(spark: SparkSession, sf: str, *entity: str, rounded: bool = False) -> DataFrame:
     rows = trusted(spark, sf).select(*KEY, "timestamp", "temperature")
-    return series.temperature_trend(rows, entity, rounded, segment(spark, sf, *entity))
+    return series.temperature_trend(rows, entity, rounded, cut(spark, sf, *entity))
 
 
 @query
@@ -324,7 +338,7 @@ def rolling_avg_3_farm_sensor(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def rolling_features(spark: SparkSession, sf: str) -> DataFrame:
     trends = features.sensor_trends(
-        trusted(spark, sf).select(*KEY, "timestamp", *rules.MEASURES), segment(spark, sf, "sensor_id")
+        trusted(spark, sf).select(*KEY, "timestamp", *rules.MEASURES), cut(spark, sf, "sensor_id")
     )
     return trends.select(
         *KEY, "temperature_change", "soil_moisture_change",
@@ -345,7 +359,7 @@ def daily_stats_farm(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _moisture_features(spark: SparkSession, sf: str) -> DataFrame:
-    return features.next_moisture_features(trusted(spark, sf), segment(spark, sf, "farm_id"))
+    return features.next_moisture_features(trusted(spark, sf), cut(spark, sf, "farm_id"))
 
 
 @query
@@ -367,10 +381,19 @@ def next_moisture_target(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def next_hour_target(spark: SparkSession, sf: str) -> DataFrame:
+    """The target over one row per farm and hour."""
+    hourly = features.farm_hour_means(trusted(spark, sf))
+    return features.next_moisture_features(hourly).select(
+        "farm_id", "reading_hour", "soil_moisture", "soil_moisture_lag_1", features.MOISTURE_TARGET
+    )
+
+
 # ---- marts ---------------------------------------------------------------------------------
 
 
-def _mart(spark: SparkSession, sf: str, name: str, **options: str | None) -> DataFrame:
+def _mart(spark: SparkSession, sf: str, name: str, **options: series.Cut | None) -> DataFrame:
     return medallion.MARTS[name](trusted(spark, sf), **options).drop(marts.PROCESSED)
 
 
@@ -397,7 +420,7 @@ def irrigation_alerts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def environment_trend(spark: SparkSession, sf: str) -> DataFrame:
     return _mart(
-        spark, sf, "environment_trend", segment=segment(spark, sf, "farm_id", "sensor_id")
+        spark, sf, "environment_trend", cut=cut(spark, sf, "farm_id", "sensor_id")
     )
 
 
@@ -436,7 +459,7 @@ def label_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def irrigation_features(spark: SparkSession, sf: str) -> DataFrame:
-    return features.irrigation_features(trusted(spark, sf), segment(spark, sf, "sensor_id"))
+    return features.irrigation_features(trusted(spark, sf), cut(spark, sf, "sensor_id"))
 
 
 @query
@@ -590,6 +613,36 @@ def regressor_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return models.regression_metrics(_moisture_scored(spark, sf), features.MOISTURE_TARGET)
 
 
+def _threshold_guess(spark: SparkSession, sf: str) -> DataFrame:
+    """A prediction SQL can state as well: dry soil calls for water, whatever the rain."""
+    dry = F.when(F.col("soil_moisture") < rules.DRY_SOIL, 1.0).otherwise(0.0)
+    return _irrigation_split(spark, sf).withColumn("prediction", dry)
+
+
+def _same_again(spark: SparkSession, sf: str) -> DataFrame:
+    """A forecast SQL can state as well: the mean of the three earlier readings."""
+    return _moisture_split(spark, sf).withColumn("prediction", F.col("soil_moisture_rolling_avg_3"))
+
+
+@query
+def classifier_metrics_of_rule(spark: SparkSession, sf: str) -> DataFrame:
+    return models.classification_metrics(_threshold_guess(spark, sf), features.IRRIGATION_TARGET).select(
+        *(F.round(name, 9).alias(name) for name in ("accuracy", "weighted_precision", "weighted_recall", "f1"))
+    )
+
+
+@query
+def regressor_metrics_of_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return models.regression_metrics(_same_again(spark, sf), features.MOISTURE_TARGET).select(
+        *(F.round(name, 6).alias(name) for name in ("mae", "rmse", "r2"))
+    )
+
+
+@query
+def moisture_predictions_of_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return models.moisture_predictions(_same_again(spark, sf))
+
+
 @query
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     return models.feature_importance(spark, _irrigation_model(spark, sf), features.IRRIGATION_FEATURES)
