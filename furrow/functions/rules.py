@@ -101,6 +101,8 @@ VALUE_CHECKS = (
     Check("battery", "INVALID_BATTERY_RANGE", 0, 100),
 )
 
+QUARANTINE_IDENTITY = (*REQUIRED_FIELDS, "invalid_reason")
+
 REASON_SEPARATOR = "; "
 NULL_REASON = "NULL_OR_MISSING_REQUIRED_FIELD"
 QUARANTINED = "QUARANTINED"

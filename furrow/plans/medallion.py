@@ -69,7 +69,7 @@ def refine(lake: Lake) -> None:
     tables.replace_table(dated, lake.name("silver", "valid_sensor"), ["reading_date"])
     tables.append_new(
         quality.invalid_rows(checked), lake.name("silver", "invalid_sensor"),
-        ignore=("quarantine_timestamp", "_ingestion_timestamp", "_source_file"),
+        rules.QUARANTINE_IDENTITY,
     )
 
 

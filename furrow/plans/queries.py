@@ -138,10 +138,11 @@ def quarantine_append(spark: SparkSession, sf: str) -> DataFrame:
     table = f"{_schema(spark, 'quarantine')}.invalid_sensor"
     rows = checked(spark, sf).select(*rules.REQUIRED_FIELDS, "is_valid", "invalid_reason")
     rejected = quality.invalid_rows(rows)
-    stamps = ("quarantine_status", "quarantine_timestamp")
-    tables.append_new(rejected.drop(*stamps), table)
-    tables.append_new(rejected, table, ignore=stamps)
-    return tables.append_new(quality.null_quarantine(rows), table, ignore=stamps).drop(stamps[1])
+    identity = rules.QUARANTINE_IDENTITY
+    tables.append_new(rejected.drop("quarantine_status", "quarantine_timestamp"), table, identity)
+    tables.append_new(rejected, table, identity)
+    tables.append_new(quality.null_quarantine(rows), table, identity)
+    return spark.table(table).drop("quarantine_timestamp")
 
 
 @query

@@ -47,26 +47,25 @@ def _fingerprint(columns: Sequence[str]) -> Column:
     return F.md5(F.concat_ws("\u0001", *parts))
 
 
-def append_new(df: DataFrame, table: str, ignore: Sequence[str] = ()) -> DataFrame:
+def append_new(df: DataFrame, table: str, identity: Sequence[str]) -> DataFrame:
     """Append the rows a table does not hold yet, adding columns it lacks.
 
-    Rows are the same when every column both sides hold is equal, other than those in
-    ``ignore`` (processing times). A batch may thus be delivered again without doubling, and
-    equal rows inside one batch are all kept.
+    Rows with equal ``identity`` columns (NULLs too) are the same row, so a batch may be delivered
+    again without doubling. Name every column that tells rows apart and no processing times.
+    Rows inside one batch are all kept. Only the identity columns of the table are read.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         return replace_table(df, table)
-    stored = spark.table(table)
-    shared = [c for c in stored.columns if c in df.columns and c not in ignore]
-    added = [f for f in df.schema if f.name not in stored.columns]
-    present = stored.select(_fingerprint(shared).alias("_row")).distinct()
-    fresh = df.withColumn("_row", _fingerprint(shared)).join(present, "_row", "left_anti").drop("_row")
+    held = spark.table(table).columns
+    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in held]
     if added:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
-    empty = spark.table(table).limit(0)
-    empty.unionByName(fresh, allowMissingColumns=True).write.insertInto(table)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
+    stored = spark.table(table)
+    batch = stored.limit(0).unionByName(df, allowMissingColumns=True)
+    present = stored.select(_fingerprint(identity).alias("_row")).distinct()
+    fresh = batch.withColumn("_row", _fingerprint(identity)).join(present, "_row", "left_anti")
+    fresh.drop("_row").write.insertInto(table)
     return spark.table(table)
 
 

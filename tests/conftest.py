@@ -16,7 +16,7 @@ TESTDATA = os.environ.get("FURROW_TESTDATA", "/root/testdata")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
     session = local_session(
-        8, "furrow-tests",
+        8, "furrow-tests", spark__sql__maxMetadataStringLength="2000",
         spark__checkpoint__dir=f"file://{folder}", spark__sql__warehouse__dir=f"file://{folder}/warehouse",
     )
     yield session
