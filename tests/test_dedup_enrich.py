@@ -48,3 +48,20 @@ def test_collisions(spark, facts):
     assert enrich(skipped, farms, "farm_id", on_collision="skip") is skipped
     with pytest.raises(ValueError):
         enrich(prefixed.withColumn("farm_name", F.lit(1)), farms, "farm_id")
+
+
+def test_rows_are_spread_by_the_whole_key_after_a_join(spark):
+    """A join partitioned by sensor must not let one sensor's rows all be ranked in one task."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).select(
+            F.col("id").alias("reading_id"), F.floor(F.col("id") / 100).alias("sensor_id"),
+            F.col("id").alias("farm_id"), F.col("id").alias("timestamp"), F.col("id").alias("seq"))
+        joined = df.join(df.select("sensor_id").distinct(), "sensor_id")
+        latest = dedup.latest_reading(joined, ingested="seq")
+        plan = latest._jdf.queryExecution().executedPlan().toString()
+        assert latest.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above_join = plan.split("SortMergeJoin")[0]
+    assert "Exchange hashpartitioning(_w0" in above_join and above_join.count("WindowGroupLimit") == 2
