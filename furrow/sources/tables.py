@@ -23,18 +23,27 @@ def ensure_schema(spark: SparkSession, schema: str, location: str | None = None)
     return schema
 
 
+def _columns(df: DataFrame, without: Sequence[str] = ()) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in without)
+
+
 def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Full refresh; rows and schema of the table become those of the frame."""
+    """Full refresh; rows and schema of the table become those of the frame.
+
+    Partitioned output is rebalanced first: a large partition value goes to several files, and
+    small ones are not scattered over a file per task.
+    """
     spark = df.sparkSession
     schema, name = table.rsplit(".", 1)
     path = f"{spark.catalog.getDatabase(schema).locationUri}/{name}/{uuid.uuid4().hex[:12]}"
     frame = df.hint("rebalance", *partition_by) if partition_by else df
     frame.write.partitionBy(*partition_by).parquet(path)
+    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    created = spark.catalog.createTable(table, path=path, source="parquet")
+    spark.sql(f"CREATE TABLE {table} ({_columns(df)}) USING parquet {layout} LOCATION '{path}'")
     if partition_by:
         spark.catalog.recoverPartitions(table)
-    return created
+    return spark.table(table)
 
 
 def rewrite_table(spark: SparkSession, table: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -57,10 +66,9 @@ def append_new(df: DataFrame, table: str, identity: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         return replace_table(df, table)
-    held = spark.table(table).columns
-    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in held]
+    added = _columns(df, without=spark.table(table).columns)
     if added:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
     stored = spark.table(table)
     batch = stored.limit(0).unionByName(df, allowMissingColumns=True)
     present = stored.select(_fingerprint(identity).alias("_row")).distinct()

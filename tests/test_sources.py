@@ -96,6 +96,15 @@ def test_partitioned_table_prunes(spark, schema):
     assert "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().executedPlan().toString()
 
 
+def test_empty_refresh(spark, schema):
+    table = f"{schema}.e"
+    frame = spark.range(10).select("id", F.lit("d").alias("day"))
+    for part in ([], ["day"]):
+        tables.replace_table(frame, table, part)
+        assert tables.replace_table(frame.filter("id < 0"), table, part).count() == 0
+        assert spark.table(table).columns == ["id", "day"]
+
+
 def test_rewrite_from_itself(spark, schema, rows):
     table = f"{schema}.w"
     tables.replace_table(spark.sql("SELECT 1 AS id, CAST(NULL AS DOUBLE) AS t UNION ALL SELECT 2, 5.0D"), table)
