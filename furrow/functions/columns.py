@@ -12,8 +12,7 @@ def round2(value: Column) -> Column:
 
 def safe_double(name: str) -> Column:
     """Text to double; text that is no number, and NaN, become NULL."""
-    value = F.col(name).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(F.col(name).try_cast("double"), F.lit(None).cast("double"))
 
 
 def mean_of_rounded(value: Column) -> Column:

@@ -4,39 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
-def with_ordinal(df: DataFrame, order: Sequence[str], staging: str) -> DataFrame:
-    """Add ``ordinal`` = 1..n in the given order, which must be unique.
+def write_in_order(df: DataFrame, order: Sequence[str], path: str) -> None:
+    """Write the rows in the given order, which must be unique, each with its position.
 
-    Range partitioning on the order itself gives even partitions whatever the skew. The sorted
-    rows are written once with their position inside the partition, so later readers and retried
-    tasks all see one assignment. Offsets come from one count per partition; that side has as
-    many rows as there are partitions, which bounds its broadcast.
+    Range partitioning on the order itself gives even partitions whatever the skew. The position
+    inside the sorted partition is stored, so later readers and retried tasks all see one order.
     """
-    spark = df.sparkSession
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.withColumn("_position", F.monotonically_increasing_id()).write.parquet(staging)
+    ranged.withColumn("_position", F.monotonically_increasing_id()).write.parquet(path)
 
-    staged = spark.read.parquet(staging).withColumn(
-        "_part", F.shiftright("_position", _LOCAL_BITS)
-    )
+
+def read_numbered(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of ``write_in_order`` with ``ordinal`` = 1..n.
+
+    Offsets come from one count per written partition; that side has one row per partition, which
+    bounds its single-task running sum and its broadcast.
+    """
+    written = spark.read.parquet(path)
+    rows = written.withColumn("_part", F.shiftright("_position", _LOCAL_BITS))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        staged.groupBy("_part").count()
-        .select("_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset"))
+    offsets = rows.groupBy("_part").count().select(
+        "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset")
     )
     inside = F.col("_position").bitwiseAND((1 << _LOCAL_BITS) - 1)
-    return staged.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_offset") + inside + 1).alias("ordinal")
+    kept = [name for name in written.columns if name != "_position"]
+    return rows.join(F.broadcast(offsets), "_part").select(
+        *kept, (F.col("_offset") + inside + 1).alias("ordinal")
     )
 
 
+def with_ordinal(df: DataFrame, order: Sequence[str], staging: str) -> DataFrame:
+    """Add ``ordinal`` = 1..n in the given unique order, through files at ``staging``."""
+    write_in_order(df, order, staging)
+    return read_numbered(df.sparkSession, staging)
+
+
 def chronological_split(
     numbered: DataFrame, train_share: float = 0.8, min_rows: int = 10
 ) -> DataFrame:

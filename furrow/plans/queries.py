@@ -65,8 +65,14 @@ def cut(spark: SparkSession, sf: str, *entity: str) -> series.Cut | None:
     return _cuts[key]
 
 
+def raw(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw table of text columns; written at its first use, as cleaning reads a table."""
+    name = f"raw{sf.replace('/', '_')}"
+    return shared.written_once(spark, name, lambda: sensor_views.raw_readings(spark, sf))
+
+
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.clean_readings(sensor_views.raw_readings(spark, sf))
+    return clean.clean_readings(raw(spark, sf))
 
 
 def _schema(spark: SparkSession, name: str) -> str:
@@ -79,7 +85,7 @@ def _schema(spark: SparkSession, name: str) -> str:
 
 def _landing(spark: SparkSession, sf: str) -> DataFrame:
     def write(path: str) -> None:
-        sensor_views.raw_readings(spark, sf).write.options(
+        raw(spark, sf).write.options(
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         ).csv(path)
 
@@ -176,9 +182,8 @@ def clean_readings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def parse_timestamp(spark: SparkSession, sf: str) -> DataFrame:
-    raw = sensor_views.raw_readings(spark, sf).select("reading_id", F.col("timestamp").alias("text"))
-    parsed = F.try_to_timestamp(F.col("text"), F.lit(rules.TIMESTAMP_FORMAT))
-    return raw.select("reading_id", "text", parsed.alias("timestamp"))
+    parsed = F.try_to_timestamp(F.col("timestamp"), F.lit(rules.TIMESTAMP_FORMAT))
+    return raw(spark, sf).select("reading_id", F.col("timestamp").alias("text"), parsed.alias("timestamp"))
 
 
 @query
@@ -492,13 +497,9 @@ def _irrigation_split(spark: SparkSession, sf: str) -> DataFrame:
 def _moisture_split(spark: SparkSession, sf: str) -> DataFrame:
     path = shared.written_path(
         spark, f"moisture{sf.replace('/', '_')}",
-        lambda path: ordinal.chronological_split(
-            ordinal.with_ordinal(
-                next_moisture_dataset(spark, sf), ["timestamp", "reading_id"], f"{path}-staging"
-            )
-        ).write.parquet(path),
+        lambda path: ordinal.write_in_order(next_moisture_dataset(spark, sf), ["timestamp", "reading_id"], path),
     )
-    return spark.read.parquet(path)
+    return ordinal.chronological_split(ordinal.read_numbered(spark, path))
 
 
 @query
