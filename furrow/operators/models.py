@@ -9,7 +9,7 @@ from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.functions.columns import round2
@@ -58,14 +58,18 @@ def fit_regressor(train: DataFrame, label: str, **settings: int) -> RandomForest
 
 def classification_metrics(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """Accuracy and label-weighted precision, recall and F1, all from one confusion count."""
-    cells = scored.groupBy(F.col(label).cast("double").alias("truth"), F.col(prediction).alias("guess")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    hit = F.when(F.col("truth") == F.col("guess"), F.col("n")).otherwise(0)
-    sides = F.array(
-        F.struct(F.col("truth").alias("label"), F.col("n").alias("actual"), F.lit(0).cast("bigint").alias("claimed"), hit.alias("hit")),
-        F.struct(F.col("guess").alias("label"), F.lit(0).cast("bigint").alias("actual"), F.col("n").alias("claimed"), F.lit(0).cast("bigint").alias("hit")),
-    )
+    cells = scored.groupBy(
+        F.col(label).cast("double").alias("truth"), F.col(prediction).alias("guess")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    none = F.lit(0).cast("bigint")
+    hit = F.when(F.col("truth") == F.col("guess"), F.col("n")).otherwise(none)
+
+    def side(label: str, actual: Column, claimed: Column, hit: Column) -> Column:
+        return F.struct(
+            F.col(label).alias("label"), actual.alias("actual"), claimed.alias("claimed"), hit.alias("hit")
+        )
+
+    sides = F.array(side("truth", F.col("n"), none, hit), side("guess", none, F.col("n"), none))
     per_label = cells.select(F.inline(sides)).groupBy("label").agg(
         *(F.sum(name).alias(name) for name in ("actual", "claimed", "hit"))
     )

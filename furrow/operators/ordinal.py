@@ -1,4 +1,4 @@
-"""Global row order without a single-partition window, and the chronological split on it."""
+"""Global row order without a single-partition window, and the chronological split."""
 
 from __future__ import annotations
 
@@ -47,13 +47,36 @@ def with_ordinal(df: DataFrame, order: Sequence[str], staging: str) -> DataFrame
 
 
 def chronological_split(
-    numbered: DataFrame, train_share: float = 0.8, min_rows: int = 10
+    df: DataFrame,
+    staging: str,
+    train_share: float = 0.8,
+    min_rows: int = 10,
+    time: str = "timestamp",
+    tie_break: str = "reading_id",
 ) -> DataFrame:
-    """Add ``split``: ``train`` up to the share of the ordinals, ``test`` after it."""
-    total = numbered.count()
+    """Add ``split``: ``train`` for the earliest share of the rows, ``test`` for the rest.
+
+    The last training row is found without ordering everything: counts per hour tell the hour it
+    falls in, and only that hour is put in order. The running sum has one row per hour.
+    """
+    hour = F.floor(F.unix_seconds(time) / 3600).alias("hour")
+    in_order = Window.orderBy("hour")
+    everything = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    counts = df.groupBy(hour).count().withColumns({
+        "total": F.sum("count").over(everything), "up_to": F.sum("count").over(in_order),
+    })
+    last_train = F.floor(F.col("total") * train_share)
+    found = counts.filter(F.col("up_to") >= last_train).orderBy("hour").first()
+    total = found["total"] if found else 0
     if total < min_rows:
         raise ValueError(f"not enough rows to train: {total}, at least {min_rows} needed")
-    last_train = int(total * train_share)
-    return numbered.withColumn(
-        "split", F.when(F.col("ordinal") <= last_train, "train").otherwise("test")
-    )
+
+    rank = int(total * train_share) - (found["up_to"] - found["count"])
+    same_hour = df.filter(hour.eqNullSafe(F.lit(found["hour"]))).select(time, tie_break)
+    numbered = with_ordinal(same_hour, [time, tie_break], staging)
+    last = numbered.filter(F.col("ordinal") == rank).select(F.unix_micros(time).alias("at"), tie_break).first()
+    last_time = F.timestamp_micros(F.lit(last["at"]).cast("bigint"))
+    same_time = F.col(time).eqNullSafe(last_time) & (F.col(tie_break) <= F.lit(last[tie_break]))
+    missing_first = F.col(time).isNull() if last["at"] is not None else F.lit(False)
+    up_to_last = missing_first | (F.col(time) < last_time) | same_time
+    return df.withColumn("split", F.when(up_to_last, "train").otherwise("test"))

@@ -123,11 +123,10 @@ def forecast_moisture(lake: Lake, **settings: int) -> DataFrame:
     """Fit the soil moisture regressor on the earlier readings and publish the later forecasts."""
     readings = lake.read("silver", "valid_sensor")
     built = features.next_moisture_features(readings, series.fitting_cut(readings, ["farm_id"]))
-    numbered = ordinal.with_ordinal(
-        features.next_moisture_dataset(built), ["timestamp", "reading_id"],
-        shared.fresh_path(lake.spark, "moisture-dataset"),
+    dataset = tables.replace_table(
+        features.next_moisture_dataset(built), lake.name("features", "moisture_features")
     )
-    split = ordinal.chronological_split(numbered)
+    split = ordinal.chronological_split(dataset, shared.fresh_path(lake.spark, "border"))
     vectors = models.assemble(split, features.MOISTURE_FEATURES, invalid="skip")
     model = models.fit_regressor(
         vectors.filter("split = 'train'"), features.MOISTURE_TARGET, **settings

@@ -397,7 +397,7 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         FROM trusted"""),
     "random_split": (("hash_split",), "SELECT * FROM hash_split"),
     "chrono_split": (("split_dataset",), """
-        SELECT reading_id, farm_id, timestamp, ordinal, split FROM split_dataset"""),
+        SELECT reading_id, farm_id, timestamp, split FROM split_dataset"""),
     "irrigation_vectors": (("featured",), f"SELECT reading_id, {_vector(_IRRIGATION_VECTOR)} FROM featured"),
     "moisture_vectors": (("moisture",), f"""
         SELECT reading_id, {_vector(_MOISTURE_VECTOR)} FROM moisture

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from furrow.functions import rules
-from furrow.functions.columns import reading_date, reading_hour
+from furrow.functions.columns import reading_date
 from furrow.operators import clean, dedup, enrich, features, marts, models, ordinal, quality, series
 from furrow.plans import medallion
 from furrow.sources import files, sensor_views, shared, tables
@@ -494,12 +494,18 @@ def _irrigation_split(spark: SparkSession, sf: str) -> DataFrame:
     return models.hashed_split(table, "reading_id")
 
 
+_splits: dict[tuple[str, str], DataFrame] = {}
+
+
 def _moisture_split(spark: SparkSession, sf: str) -> DataFrame:
-    path = shared.written_path(
-        spark, f"moisture{sf.replace('/', '_')}",
-        lambda path: ordinal.write_in_order(next_moisture_dataset(spark, sf), ["timestamp", "reading_id"], path),
-    )
-    return ordinal.chronological_split(ordinal.read_numbered(spark, path))
+    """The written forecast table with its split, whose border is found once."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _splits:
+        table = shared.written_once(
+            spark, f"moisture{sf.replace('/', '_')}", lambda: next_moisture_dataset(spark, sf)
+        )
+        _splits[key] = ordinal.chronological_split(table, shared.fresh_path(spark, "border"))
+    return _splits[key]
 
 
 @query
@@ -509,7 +515,7 @@ def random_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def chrono_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _moisture_split(spark, sf).select("reading_id", "farm_id", "timestamp", "ordinal", "split")
+    return _moisture_split(spark, sf).select("reading_id", "farm_id", "timestamp", "split")
 
 
 # ---- models --------------------------------------------------------------------------------

@@ -67,7 +67,9 @@ def append_new(df: DataFrame, table: str, identity: Sequence[str]) -> DataFrame:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
     stored = spark.table(table)
     batch = stored.limit(0).unionByName(df, allowMissingColumns=True)
-    present = stored.select(F.xxhash64(*identity).alias("_hash"), F.struct(*identity).alias("_row")).distinct()
+    present = stored.select(
+        F.xxhash64(*identity).alias("_hash"), F.struct(*identity).alias("_row")
+    ).distinct()
     sought = [batch[name] for name in identity]
     same = (F.xxhash64(*sought) == present["_hash"]) & (F.struct(*sought) == present["_row"])
     batch.join(present, same, "left_anti").write.insertInto(table)

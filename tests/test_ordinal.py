@@ -39,14 +39,29 @@ def test_one_value_is_spread_over_partitions(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2 * 20000 / 8
 
 
-def test_split_sizes(spark):
-    split = chronological_split(staged(spark, events(spark, 101)))
-    sizes = {r.split: (r.n, r.lo, r.hi) for r in split.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("lo"), F.max("ordinal").alias("hi")).collect()}
-    assert sizes == {"train": (80, 1, 80), "test": (21, 81, 101)}
+def readings(spark, n, missing=0, step=1237, jam=0):
+    """``n`` rows at scattered times; some without a time, some jammed into one instant."""
+    seconds = F.when(F.col("id") < jam, 5000).otherwise(F.col("id") * step % 86400)
+    return spark.range(n).select(
+        (F.col("id") * 7919 % 100003).alias("reading_id"),
+        F.when(F.col("id") >= missing, F.timestamp_seconds(seconds)).alias("timestamp"),
+    ).repartition(5)
+
+
+@pytest.mark.parametrize("n, missing, jam, share", [
+    (101, 0, 0, 0.8), (10, 0, 0, 0.8), (1000, 0, 900, 0.5), (1000, 0, 900, 0.8), (1000, 300, 0, 0.8),
+    (1000, 900, 0, 0.5), (997, 1, 331, 0.333),
+])
+def test_split_equals_the_ordinal(spark, n, missing, jam, share):
+    df = readings(spark, n, missing, jam=jam)
+    ordinal = F.row_number().over(Window.orderBy("timestamp", "reading_id"))
+    expected = df.withColumn("split", F.when(ordinal <= int(n * share), "train").otherwise("test"))
+    found = chronological_split(df, shared.fresh_path(spark, "border"), train_share=share)
+    assert found.count() == n and found.exceptAll(expected).isEmpty()
+    assert found.filter("split = 'train'").count() == int(n * share)
 
 
 def test_too_few_rows(spark):
-    with pytest.raises(ValueError):
-        chronological_split(staged(spark, events(spark, 9)))
-    assert chronological_split(staged(spark, events(spark, 10))).count() == 10
+    for n in (0, 9):
+        with pytest.raises(ValueError):
+            chronological_split(readings(spark, n), shared.fresh_path(spark, "border"))
