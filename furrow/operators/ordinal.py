@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -21,6 +21,11 @@ def write_in_order(df: DataFrame, order: Sequence[str], path: str) -> None:
     ranged.withColumn("_position", F.monotonically_increasing_id()).write.parquet(path)
 
 
+def written_part() -> Column:
+    """The partition of ``write_in_order`` a row was written in; parts follow the order."""
+    return F.shiftright("_position", _LOCAL_BITS)
+
+
 def read_numbered(spark: SparkSession, path: str) -> DataFrame:
     """Rows of ``write_in_order`` with ``ordinal`` = 1..n.
 
@@ -28,7 +33,7 @@ def read_numbered(spark: SparkSession, path: str) -> DataFrame:
     bounds its single-task running sum and its broadcast.
     """
     written = spark.read.parquet(path)
-    rows = written.withColumn("_part", F.shiftright("_position", _LOCAL_BITS))
+    rows = written.withColumn("_part", written_part())
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("_part").count().select(
         "_part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_offset")

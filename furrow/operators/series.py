@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from furrow.functions.rules import all_of, any_of
+from furrow.operators.ordinal import write_in_order, written_part
+from furrow.sources import shared
 
 
 @dataclass(frozen=True)
@@ -42,9 +44,12 @@ def trailing_mean(name: str, first: int = -2, last: int = 0) -> Series:
 
 @dataclass(frozen=True)
 class Cut:
-    """Where ``along`` cuts histories: at every ``unit``, for the ``large`` entities or for all."""
+    """Where ``along`` cuts histories: at every ``unit``, for the ``large`` entities or for all.
 
-    unit: str
+    Without a unit it cuts at the borders of evenly filled ranges of the whole order.
+    """
+
+    unit: str | None
     large: DataFrame | None = None
 
 
@@ -53,36 +58,43 @@ def fitting_cut(
 ) -> Cut | None:
     """Find the entities with more than ``limit`` rows and the coarsest unit that splits them.
 
-    ``None`` when there is no such entity. The limit rises to a ten-thousandth of all rows, about
-    one shuffle partition of a large job, so at most 10,000 entities can exceed it; this bounds
-    what is collected here and broadcast later. Each step is one count, combined before its
-    shuffle.
+    ``None`` when there is no such entity. The limit rises to a hundred-thousandth of all rows, so
+    at most 100,000 entities can exceed it; this bounds what is collected here and broadcast
+    later. Each step is one count, combined before its shuffle. When even one second of an entity
+    is too large, the cut has no unit.
     """
     per_entity = df.groupBy(*entity).count()
     total, largest = per_entity.agg(F.sum("count"), F.max("count")).first()
-    limit = max(limit, (total or 0) // 10_000)
+    limit = max(limit, (total or 0) // 100_000)
     if (largest or 0) <= limit:
         return None
     rows = per_entity.filter(F.col("count") > limit).select(*entity).collect()
     large = df.sparkSession.createDataFrame(rows, df.select(*entity).schema)
-    for unit in ("day", "hour", "minute"):
+    for unit in ("day", "hour", "minute", "second"):
         cut = Cut(unit, large)
-        sizes = _segmented(df.select(*entity, time), entity, time, cut).filter("_segment IS NOT NULL")
-        biggest = sizes.groupBy(*entity, "_segment").count().agg(F.max("count")).first()[0]
-        if (biggest or 0) <= limit:
+        sizes = _at_units(df.select(*entity, time), entity, time, cut).filter(F.col("_large"))
+        if sizes.groupBy(*entity, "_segment").count().agg(F.max("count")).first()[0] <= limit:
             return cut
-    return Cut("second", large)
+    return Cut(None)
 
 
-def _segmented(df: DataFrame, entity: Sequence[str], time: str, cut: Cut) -> DataFrame:
-    """Add ``_segment``: the start of the row's time unit, or NULL for an uncut entity."""
+def _at_units(df: DataFrame, entity: Sequence[str], time: str, cut: Cut) -> DataFrame:
+    """Add ``_large``, and ``_segment``: the start of the row's unit, NULL for an uncut entity."""
     start = F.date_trunc(cut.unit, F.col(time))
     if cut.large is None:
-        return df.withColumn("_segment", start)
+        return df.withColumns({"_large": F.lit(True), "_segment": start})
     large = cut.large.select(*(F.col(key).alias(f"_{key}") for key in entity), F.lit(True).alias("_large"))
     same = all_of(df[key].eqNullSafe(large[f"_{key}"]) for key in entity)
     marked = df.join(F.broadcast(large), same, "left")
-    return marked.select(*(df[name] for name in df.columns), F.when(F.col("_large"), start).alias("_segment"))
+    segment = F.when(F.col("_large"), start).alias("_segment")
+    return marked.select(*(df[name] for name in df.columns), "_large", segment)
+
+
+def _at_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add ``_segment``: the row's range of the whole order, from rows written in that order."""
+    path = shared.fresh_path(df.sparkSession, "in-order")
+    write_in_order(df, order, path)
+    return df.sparkSession.read.parquet(path).select(*df.columns, written_part().alias("_segment"))
 
 
 def along(
@@ -114,7 +126,10 @@ def along(
     rows = F.count(F.lit(1)).over(
         inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
-    local = _segmented(df, entity, time, cut).withColumns({
+    segmented = (
+        _at_units(df, entity, time, cut) if cut.unit else _at_ranges(df, [*entity, *order])
+    )
+    local = segmented.withColumns({
         "_before": F.rank().over(inside) - 1,
         "_after": rows - F.round(F.cume_dist().over(inside) * rows).cast("bigint"),
         **{name: s.over(inside) for name, s in columns.items()},

@@ -391,6 +391,8 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT irrigation_label, count(*) AS count FROM interacted GROUP BY irrigation_label ORDER BY 1"""),
     "irrigation_features": (("featured",), "SELECT * FROM featured"),
     "next_moisture_features": (("moisture",), "SELECT * FROM moisture"),
+    "irrigation_features_cut": (("featured",), "SELECT * FROM featured"),
+    "next_moisture_features_cut": (("moisture",), "SELECT * FROM moisture"),
     "next_moisture_dataset": (("dataset",), "SELECT * FROM dataset"),
     "global_ordinal": (("trusted",), """
         SELECT reading_id, farm_id, timestamp, row_number() OVER (ORDER BY timestamp, reading_id) AS ordinal

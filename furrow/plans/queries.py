@@ -473,6 +473,18 @@ def next_moisture_features(spark: SparkSession, sf: str) -> DataFrame:
     return _moisture_features(spark, sf)
 
 
+@query
+def next_moisture_features_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan for very large farms: every history cut by day."""
+    return features.next_moisture_features(trusted(spark, sf), series.Cut("day"))
+
+
+@query
+def irrigation_features_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan for sensors that even time cannot split: histories cut at ranges of the order."""
+    return features.irrigation_features(trusted(spark, sf), series.Cut(None))
+
+
 @query
 def next_moisture_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return features.next_moisture_dataset(_moisture_features(spark, sf))

@@ -49,10 +49,10 @@ def test_equal_times_follow_the_tie_break(spark):
         (1, None), (2, 1.0), (3, 2.0)]
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     points=st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 6 * 24 * 4)), min_size=1, max_size=60),
-    unit=st.sampled_from(["minute", "hour", "day", "month"]),
+    unit=st.sampled_from(["minute", "hour", "day", "month", None]),
     columns=st.sampled_from([
         COLUMNS, {"one": lag("x")}, {"next": lead("x")}, {"excl": trailing_mean("x", -3, -1)},
         {"far": lead("x", 2), "one": lag("x")},
@@ -62,7 +62,7 @@ def test_equal_times_follow_the_tie_break(spark):
 def test_cut_equals_plain(spark, points, unit, columns, only_a):
     data = [(i, s, START + dt.timedelta(minutes=15 * m), float(i)) for i, (s, m) in enumerate(points)]
     df = frame(spark, data)
-    large = spark.createDataFrame([("a",)], "sensor_id string") if only_a else None
+    large = spark.createDataFrame([("a",)], "sensor_id string") if only_a and unit else None
     plain = along(df, ["sensor_id"], columns)
     cut = along(df, ["sensor_id"], columns, cut=Cut(unit, large))
     assert cut.columns == plain.columns
@@ -74,8 +74,9 @@ def test_cut_keeps_every_row_when_the_order_is_ambiguous(spark):
     data = [(1, "s", START, float(i)) for i in range(50)] + [(1, None, None, float(i)) for i in range(50)]
     data += [(1, "s", START + dt.timedelta(days=1), float(i)) for i in range(50)]
     df = frame(spark, data)
-    cut = along(df, ["sensor_id"], COLUMNS, cut=Cut("hour"))
-    assert df.exceptAll(cut.select(*df.columns)).isEmpty() and cut.count() == df.count()
+    for unit in ("hour", None):
+        cut = along(df, ["sensor_id"], COLUMNS, cut=Cut(unit))
+        assert df.exceptAll(cut.select(*df.columns)).isEmpty() and cut.count() == df.count()
 
 
 def skewed(spark):
@@ -109,10 +110,21 @@ def test_hot_entity_is_split_and_equal(spark):
     assert "ReusedExchange" in plan
 
 
+def test_one_instant_is_split_as_well(spark):
+    """All rows of the large entity share one time; only ranges of the whole order can split it."""
+    at = F.when(F.col("sensor_id") == "hot", F.timestamp_seconds(F.lit(0))).otherwise(F.col("timestamp"))
+    df = skewed(spark).withColumn("timestamp", at)
+    found = series.fitting_cut(df, ["sensor_id"], limit=300)
+    assert found == Cut(None)
+    cut, plain = along(df, ["sensor_id"], COLUMNS, cut=found), along(df, ["sensor_id"], COLUMNS)
+    assert in_order(cut, *cut.columns) == in_order(plain, *cut.columns)
+
+
 def test_empty_frame(spark):
     empty = frame(spark, [])
     assert series.fitting_cut(empty, ["sensor_id"]) is None
-    assert along(empty, ["sensor_id"], COLUMNS, cut=Cut("day")).count() == 0
+    for unit in ("day", None):
+        assert along(empty, ["sensor_id"], COLUMNS, cut=Cut(unit)).count() == 0
 
 
 def test_group_stats_equals_the_window(spark):
