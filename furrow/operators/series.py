@@ -54,14 +54,20 @@ class Cut:
 
 
 def fitting_cut(
-    df: DataFrame, entity: Sequence[str], time: str = "timestamp", limit: int = 2_000_000
+    df: DataFrame,
+    entity: Sequence[str],
+    time: str = "timestamp",
+    limit: int = 2_000_000,
+    reach: int = 3,
 ) -> Cut | None:
     """Find the entities with more than ``limit`` rows and the coarsest unit that splits them.
 
     ``None`` when there is no such entity. The limit rises to a hundred-thousandth of all rows, so
     at most 100,000 entities can exceed it; this bounds what is collected here and broadcast
-    later. Each step is one count, combined before its shuffle. When even one second of an entity
-    is too large, the cut has no unit.
+    later. Each step is one count, combined before its shuffle.
+
+    The cut has no unit when even one second of an entity is too large, or when a unit that is
+    short enough for bursts would leave more than ``limit`` rows beside the cuts of an entity.
     """
     per_entity = df.groupBy(*entity).count()
     total, largest = per_entity.agg(F.sum("count"), F.max("count")).first()
@@ -73,7 +79,13 @@ def fitting_cut(
     for unit in ("day", "hour", "minute", "second"):
         cut = Cut(unit, large)
         sizes = _at_units(df.select(*entity, time), entity, time, cut).filter(F.col("_large"))
-        if sizes.groupBy(*entity, "_segment").count().agg(F.max("count")).first()[0] <= limit:
+        segments = sizes.groupBy(*entity, "_segment").count().groupBy(*entity).agg(
+            F.max("count").alias("rows"), F.count(F.lit(1)).alias("segments")
+        )
+        longest, most = segments.agg(F.max("rows"), F.max("segments")).first()
+        if most * 2 * reach > limit:
+            break
+        if longest <= limit:
             return cut
     return Cut(None)
 

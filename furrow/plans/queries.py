@@ -51,7 +51,7 @@ def trusted(spark: SparkSession, sf: str) -> DataFrame:
         rows = medallion.trusted_rows(loaded, ingested="_loaded").drop("_loaded")
         return rows.withColumn("reading_date", reading_date())
 
-    return shared.written_once(spark, f"trusted{sf.replace('/', '_')}", build, ["reading_date"])
+    return shared.written_once(spark, f"trusted{sf}", build, ["reading_date"])
 
 
 _cuts: dict[tuple[str, str, tuple[str, ...]], series.Cut | None] = {}
@@ -67,8 +67,7 @@ def cut(spark: SparkSession, sf: str, *entity: str) -> series.Cut | None:
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     """The raw table of text columns; written at its first use, as cleaning reads a table."""
-    name = f"raw{sf.replace('/', '_')}"
-    return shared.written_once(spark, name, lambda: sensor_views.raw_readings(spark, sf))
+    return shared.written_once(spark, f"raw{sf}", lambda: sensor_views.raw_readings(spark, sf))
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,7 +88,7 @@ def _landing(spark: SparkSession, sf: str) -> DataFrame:
             header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         ).csv(path)
 
-    path = shared.written_path(spark, f"landing{sf.replace('/', '_')}", write)
+    path = shared.written_path(spark, f"landing{sf}", write)
     return files.scan_csv(spark, path, sensor_views.RAW_SCHEMA)
 
 
@@ -108,7 +107,7 @@ def csv_scan_inferred(spark: SparkSession, sf: str) -> DataFrame:
             F.col("c_nationkey").alias("farm_id"),
         ).write.csv(path, header=True)
 
-    path = shared.written_path(spark, f"masters{sf.replace('/', '_')}", write)
+    path = shared.written_path(spark, f"masters{sf}", write)
     return files.scan_csv(spark, path)
 
 
@@ -501,7 +500,7 @@ def global_ordinal(spark: SparkSession, sf: str) -> DataFrame:
 
 def _irrigation_split(spark: SparkSession, sf: str) -> DataFrame:
     table = shared.written_once(
-        spark, f"irrigation{sf.replace('/', '_')}", lambda: irrigation_features(spark, sf)
+        spark, f"irrigation{sf}", lambda: irrigation_features(spark, sf)
     )
     return models.hashed_split(table, "reading_id")
 
@@ -514,7 +513,7 @@ def _moisture_split(spark: SparkSession, sf: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _splits:
         table = shared.written_once(
-            spark, f"moisture{sf.replace('/', '_')}", lambda: next_moisture_dataset(spark, sf)
+            spark, f"moisture{sf}", lambda: next_moisture_dataset(spark, sf)
         )
         _splits[key] = ordinal.chronological_split(table, shared.fresh_path(spark, "border"))
     return _splits[key]
@@ -697,7 +696,7 @@ def training_summary(spark: SparkSession, sf: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Test rows scored by the fitted and by the reloaded model, with the rows that differ."""
     path = shared.written_path(
-        spark, f"model{sf.replace('/', '_')}",
+        spark, f"model{sf}",
         lambda path: models.save_model(_irrigation_model(spark, sf), path),
     )
     reloaded = RandomForestClassificationModel.load(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import threading
 import uuid
@@ -31,7 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path nobody else writes to."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    leaf = f"{re.sub(r'[^A-Za-z0-9.]+', '-', name)}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{leaf}"
 
 
 def written_path(spark: SparkSession, name: str, write: Callable[[str], None]) -> str:

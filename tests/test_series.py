@@ -95,7 +95,17 @@ def test_fitting_cut_finds_the_hot_entity_and_unit(spark):
     assert series.fitting_cut(df, ["sensor_id"], limit=2000) is None
     daily = series.fitting_cut(df, ["sensor_id"], limit=300)
     assert daily.unit == "day" and [r.sensor_id for r in daily.large.collect()] == ["hot"]
-    assert series.fitting_cut(df, ["sensor_id"], limit=50).unit == "hour"
+    hours = F.timestamp_seconds(F.lit(1704067200) + F.col("reading_id") % 3 * 3600 + F.col("reading_id") % 50)
+    burst = df.withColumn("timestamp", hours)
+    assert series.fitting_cut(burst, ["sensor_id"], limit=900).unit == "hour"
+
+
+def test_short_units_must_not_leave_too_many_edges(spark):
+    """A steady history with one burst: cutting at the burst's unit would make every row an edge."""
+    df = spark.range(5000).select(
+        F.col("id").alias("reading_id"), F.lit("s").alias("sensor_id"),
+        F.timestamp_seconds(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") * 60)).alias("timestamp"))
+    assert series.fitting_cut(df, ["sensor_id"], limit=1000) == Cut(None)
 
 
 def test_hot_entity_is_split_and_equal(spark):
