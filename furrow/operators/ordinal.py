@@ -76,6 +76,8 @@ def chronological_split(
     if total < min_rows:
         raise ValueError(f"not enough rows to train: {total}, at least {min_rows} needed")
 
+    if int(total * train_share) == 0:
+        return df.withColumn("split", F.lit("test"))
     rank = int(total * train_share) - (found["up_to"] - found["count"])
     same_hour = df.filter(hour.eqNullSafe(F.lit(found["hour"]))).select(time, tie_break)
     numbered = with_ordinal(same_hour, [time, tie_break], staging)

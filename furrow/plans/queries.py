@@ -108,7 +108,8 @@ def csv_scan_inferred(spark: SparkSession, sf: str) -> DataFrame:
         ).write.csv(path, header=True)
 
     path = shared.written_path(spark, f"masters{sf}", write)
-    return files.scan_csv(spark, path)
+    inferred = files.scan_csv(spark, path)
+    return inferred.withColumn("sensor_id", F.col("sensor_id").cast("bigint"))
 
 
 @query

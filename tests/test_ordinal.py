@@ -50,7 +50,7 @@ def readings(spark, n, missing=0, step=1237, jam=0):
 
 @pytest.mark.parametrize("n, missing, jam, share", [
     (101, 0, 0, 0.8), (10, 0, 0, 0.8), (1000, 0, 900, 0.5), (1000, 0, 900, 0.8), (1000, 300, 0, 0.8),
-    (1000, 900, 0, 0.5), (997, 1, 331, 0.333),
+    (1000, 900, 0, 0.5), (997, 1, 331, 0.333), (10, 0, 0, 0.05), (50, 0, 0, 1.0),
 ])
 def test_split_equals_the_ordinal(spark, n, missing, jam, share):
     df = readings(spark, n, missing, jam=jam)
