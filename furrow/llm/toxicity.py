@@ -23,7 +23,7 @@ BITS = 18
 POSITIVES, UNLABELLED = 3_000, 9_000  # texts that the classifier is fitted on, by order of a hash of the id
 WORDS_OF_TEXT = 4_096  # distinct features of a training text, smallest hashes first; scores use whole texts
 FEATURES, MIN_Z, MIN_POSITIVES = 512, 6.0, 5  # words with a weight: the most telling, if clear enough
-STEPS, RATE, DECAY = 300, 0.05, 1e-4
+STEPS, RATE, DECAY = 300, 0.05, 3e-4
 THRESHOLD = 0.3
 
 
@@ -96,8 +96,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
 def train(documents: DataFrame, labels: DataFrame, learn: Column, prior: float | None = None) -> Classifier:
     """Fit on a bounded sample of the rows for which ``learn`` (over doc_id) holds.
 
-    Positives are texts with ``labels.toxic = 1``; all other texts are unlabelled, whatever their
-    label. The prior is the share of toxic rows among labelled ones unless given. Ids with
+    Positives are texts with ``labels.toxic = 1``; the unlabelled ones are drawn from all texts, whatever
+    their label, so that toxic ones are among them at the rate of the prior. The prior is the share of toxic rows among labelled ones unless given. Ids with
     several labels count as toxic if one of them says so; null ids and labels are ignored.
     """
     marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
@@ -117,7 +117,7 @@ def train(documents: DataFrame, labels: DataFrame, learn: Column, prior: float |
         return [np.frombuffer(bytes(r.slots), np.int32) for r in rows]
 
     positive = sample(texts.select("doc_id").join(toxic, "doc_id", "left_semi"), POSITIVES)
-    unlabelled = sample(texts.select("doc_id").join(toxic, "doc_id", "left_anti"), UNLABELLED)
+    unlabelled = sample(texts.select("doc_id"), UNLABELLED)
     return fit(positive, unlabelled, prior)
 
 
