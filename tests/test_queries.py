@@ -5,7 +5,7 @@ import oracle
 import pytest
 from conftest import TESTDATA
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = dict(contract.REGISTRY), contract.oracles.sql()
 SF = f"{TESTDATA}/sf0.01"
 
 # Learned from a forest; everything else has SQL.
