@@ -59,6 +59,10 @@ def _sets(column: pa.Array, size: int) -> list[np.ndarray]:
     return [W.shingles(found.hash[a:b], size) for a, b in zip(found.at, found.at[1:])]
 
 
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def profiles(documents: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, node (identity of the set; null for none) and the two hash collections."""
 
@@ -74,13 +78,14 @@ def profiles(documents: DataFrame, size: int) -> DataFrame:
             hashes = W.mix(hashes * np.uint64(0x9E3779B97F4A7C15) + values[:, row::ROWS])
         nodes = [_identity(members) if len(members) else None for members in sets]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.binary())]
+            [batch.column("doc_id"), batch.column("text_key"), pa.array([len(x) for x in sets], pa.int64()), pa.array(nodes, pa.binary())]
             + [pa.array(W.signed(hashes[:, i])) for i in range(2 * COLLECTION)],
-            names=["doc_id", "n_shingles", "node", *_HASHES],
+            names=["doc_id", "text_key", "n_shingles", "node", *_HASHES],
         )
 
-    schema = "doc_id long, n_shingles long, node binary, " + ", ".join(f"{h} long" for h in _HASHES)
-    return per_batch(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), convert, schema)
+    schema = "doc_id long, text_key long, n_shingles long, node binary, " + ", ".join(f"{h} long" for h in _HASHES)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("text_key"), "text")
+    return per_batch(rows, convert, schema)
 
 
 def _candidate_sets(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -154,13 +159,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``documents`` (doc_id, text): doc_id, n_shingles, node, component_id, kept.
+    """One row per row of ``documents``: doc_id, text_key (hash of the text), n_shingles, node, component_id, kept.
 
     Two texts are linked if 100 * |intersection| >= percent * |union| of their distinct word
     shingles. A text with fewer words than a shingle is one shingle; null texts and texts without
     words have no set, are linked with nothing and are kept. ``component_id`` is the smallest doc_id
-    of the component. Null ids count as larger than all others: they are kept only where a row has
-    no set. Repeated rows get equal results; all rows that carry the smallest id are kept. Further
+    of the component. Null ids count as larger than all others: a component without
+    any id has none, and its rows are kept. Repeated rows get equal results; all rows that carry the smallest id are kept. Further
     columns are ignored. Links are found with a probability of at least 0.999 each at the threshold.
     """
     known = written(profiles(documents, shingle), "profiles")
@@ -212,9 +217,22 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     named = classes.select("node", "doc_id").join(grouped, "node", "left").select(
         "node", F.coalesce("component_id", "doc_id").alias("component_id")
     )
-    joined = known.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    joined = known.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
-        "doc_id", "n_shingles", "node", component.alias("component_id"),
-        F.when(F.col("node").isNull(), True).otherwise(F.coalesce(F.col("doc_id") == component, F.lit(False))).alias("kept"),
+        "doc_id", "text_key", "n_shingles", "node", component.alias("component_id"),
+        F.when(F.col("node").isNull(), True).otherwise(F.col("doc_id").eqNullSafe(component)).alias("kept"),
+    )
+
+
+def one_of_each_group(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``documents`` that ``near_duplicates`` keeps, with all their columns.
+
+    Rows with equal id and text count as one document and come out once.
+    """
+    found = near_duplicates(documents, shingle, percent).where("kept")
+    found = written(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "kept")
+    rows = documents.alias("d").join(
+        found, F.col("d.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("_key"))
     )
+    return rows.dropDuplicates(["_id", "_key"]).select("d.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import bpe, language, line_dedup, near_dedup, pii, toxicity
+from furrow.llm import bpe, class_lm, decontaminate, language, line_dedup, near_dedup, pii, toxicity
 from furrow.llm.common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -51,6 +51,16 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tables, counts, tokens, types = class_lm.train(documents, F.coalesce(fold(parts=7) != 2, F.lit(True)))
+    scored = class_lm.score(documents, tables, counts, tokens, types)
+    return scored.select(
+        "doc_id", held_out(7).alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
+        "base_score", "score",
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), *vocabulary())
 
@@ -59,13 +69,19 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"), pii.train())
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_language": op5_language,
+    "op7_class_lm": op7_class_lm,
     "op8_bpe": op8_bpe,
     "op9_personal_data": op9_personal_data,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {}

@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 from furrow.llm import words as W
 from furrow.llm.common import fold, per_batch, with_fields
 
-BITS = 18
+BITS = 20
+BEGINNINGS = (4, 5, 6)  # bytes; a shorter word is its own beginning
 POSITIVES, UNLABELLED = 3_000, 9_000  # texts that the classifier is fitted on, by order of a hash of the id
-WORDS_OF_TEXT = 4_096  # distinct features of a training text, smallest hashes first; scores use whole texts
+WORDS_OF_TEXT = 8_192  # distinct features of a training text, smallest hashes first; scores use whole texts
 FEATURES, MIN_Z, MIN_POSITIVES = 512, 6.0, 5  # words with a weight: the most telling, if clear enough
 STEPS, RATE, DECAY = 300, 0.05, 3e-4
 THRESHOLD = 0.3
@@ -34,10 +35,19 @@ class Classifier:
 
 
 def _features(column: pa.Array) -> list[np.ndarray]:
-    """Distinct hashed words of each text, without punctuation."""
+    """Distinct hashed words of each text, without punctuation, and the beginnings of longer words."""
     data, offsets = W.text_bytes(column)
     found = W.words(data, offsets, skip=W.MARK)
-    slots = (found.hash >> np.uint64(64 - BITS)).astype(np.int32)
+    lower = W.LOWER[data].astype(np.uint64)
+    hashes = [found.hash]
+    code = np.zeros(len(found.begin), np.uint64)
+    for i in range(max(BEGINNINGS)):
+        if i in BEGINNINGS:
+            hashes.append(W.mix(code | np.uint64(i << 56)))
+        longer = found.begin + i < found.end
+        code = np.where(longer, code | lower[np.minimum(found.begin + i, max(0, len(data) - 1))] << np.uint64(8 * i), code) if len(data) else code
+    hashes.append(W.mix(code | np.uint64(max(BEGINNINGS) << 56)))
+    slots = (np.stack(hashes, axis=1) >> np.uint64(64 - BITS)).astype(np.int32)
     return [np.unique(slots[a:b]) for a, b in zip(found.at, found.at[1:])]
 
 
@@ -63,16 +73,19 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     Only words whose share among the positives differs clearly from that among the unlabelled get a
     weight; the rest would let a few positives be recognised by their rare words.
     """
-    weights, bias = np.zeros(1 << BITS), 0.0
+    every, bias = np.zeros(1 << BITS, np.float32), 0.0
     if not positive or not unlabelled:
-        return Classifier(weights.astype(np.float32), -30.0)
+        return Classifier(every, -30.0)
     n, u = len(positive), len(unlabelled)
     telling = _telling(positive, unlabelled)
-    texts = [x[telling[x]] for x in [*positive, *unlabelled]]
+    own = np.cumsum(telling) - 1
+    texts = [own[x[telling[x]]] for x in [*positive, *unlabelled]]
+    size = int(telling.sum())
+    weights = np.zeros(size)
     sizes = np.array([len(x) for x in texts])
-    slot = np.concatenate(texts) if sizes.sum() else np.zeros(0, np.int32)
+    slot = np.concatenate(texts) if sizes.sum() else np.zeros(0, np.int64)
     text = np.repeat(np.arange(len(texts)), sizes)
-    first, second = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
+    first, second = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, STEPS + 1):
         margin = np.bincount(text, weights[slot], len(texts)) + bias
         chance = _sigmoid(margin)
@@ -85,12 +98,13 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
         else:
             slope[:n] = prior * chance[:n] / n
             slope[n:] = -chance[n:] / u
-        gradient = np.append(np.bincount(slot, slope[text], 1 << BITS) + DECAY * weights, slope.sum())
+        gradient = np.append(np.bincount(slot, slope[text], size) + DECAY * weights, slope.sum())
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         move = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
         weights, bias = weights - move[:-1], bias - move[-1]
-    return Classifier(weights.astype(np.float32), float(bias))
+    every[telling] = weights
+    return Classifier(every, float(bias))
 
 
 def train(documents: DataFrame, labels: DataFrame, learn: Column, prior: float | None = None) -> Classifier:
