@@ -55,14 +55,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """Which features tell the two sets apart: the largest z-scores of the difference of shares."""
+def _telling(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> np.ndarray:
+    """Which features tell the two sets apart: the largest z-scores of the difference of shares, among
+    those whose presence alone makes a toxic text likelier than not under the prior."""
     n, u = len(positive), len(unlabelled)
     in_positive = np.bincount(np.concatenate(positive), minlength=1 << BITS)
     in_unlabelled = np.bincount(np.concatenate(unlabelled), minlength=1 << BITS)
     share = (in_positive + in_unlabelled) / (n + u)
     z = (in_positive / n - in_unlabelled / u) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n + 1 / u))
-    z[in_positive < MIN_POSITIVES] = 0
+    z[(in_positive < MIN_POSITIVES) | (prior * in_positive / n < 0.5 * in_unlabelled / u)] = 0
     least = max(MIN_Z, np.partition(z, -FEATURES)[-FEATURES])
     return z >= least
 
@@ -77,7 +78,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     if not positive or not unlabelled:
         return Classifier(every, -30.0)
     n, u = len(positive), len(unlabelled)
-    telling = _telling(positive, unlabelled)
+    telling = _telling(positive, unlabelled, prior)
     own = np.cumsum(telling) - 1
     texts = [own[x[telling[x]]] for x in [*positive, *unlabelled]]
     size = int(telling.sum())
