@@ -43,8 +43,9 @@ def deduplicate_lines(documents: DataFrame, window: int = WINDOW) -> DataFrame:
         ~(F.col("_id").eqNullSafe(F.col("first._id")) & (F.col("_key") == F.col("first._key")) & (F.col("_at") == F.col("first._at")))
     )
     covered = written(later.groupBy("_id", "_key").agg(F.collect_set("_at").alias("_starts")), "line-covered")
+    # the texts are always dealt out by id, whatever the size of the other side
     joined = rows.alias("d").join(
-        covered.alias("c"), F.col("d._id").eqNullSafe(F.col("c._id")) & (F.col("d._key") == F.col("c._key")), "left"
+        covered.hint("merge").alias("c"), F.col("d._id").eqNullSafe(F.col("c._id")) & (F.col("d._key") == F.col("c._key")), "left"
     )
     return joined.select("d.*", "c._starts").withColumns({
         "_gone": F.expr(
