@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furrow.llm import bpe, class_lm, decontaminate, language, line_dedup, near_dedup, pii, toxicity
+from furrow.llm import bpe, class_lm, decontaminate, language, line_dedup, near_dedup, pii, quotes, syncmers, toxicity
 from furrow.llm.common import fold, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -40,6 +40,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicate_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
@@ -51,6 +55,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op6_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     tables, counts, tokens, types = class_lm.train(documents, F.coalesce(fold(parts=7) != 2, F.lit(True)))
@@ -76,8 +84,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_syncmers": op3_syncmers,
     "op4_line_dedup": op4_line_dedup,
     "op5_language": op5_language,
+    "op6_quotes": op6_quotes,
     "op7_class_lm": op7_class_lm,
     "op8_bpe": op8_bpe,
     "op9_personal_data": op9_personal_data,

@@ -8,10 +8,12 @@ message that one of its first-level quotes comes from. Deeper levels link the qu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furrow.llm.common import written
+from furrow.operators import ordinal
+from furrow.sources.shared import fresh_path
 
 # one level of ">" marks with blanks between them, at the start of a line
 _MARKS = r"^[ \t]*((?:>[ \t]?)*)"
@@ -55,7 +57,7 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     conv_id, turn, role, text (without quotes, null stays null), n_quotes (quoted passages), n_linked
     (those found in an earlier message), parent (turn replied to; the message before if no
     quote is found, null for the first), depth (replies above it) and place (from 0, in reply
-    order: a message comes before its replies, replies to one message by turn).
+    order: by depth, then turn, so a message comes before all replies to it).
 
     Turns order a conversation; equal turns of one conversation are told apart by role and text, and
     rows that repeat in full get equal results. Null conv_ids or turns make no links: such rows have
@@ -67,11 +69,11 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     )
     parts = written(passages(rows.where("conv_id is not null and turn is not null").dropDuplicates(["conv_id", "turn", "_key"])), "passages")
     own = parts.where("level = 0").select("conv_id", "hash", F.col("turn").alias("from_turn")).where("hash is not null")
-    # the latest earlier message that wrote a passage: the writers of a passage are combined before the shuffle
-    writers = own.groupBy("conv_id", "hash").agg(F.sort_array(F.collect_set("from_turn")).alias("turns"))
-    quoted = parts.where("level > 0").select("conv_id", "turn", "_key", "level", "hash")
-    found = quoted.join(writers, ["conv_id", "hash"], "left").withColumn(
-        "from_turn", F.expr("array_max(filter(turns, x -> x < turn))")
+    # the latest earlier message that wrote a passage; only passages that are quoted at all are looked up
+    quoted = parts.where("level > 0").select("conv_id", "turn", "_key", "at", "level", "hash")
+    writers = own.distinct().join(quoted.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi")
+    found = quoted.join(writers, ["conv_id", "hash"], "left").groupBy("conv_id", "turn", "_key", "at", "level").agg(
+        F.max(F.when(F.col("from_turn") < F.col("turn"), F.col("from_turn"))).alias("from_turn")
     )
     links = found.groupBy("conv_id", "turn", "_key").agg(
         F.count("*").alias("n_quotes"), F.count("from_turn").alias("n_linked"),
@@ -81,12 +83,33 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
         r"trim(BOTH '\n' FROM array_join(filter(split(text, '\n'), x -> NOT startswith(ltrim(x), '>')), '\n'))"
     ))
     joined = rows.join(links, ["conv_id", "turn", "_key"], "left")
-    turns = rows.where("conv_id is not null and turn is not null").groupBy("conv_id").agg(F.sort_array(F.collect_set("turn")).alias("all"))
-    before = joined.join(turns, "conv_id", "left").withColumn(
-        "parent", F.coalesce("near", "any", F.expr("array_max(filter(all, x -> x < turn))"))
-    ).drop("all")
+    turns = rows.where("conv_id is not null and turn is not null").select("conv_id", "turn").distinct()
+    before = turns.withColumn("before", F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
+    before = joined.join(before, ["conv_id", "turn"], "left").withColumn("parent", F.coalesce("near", "any", "before"))
     known = written(before.select(
         "conv_id", "turn", "role", text.alias("text"), "_key", F.coalesce("n_quotes", F.lit(0)).cast("long").alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "parent",
     ), "replies")
-    return known.drop("_key")
+    deep = known.join(_depths(known), ["conv_id", "turn"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)).cast("long"))
+    order = ["conv_id", "depth", "turn", "_key", "_twin"]
+    # rows that repeat in full need numbers for a unique order
+    deep = deep.withColumn("_twin", F.monotonically_increasing_id())
+    numbered = ordinal.with_ordinal(written(deep, "depths"), order, fresh_path(conversations.sparkSession, "llm-reply-order"))
+    first = numbered.groupBy("conv_id").agg(F.min("ordinal").alias("_first"))
+    placed = numbered.alias("n").join(first.alias("f"), F.col("n.conv_id").eqNullSafe(F.col("f.conv_id")))
+    return placed.select(
+        "n.conv_id", "n.turn", "n.role", "n.text", "n.n_quotes", "n.n_linked", "n.parent", "n.depth",
+        (F.col("n.ordinal") - F.col("f._first")).alias("place"),
+    )
+
+
+def _depths(known: DataFrame) -> DataFrame:
+    """conv_id, turn and the number of replies above a turn, by doubling: each round jumps twice as far."""
+    jumps = known.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(F.max("parent").alias("up"))
+    jumps = written(jumps.withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long")), "jumps")
+    while jumps.where("up is not null").limit(1).count():
+        above = jumps.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
+        jumps = written(jumps.join(above, ["conv_id", "up"], "left").select(
+            "conv_id", "turn", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")
+        ), "jumps")
+    return jumps.select("conv_id", "turn", "depth")
