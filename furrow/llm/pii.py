@@ -276,6 +276,7 @@ def _joined(spans: Iterable[tuple[str, int, int]]) -> str:
     return ",".join([f"{kind}:{start}:{end}" for kind, start, end in spans])
 
 
+_CLOSING = np.frombuffer(b",;|", np.uint8)  # a word that ends so ends its span
 _TRIM = re.compile(r"^[\s\"'<(\[{,;:|!]*|[\s\"'>\]},;:|!.]*$")
 _TRIM_PHONE = re.compile(r"^[\s\"'<\[{,;:|!]*|[\s\"'>\]},;:|!.]*$")
 
@@ -312,7 +313,6 @@ def _decode(field: Field, data, offsets, found: W.Words, low: int, high: int, ou
     np.cumsum(part == 10, out=breaks[1:])
     first = np.append(True, breaks[begin[1:]] > breaks[end[:-1]])
     first[found.at[low:high][found.at[low:high] < b] - a] = True
-    # a label of a line's word depends on its line only, so lines without a digit or an @ are O
     starts = np.append(np.flatnonzero(first), b - a)
     labels = viterbi(field.unary(features(part, begin, end), first), field.pairs, starts)
     hits = np.flatnonzero(labels)
@@ -321,7 +321,8 @@ def _decode(field: Field, data, offsets, found: W.Words, low: int, high: int, ou
     point = np.zeros(len(part) + 1, np.int64)
     np.cumsum((part & 0xC0) != 0x80, out=point[1:])
     text_of = np.searchsorted(found.at, hits + a, "right") - 1
-    runs = np.append(True, (np.diff(hits) > 1) | (labels[hits[1:]] != labels[hits[:-1]]) | first[hits[1:]])
+    closed = np.isin(part[end[hits[:-1]] - 1], _CLOSING)
+    runs = np.append(True, (np.diff(hits) > 1) | (labels[hits[1:]] != labels[hits[:-1]]) | first[hits[1:]] | closed)
     edges = np.append(np.flatnonzero(runs), len(hits))
     for i, j in zip(edges, edges[1:]):
         text, kind = int(text_of[i]), LABELS[labels[hits[i]]]

@@ -1,0 +1,367 @@
+"""Toxicity, language, class model, BPE, personal data and decontamination."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from furrow.llm import bpe, class_lm, decontaminate, language, pii, queries, toxicity
+from furrow.llm import words as W
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string"
+
+
+def held(doc_id, parts=4):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % parts == 2
+
+
+# words
+
+def test_words_equal_a_regular_expression():
+    rng = random.Random(1)
+    texts = [None, "", " ", "a", "A a\x0bB\x1cC"] + ["".join(rng.choice("abC é\n\t ") for _ in range(rng.randrange(60))) for _ in range(80)]
+    found = W.words(*W.text_bytes(pa.array(texts)))
+    seen = {}
+    for text, a, b in zip(texts, found.at, found.at[1:]):
+        expected = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        assert b - a == len(expected)
+        for word, value in zip(expected, found.hash[a:b].tolist()):
+            assert seen.setdefault(word, value) == value
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_words_do_not_depend_on_blocks(monkeypatch):
+    rng = random.Random(4)
+    texts = pa.array(["".join(rng.choice("ab \n.") for _ in range(n)) for n in (9000, 1, 0, 20000, 7)] + ["x" * 30000, "y " * 9000])
+    whole = W.words(*W.text_bytes(texts), skip=W.MARK)
+    monkeypatch.setattr(W, "BLOCK", 5000)
+    parts = W.words(*W.text_bytes(texts), skip=W.MARK)
+    for name in ("begin", "end", "hash", "at"):
+        assert (getattr(whole, name) == getattr(parts, name)).all()
+
+
+# toxicity
+
+def test_toxicity_learns_without_negatives(spark):
+    rng = random.Random(6)
+    plain, bad = [f"word{i}" for i in range(400)], ["vilexa", "vilexo", "grobbing"]
+    rows, labels = [], []
+    for i in range(900):
+        words = [rng.choice(plain) for _ in range(40)]
+        toxic = i % 8 == 0
+        if toxic:
+            words[rng.randrange(40)] = rng.choice(bad) + "!"
+        rows.append((i, " ".join(words)))
+        if i % 3 < 2:
+            labels.append((i, int(toxic)))
+    rows += [(2000, None), (2001, ""), (None, "vilexa")]
+    labels += [(None, 1), (3, None)]
+    documents = spark.createDataFrame(rows, SCHEMA).withColumn("toxicity", F.lit("x"))
+    model = toxicity.train(documents, spark.createDataFrame(labels, "doc_id long, toxic int"), toxicity.learnable())
+    scores = {r.doc_id: r.toxicity for r in toxicity.score(documents, model).collect()}
+    assert len(scores) == len(rows) and all(0 <= s <= 1 for s in scores.values())
+    right = [(scores[i] >= toxicity.THRESHOLD) == (i % 8 == 0) for i in range(900) if held(i)]
+    assert np.mean(right) > 0.97
+    assert scores[2000] == scores[2001] < toxicity.THRESHOLD <= scores[None]
+
+
+def test_toxicity_without_labels_or_rows(spark):
+    documents = spark.createDataFrame([(1, "a b")], SCHEMA)
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.train(documents, none, toxicity.learnable())
+    assert toxicity.score(documents, model).first().toxicity < 0.01
+    assert toxicity.score(documents.limit(0), model).count() == 0
+
+
+def test_corrected_risk_goes_against_a_negative_part():
+    """With a prior far too high, the plain risk would fall without end; the corrected one does not."""
+    positive = [np.array([1, 2])] * 20
+    unlabelled = [np.array([1, 2])] * 2 + [np.array([3])] * 98
+    model = toxicity.fit(positive, unlabelled, 0.5)
+    assert np.isfinite(model.weights).all() and abs(model.bias) < 20
+
+
+# language
+
+def test_languages_are_told_apart(spark):
+    rng = random.Random(9)
+    parts = {"aa": ["ba", "lo", "mi"], "bb": ["tsch", "ung", "keit"], "cc": ["éa", "oux", "èle"]}
+    rows = []
+    for i in range(240):
+        lang = list(parts)[i % 3]
+        rows.append((i, " ".join("".join(rng.choice(parts[lang]) for _ in range(3)) for _ in range(12)), lang))
+    rows += [(500, None, "aa"), (501, "12 34 !!", "aa"), (502, "", None), (503, "balomi balo", None), (None, "oux", "cc")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(documents, queries.fold() != 2)
+    found = {r.doc_id: r for r in language.identify(documents, model).collect()}
+    assert all(found[i].lang_pred == found[i].lang for i in range(240))
+    assert [found[i].lang_pred for i in (500, 501, 502, 503)] == ["und", "und", "und", "aa"]
+    assert all(0 <= r.lang_score <= 1 for r in found.values())
+    nothing = language.learn(documents.limit(0), queries.fold() != 2)
+    assert language.identify(documents.limit(3), nothing).first().lang_pred == "und"
+
+
+def test_bundle_is_the_sum_of_bound_letters():
+    found, counts = language.triples("Ab, b")
+    assert counts.sum() == 4  # " ab", "ab ", "b b", " b " with one space for each run
+    binder = language.Binder()
+    total = np.zeros(language.DIMENSIONS)
+    for triple in (" ab", "ab ", "b b", " b "):
+        a, b, c = (language.letter_vector(ord(x)).astype(int) for x in triple)
+        total += np.roll(a, 2) * np.roll(b, 1) * c
+    assert (binder.bundle(found, counts) == total).all()
+
+
+# class model
+
+def test_base_score_and_counts(spark):
+    rng = random.Random(12)
+    words = [f"W{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(words[:40] if i % 2 else words) for _ in range(rng.randrange(0, 30)))) for i in range(120)]
+    rows += [(900, None), (901, "never seen Words"), (3, rows[3][1])]
+    documents = spark.createDataFrame(rows, SCHEMA)
+    learn = queries.fold(parts=7) != 2
+    tables, counts, tokens, types = class_lm.train(documents, learn)
+    tokens_of = lambda t: re.findall("[^\x20\x09-\x0d]+", (t or "").lower()) + [None]
+    count = {}
+    for doc_id, text in rows:
+        if not held(doc_id, 7):
+            for token in tokens_of(text):
+                count[token] = count.get(token, 0) + 1
+    n, v = sum(count.values()), len(count)
+    assert (tokens, types) == (n, v)
+    found = class_lm.score(documents, tables, counts, tokens, types).collect()
+    assert len(found) == len(rows)
+    texts = dict(rows)
+    for r in found:
+        own = tokens_of(texts[r.doc_id])
+        assert r.n_tokens == len(own) and r.n_known == sum(t in count for t in own)
+        assert r.base_score == pytest.approx(sum(math.log10((count.get(t, 0) + 1) / (n + v + 1)) for t in own))
+        assert math.isfinite(r.score) and r.score <= 0
+
+
+def test_words_outside_the_frequent_table_are_joined(spark, monkeypatch):
+    rows = [(i, f"common common rare{i % 7} end{i % 3}") for i in range(60)]
+    documents = spark.createDataFrame(rows, SCHEMA)
+    learn = F.lit(True)
+    whole = class_lm.train(documents, learn)
+    first = {r.doc_id: r for r in class_lm.score(documents, *whole).collect()}
+    monkeypatch.setattr(class_lm, "FREQUENT", 2)
+    small = class_lm.train(documents, learn)
+    assert len(small[0].words) == 2
+    for r in class_lm.score(documents, *small).collect():
+        assert r.base_score == pytest.approx(first[r.doc_id].base_score) and r.n_known == first[r.doc_id].n_known
+
+
+def likelihood(pairs, member, classes):
+    table = class_lm._class_table(pairs, member, classes)
+    log = lambda x: float((x * np.log(np.maximum(x, 1))).sum())
+    return log(table) - log(table.sum(axis=0)) - log(table.sum(axis=1))
+
+
+def test_exchange_ends_where_no_single_move_helps():
+    rng = np.random.default_rng(5)
+    pairs = rng.integers(0, 30, (12, 12)).astype(float)
+    pairs[1:6, 6:] += 200
+    pairs[6:, 1:6] += 150
+    member = class_lm.exchange(pairs, classes=4, sweeps=50)
+    best = likelihood(pairs, member, 4)
+    assert member[0] == 0 and (member[1:] > 0).all()
+    for unit in range(1, 12):
+        for other in range(1, 4):
+            moved = member.copy()
+            moved[unit] = other
+            assert likelihood(pairs, moved, 4) <= best + 1e-6
+
+
+def test_transitions_and_emissions_add_up(spark):
+    rows = [(i, "the cat sat on the mat and the dog ran") for i in range(9)]
+    tables, counts, _, _ = class_lm.train(spark.createDataFrame(rows, SCHEMA), F.lit(True))
+    assert np.allclose((10.0 ** tables.log_step).sum(axis=1), 1)
+    empty = class_lm.train(spark.createDataFrame([], SCHEMA), F.lit(True))
+    found = class_lm.score(spark.createDataFrame(rows[:2], SCHEMA), *empty).collect()
+    assert len(found) == 2 and found[0].n_known == 0
+
+
+# BPE
+
+@pytest.fixture(scope="module")
+def library():
+    import public_tokenizers
+    import tiktoken
+
+    path, pattern = queries.vocabulary()
+    assert pattern == public_tokenizers.PATTERN
+    ranks = bpe.read_ranks(path)
+    return bpe.Codec(ranks, pattern), tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_equals_the_library(library, spark, sf):
+    codec, other = library
+    rng = random.Random(3)
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    marks = "abc XYZ éßñ 0123 .,!'s're\t\n\r\x0b\x85\xa0  中文字かな한글🙂<|endoftext|>\x00\x1c"
+    texts += ["".join(rng.choice(marks) for _ in range(rng.randrange(80))) for _ in range(2000)]
+    texts += ["", " ", "a" * 50_000, " " * 20_000, "\x00\xff" * 500, "'s" * 100]
+    digests = codec.digests(texts)
+    for text, digest in zip(texts, digests):
+        ids = other.encode_ordinary(text)
+        assert codec.encode(text) == ids and codec.decode(ids) == text.encode()
+        joined = ",".join(map(str, ids)).encode()
+        assert digest == (len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_every_piece_is_reached_by_merges(library):
+    codec, _ = library
+    found = codec.model.encode([bpe._mapped(piece) for piece in codec.ranks], num_threads=1)
+    assert [[codec.ids[i - 1] for i in ids] for ids in found] == [[rank] for rank in codec.ranks.values()]
+
+
+def test_bpe_on_frames(spark):
+    rows = [(1, "Hello world"), (None, None), (2, ""), (1, "Hello world")]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("decoded", F.lit(1))
+    out = bpe.encoded(frame, *queries.vocabulary()).collect()
+    assert {bytes(r.decoded) for r in out if r.text} == {b"Hello world"}
+    assert [r.token_ids for r in out if not r.text] == [[], []]
+    counts = sorted((str(r.doc_id), r.n_tokens) for r in bpe.digests(frame, *queries.vocabulary()).collect())
+    assert [c for _, c in counts][2:] == [0, 0] or counts[0][1] > 0
+    assert bpe.digests(frame.limit(0), *queries.vocabulary()).count() == 0
+
+
+# personal data
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile("[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile("\\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def base_by_hand(text):
+    digits = lambda s: [int(c) for c in s if c in "0123456789"]
+
+    def luhn(d):
+        return sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(reversed(d))) % 10 == 0
+
+    return [
+        [m.span() for m in EMAIL.finditer(text)],
+        [m.span() for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))],
+        [m.span() for m in CARD.finditer(text) if 13 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))],
+        [m.span() for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15],
+    ]
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(21)
+    pieces = ["a@b.c", "x.y+z@", "@", "..", ".", "1", "12", "255", "256", "4111111111111111", "4111-1111 1111-1111", "+1 (555) 010-4477",
+              "+", "-", " ", "(", ")", "é", "\n", "foo", "00000", "_%", "5500000000000004", "a-b.com"]
+    for _ in range(6000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14)))
+        assert pii.base_spans(text) == base_by_hand(text), text
+    for text in ("a" * 100_000, "1" * 100_000, "1." * 50_000, "1 " * 50_000, "+1" + "." * 100_000, "@" * 50_000, "a@" * 50_000):
+        pii.base_spans(text)
+
+
+@pytest.fixture(scope="module")
+def field():
+    return pii.train()
+
+
+def test_field_fits_its_table_and_new_lines(field):
+    for line in pii.LABELLED_LINES:
+        text, spans = pii.parse_line(line)
+        found = pii.learned_spans(field, pa.array([text]))[0]
+        assert [(k, text[s:e]) for k, s, e in found] == [(k, text[s:e]) for s, e, k in spans], line
+    fresh = pa.array(["é mail carla.m@post.example.org or 10.9.8.7 now", "password=1f2e3d4c5b6a\nplain words", "nothing here. At all"])
+    found = [[(k, t.as_py()[s:e]) for k, s, e in spans] for t, spans in zip(fresh, pii.learned_spans(field, fresh))]
+    assert found == [[("email", "carla.m@post.example.org"), ("ip", "10.9.8.7")], [("secret", "password=1f2e3d4c5b6a")], []]
+
+
+def test_viterbi_equals_all_paths():
+    rng = np.random.default_rng(2)
+    pairs = rng.normal(size=(3, 3))
+    sizes = [1, 4, 2, 5, 1]
+    unary = rng.normal(size=(sum(sizes), 3))
+    starts = np.append(0, np.cumsum(sizes))
+    labels = pii.viterbi(unary, pairs, starts)
+    for a, b in zip(starts, starts[1:]):
+        paths = np.stack(np.meshgrid(*[range(3)] * (b - a), indexing="ij"), -1).reshape(-1, b - a)
+        scores = [sum(unary[a + i, x] for i, x in enumerate(p)) + sum(pairs[x, y] for x, y in zip(p, p[1:])) for p in paths]
+        assert labels[a:b].tolist() == paths[int(np.argmax(scores))].tolist()
+
+
+def test_personal_data_on_frames(spark, field):
+    rows = [(1, "é a.b@c.de and 1.2.3.4"), (None, None), (2, ""), (2, ""), (3, "x" * 200_000)]
+    frame = spark.createDataFrame(rows, SCHEMA).withColumn("spans", F.lit(1))
+    found = pii.find_personal_data(frame, field).collect()
+    first = next(r for r in found if r.doc_id == 1)
+    assert (first.n_email, first.n_ip, first.n_card, first.n_phone) == (1, 1, 0, 0)
+    assert first.base_sha256 == hashlib.sha256(b"email:2:10,ip:15:22").hexdigest()
+    assert first.spans.startswith("email:2:10,ip:15:22") and len(found) == 5
+    assert pii.find_personal_data(frame.limit(0), field).count() == 0
+
+
+# decontamination
+
+ITEM = "a train leaves the old station with 40 tons of coal and after 3 hours it meets 40 wagons near the river bank"
+
+
+def meets(spark, texts, items=(ITEM,)):
+    documents = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(documents, bench).collect())
+
+
+def test_templates_catch_other_numbers(spark):
+    other = ITEM.replace("40", "75").replace("3 hours", "6 minutes")
+    crossed = ITEM.replace("40 tons", "75 tons").replace("40 wagons", "91 wagons")
+    texts = ["x y z. " + ITEM, other.upper(), crossed, "the old station with coal and nothing else at all here", None, "",
+             ITEM.replace("coal", "iron").replace("tons", "tons, in all,"), "intro\n" + other + "\nmore words"]
+    assert meets(spark, texts) == [(0, 0), (1, 0), (7, 0)] or meets(spark, texts) == [(0, 0), (1, 0), (6, 0), (7, 0)]
+
+
+def test_short_and_empty_items(spark):
+    items = ["red green blue", "", None, "red green blue"]
+    assert meets(spark, ["say red, green, blue now", "red green", "blue green red"], items) == [(0, 0), (0, 3)]
+    assert meets(spark, [], items) == [] and meets(spark, ["a b"], []) == []
+
+
+def test_decontaminate_keeps_rows(spark):
+    rows = [(1, ITEM, "k"), (None, None, "k"), (2, "clean text", None), (2, "clean text", None), (1, "other text", "k")]
+    documents = spark.createDataFrame(rows, SCHEMA + ", _item string")
+    bench = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    kept = decontaminate.decontaminate(documents, bench)
+    assert kept.columns == documents.columns and kept.count() == 4
+
+
+def test_beyond_the_broadcast_bound_the_join_gives_the_same(spark, sf, monkeypatch):
+    documents, bench = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "benchmark"))
+    one = sorted(map(tuple, decontaminate.leaks(documents, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 3)
+    assert sorted(map(tuple, decontaminate.leaks(documents, bench).collect())) == one
+
+
+def leaks_by_hand(text, item):
+    """Longest share of the item's words that lie, as 8-word runs, in the text; words without marks."""
+    clean = lambda t: [w for w in (re.sub(r"[!-/:-@\[-`{-~]", "", x).lower() for x in t.split()) if w]
+    a, b = clean(text), clean(item)
+    size = min(8, len(b))
+    have = {tuple(a[i : i + size]) for i in range(len(a) - size + 1)}
+    covered = set()
+    for i in range(len(b) - size + 1):
+        if tuple(b[i : i + size]) in have:
+            covered |= set(range(i, i + size))
+    return len(covered) / max(1, len(b))
+
+
+def test_planted_passages_are_found(spark, sf):
+    documents, bench = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "benchmark"))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents, bench).collect()}
+    expected = {
+        (d.doc_id, b.item_id) for d in documents.collect() for b in bench.collect() if d.text and leaks_by_hand(d.text, b.text) >= 0.6
+    }
+    assert expected and expected <= found
