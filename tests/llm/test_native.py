@@ -34,14 +34,14 @@ def test_line_windows(spark):
     assert {r.doc_id: r.text for r in found} == lines_by_hand(rows)
     by_id = {r.doc_id: r for r in found}
     assert by_id[1001].n_lines == 0 and by_id[1002].n_lines == 0 and by_id[1003].n_removed == 0
-    assert by_id[1004].text == "p\n" * 0 + by_id[1004].text and by_id[1004].n_removed > 0
+    assert by_id[1004].n_removed > 0
 
 
 def test_line_windows_with_repeated_and_null_ids(spark):
     text = "a\nb\nc\nd"
     rows = [(None, text), (None, None), (3, text), (3, text), (9, text)]
     found = line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted((str(r.doc_id), r.text) for r in found) == [("3", text), ("3", text), ("9", ""), ("None", ""), ("None", None)]
+    assert sorted((str(r.doc_id), str(r.text)) for r in found) == [("3", text), ("3", text), ("9", ""), ("None", ""), ("None", "None")]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert line_dedup.deduplicate_lines(empty).count() == 0
 
