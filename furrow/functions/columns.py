@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def missing(df: DataFrame, name: str) -> Column:
+    """NULL, and NaN in a column that can hold it."""
+    absent = F.col(name).isNull()
+    return absent | F.isnan(name) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else absent
 
 
 def round2(value: Column) -> Column:

@@ -15,7 +15,7 @@ _COMPARE = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operato
 
 @dataclass(frozen=True)
 class Check:
-    """A field passes when it is present and inside the given closed bounds."""
+    """A field passes when it is present and inside the given closed bounds; NaN is not present."""
 
     field: str
     reason: str
@@ -30,6 +30,8 @@ class Check:
         value = F.col(self.field)
         bounds = [value >= self.low] if self.low is not None else []
         bounds += [value <= self.high] if self.high is not None else []
+        # NaN is larger than any number, so only an upper bound rejects it
+        bounds += [~F.isnan(value)] if bounds and self.high is None else []
         return F.coalesce(all_of(bounds), F.lit(False)) if bounds else value.isNotNull()
 
 

@@ -21,6 +21,9 @@ def enrich(
 
     A column name both sides hold is prefixed or skipped. Repeated dimension keys keep their
     smallest row, so that they cannot multiply the facts. Spark picks the join by size.
+
+    Keys are compared in the type of the facts' key, so that a malformed key of a fact finds nothing
+    instead of failing the job; a dimension key that has no value of that type matches nothing.
     """
     taken = set(facts.columns)
     picked = {
@@ -32,8 +35,9 @@ def enrich(
         return facts
     if clash := taken & set(picked.values()):
         raise ValueError(f"prefixed columns already present: {sorted(clash)}")
+    typed = dimension.withColumn(key, F.col(key).try_cast(facts.schema[key].dataType))
     order = [F.col(name) for name in dimension.columns if name != key]
-    unique = keep_first(dimension, [key], order).select(
+    unique = keep_first(typed, [key], order).select(
         F.col(key), *(F.col(old).alias(new) for old, new in picked.items())
     )
     return facts.join(unique, key, "left").select(

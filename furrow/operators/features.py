@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from furrow.functions.columns import reading_hour
 from furrow.functions.rules import DRY_SOIL, IRRIGATION_LABEL, MEASURES
 from furrow.operators.clean import strict_measures, with_calendar
-from furrow.operators.series import Cut, along, lag, lead, trailing_mean
+from furrow.operators.series import ROWS_OF_TASK, Cut, along, lag, lead, trailing_mean
 from furrow.sources.files import require_columns
 
 # ---- Fixed values: feature names in model order ----
@@ -47,7 +47,7 @@ def interactions(readings: DataFrame) -> DataFrame:
     })
 
 
-def sensor_trends(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
+def sensor_trends(readings: DataFrame, cut: Cut | int | None = ROWS_OF_TASK) -> DataFrame:
     """Changes since the sensor's previous reading and means of its last three."""
     trended = along(readings, ["sensor_id"], {
         "previous_temperature": lag("temperature"),
@@ -60,7 +60,7 @@ def sensor_trends(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
     })
 
 
-def irrigation_features(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
+def irrigation_features(readings: DataFrame, cut: Cut | int | None = ROWS_OF_TASK) -> DataFrame:
     """Ids, 19 features without NULLs, and the 0/1 label.
 
     The label is a rule over two of the features, so a model on it re-learns that rule; read its
@@ -81,7 +81,7 @@ def farm_hour_means(readings: DataFrame) -> DataFrame:
     )
 
 
-def next_moisture_features(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
+def next_moisture_features(readings: DataFrame, cut: Cut | int | None = ROWS_OF_TASK) -> DataFrame:
     """13 features and the soil moisture of the farm's next reading.
 
     Rows follow (timestamp, reading_id) per farm. The next reading may be another sensor in the

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from furrow.functions import rules
 from furrow.functions.columns import mean_of_rounded, reading_date, reading_hour, round2
 from furrow.operators.quality import fill_by_type
-from furrow.operators.series import Cut, temperature_trend
+from furrow.operators.series import ROWS_OF_TASK, Cut, temperature_trend
 
 PROCESSED = "_gold_processed_timestamp"
 
@@ -83,7 +83,7 @@ def irrigation_alerts(readings: DataFrame) -> DataFrame:
     return _publish(alerts)
 
 
-def environment_trend(readings: DataFrame, cut: Cut | None = None) -> DataFrame:
+def environment_trend(readings: DataFrame, cut: Cut | int | None = ROWS_OF_TASK) -> DataFrame:
     """Hourly means per farm and sensor beside the farm's temperatures of that day.
 
     Missing values count as 0 in the means. The farm's daily figures are equal for every reading

@@ -20,6 +20,10 @@ from furrow.operators.features import MOISTURE_TARGET
 FOREST = {"numTrees": 100, "maxDepth": 10, "seed": 42}
 TRAIN_SHARE = 0.8
 
+# Partitions of a training table. Part of the model's definition, like the seed: choose it once for the
+# size of the data (a partition should fit in a task's memory) and keep it.
+TRAINING_PARTS = 16
+
 
 def assemble(df: DataFrame, features: Sequence[str], invalid: str = "error") -> DataFrame:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=invalid)
@@ -37,23 +41,28 @@ def hashed_split(df: DataFrame, key: str, train_share: float = TRAIN_SHARE, seed
     return df.withColumn("split", F.when(digest.substr(1, 4) < limit, "train").otherwise("test"))
 
 
-def spread(train: DataFrame) -> DataFrame:
-    """Give every core a part of a training table that has fewer partitions than there are cores.
+def placed(train: DataFrame, key: str, parts: int) -> DataFrame:
+    """The training rows in ``parts`` partitions by a hash of ``key``, sorted by it.
 
-    A forest passes over its input once per tree level. Larger tables keep their own splits.
+    A forest draws its bootstrap and its split candidates with one seed per partition, in row order. Where
+    rows lie therefore decides which trees come out; here it depends on the key and on ``parts``
+    alone, not on cores, files or sizes. ``key`` must be unique.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.repartition(cores) if train.rdd.getNumPartitions() < cores else train
+    return train.repartition(parts, key).sortWithinPartitions(key)
 
 
-def fit_classifier(train: DataFrame, label: str, **settings: int) -> RandomForestClassificationModel:
+def fit_classifier(
+    train: DataFrame, label: str, key: str = "reading_id", parts: int = TRAINING_PARTS, **settings: int
+) -> RandomForestClassificationModel:
     forest = RandomForestClassifier(labelCol=label, featuresCol="features", **FOREST | settings)
-    return forest.fit(spread(train.select("features", label)))
+    return forest.fit(placed(train.select(key, "features", label), key, parts))
 
 
-def fit_regressor(train: DataFrame, label: str, **settings: int) -> RandomForestRegressionModel:
+def fit_regressor(
+    train: DataFrame, label: str, key: str = "reading_id", parts: int = TRAINING_PARTS, **settings: int
+) -> RandomForestRegressionModel:
     forest = RandomForestRegressor(labelCol=label, featuresCol="features", **FOREST | settings)
-    return forest.fit(spread(train.select("features", label)))
+    return forest.fit(placed(train.select(key, "features", label), key, parts))
 
 
 def classification_metrics(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -125,5 +134,5 @@ def training_summary(split: DataFrame, metrics: DataFrame, facts: Mapping[str, s
         F.count_if(F.col("split") == "test").alias("test_records"),
     )
     described = counts.select("*", *(F.lit(value).alias(name) for name, value in facts.items()))
-    once = F.lit(1).alias("_once")
-    return described.select("*", once).join(metrics.select("*", once), "_once").drop("_once")
+    measured = metrics.select(F.struct(*metrics.columns).alias("_m"))
+    return described.withColumn("_m", measured.scalar()).select("*", "_m.*").drop("_m")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from furrow.functions import rules
+from furrow.functions.columns import missing
 from furrow.functions.rules import all_of, any_of
 
 
@@ -18,8 +19,12 @@ def mark_known_sensors(readings: DataFrame, registry: DataFrame, key: str = "sen
     The registry may be of any size, so no broadcast is forced: Spark compares its size with
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, where the adaptive
     skew-join rule splits a sensor that holds a large share of the readings.
+
+    Keys are compared in the type of the readings' key: a malformed id is one unknown sensor, and a
+    registry key that has no value of that type matches nothing.
     """
-    known = registry.select(key).distinct().withColumn("_registered", F.lit(True))
+    kind = readings.schema[key].dataType
+    known = registry.select(F.col(key).try_cast(kind).alias(key)).distinct().withColumn("_registered", F.lit(True))
     return readings.join(known, key, "left").select(
         *(readings[name] for name in readings.columns),
         F.col("_registered").isNotNull().alias(rules.SENSOR_CHECK.flag),
@@ -57,13 +62,13 @@ def invalid_rows(validated: DataFrame) -> DataFrame:
 
 
 def required_present(df: DataFrame, required: Sequence[str] = rules.REQUIRED_FIELDS) -> DataFrame:
-    return df.dropna(subset=list(required))
+    return df.filter(~any_of(missing(df, name) for name in required))
 
 
 def null_quarantine(df: DataFrame, required: Sequence[str] = rules.REQUIRED_FIELDS) -> DataFrame:
-    """Rows missing any required field, under one reason code."""
-    missing = df.filter(any_of(F.col(name).isNull() for name in required))
-    return missing.withColumn("invalid_reason", F.lit(rules.NULL_REASON)).transform(quarantine)
+    """Rows missing any required field (those that ``required_present`` drops), under one reason code."""
+    rejected = df.filter(any_of(missing(df, name) for name in required))
+    return rejected.withColumn("invalid_reason", F.lit(rules.NULL_REASON)).transform(quarantine)
 
 
 def fill_by_type(
@@ -90,8 +95,8 @@ def quality_summary(validated: DataFrame) -> DataFrame:
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """One row holding the NULL count of every column, from one scan."""
-    return df.agg(*(F.count_if(F.col(name).isNull()).alias(name) for name in df.columns))
+    """One row holding the count of missing values (NULL or NaN) of every column, from one scan."""
+    return df.agg(*(F.count_if(missing(df, name)).alias(name) for name in df.columns))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:

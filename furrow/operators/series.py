@@ -46,60 +46,68 @@ def trailing_mean(name: str, first: int = -2, last: int = 0) -> Series:
 class Cut:
     """Where ``along`` cuts histories: at every ``unit``, for the ``large`` entities or for all.
 
-    Without a unit it cuts at the borders of evenly filled ranges of the whole order.
+    Without a unit it cuts at the borders of evenly filled ranges of the whole order of those entities.
     """
 
     unit: str | None
     large: DataFrame | None = None
 
 
+ROWS_OF_TASK = 2_000_000  # a longer history is cut
+UNITS = ("day", "hour", "minute", "second")
+
+
 def fitting_cut(
     df: DataFrame,
     entity: Sequence[str],
     time: str = "timestamp",
-    limit: int = 2_000_000,
+    limit: int = ROWS_OF_TASK,
     reach: int = 3,
 ) -> Cut | None:
     """Find the entities with more than ``limit`` rows and the coarsest unit that splits them.
 
     ``None`` when there is no such entity. The limit rises to a hundred-thousandth of all rows, so
     at most 100,000 entities can exceed it; this bounds what is collected here and broadcast
-    later. Each step is one count, combined before its shuffle.
+    later. Rows are counted once per entity, and once per second of the large ones, from which all units follow.
 
     The cut has no unit when even one second of an entity is too large, or when a unit that is
     short enough for bursts would leave more than ``limit`` rows beside the cuts of an entity.
     """
-    per_entity = df.groupBy(*entity).count()
-    total, largest = per_entity.agg(F.sum("count"), F.max("count")).first()
-    limit = max(limit, (total or 0) // 100_000)
-    if (largest or 0) <= limit:
-        return None
-    rows = per_entity.filter(F.col("count") > limit).select(*entity).collect()
+    per_entity = df.groupBy(*entity).count().persist()  # lost blocks are counted again
+    try:
+        total, largest = per_entity.agg(F.sum("count"), F.max("count")).first()
+        limit = max(limit, (total or 0) // 100_000)
+        if (largest or 0) <= limit:
+            return None
+        rows = per_entity.filter(F.col("count") > limit).select(*entity).collect()
+    finally:
+        per_entity.unpersist()
     large = df.sparkSession.createDataFrame(rows, df.select(*entity).schema)
-    for unit in ("day", "hour", "minute", "second"):
-        cut = Cut(unit, large)
-        sizes = _at_units(df.select(*entity, time), entity, time, cut).filter(F.col("_large"))
-        segments = sizes.groupBy(*entity, "_segment").count().groupBy(*entity).agg(
-            F.max("count").alias("rows"), F.count(F.lit(1)).alias("segments")
-        )
-        longest, most = segments.agg(F.max("rows"), F.max("segments")).first()
-        if most * 2 * reach > limit:
+    marked = _marked(df.select(*entity, time), entity, large).filter("_large")
+    seconds = marked.groupBy(*entity, F.date_trunc("second", F.col(time)).alias("_second")).count()
+    starts = F.inline(F.array(*(
+        F.struct(F.lit(unit).alias("_unit"), F.date_trunc(unit, F.col("_second")).alias("_segment")) for unit in UNITS
+    )))
+    segments = seconds.select(*entity, "count", starts).groupBy(*entity, "_unit", "_segment").agg(F.sum("count").alias("rows"))
+    per_unit = segments.groupBy(*entity, "_unit").agg(F.max("rows").alias("rows"), F.count(F.lit(1)).alias("segments"))
+    found = per_unit.groupBy("_unit").agg(F.max("rows").alias("longest"), F.max("segments").alias("most")).collect()
+    sizes = {row["_unit"]: row for row in found}
+    for unit in UNITS:
+        if sizes[unit].most * 2 * reach > limit:
             break
-        if longest <= limit:
-            return cut
-    return Cut(None)
+        if sizes[unit].longest <= limit:
+            return Cut(unit, large)
+    return Cut(None, large)
 
 
-def _at_units(df: DataFrame, entity: Sequence[str], time: str, cut: Cut) -> DataFrame:
-    """Add ``_large``, and ``_segment``: the start of the row's unit, NULL for an uncut entity."""
-    start = F.date_trunc(cut.unit, F.col(time))
-    if cut.large is None:
-        return df.withColumns({"_large": F.lit(True), "_segment": start})
-    large = cut.large.select(*(F.col(key).alias(f"_{key}") for key in entity), F.lit(True).alias("_large"))
-    same = all_of(df[key].eqNullSafe(large[f"_{key}"]) for key in entity)
-    marked = df.join(F.broadcast(large), same, "left")
-    segment = F.when(F.col("_large"), start).alias("_segment")
-    return marked.select(*(df[name] for name in df.columns), "_large", segment)
+def _marked(df: DataFrame, entity: Sequence[str], large: DataFrame | None) -> DataFrame:
+    """Add ``_large``: whether the row's entity is cut; all are when no entities are named."""
+    if large is None:
+        return df.withColumn("_large", F.lit(True))
+    named = large.select(*(F.col(key).alias(f"_{key}") for key in entity), F.lit(True).alias("_named"))
+    same = all_of(df[key].eqNullSafe(named[f"_{key}"]) for key in entity)
+    marked = df.join(F.broadcast(named), same, "left")
+    return marked.select(*(df[name] for name in df.columns), F.coalesce("_named", F.lit(False)).alias("_large"))
 
 
 def _at_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -115,39 +123,50 @@ def along(
     columns: Mapping[str, Series],
     time: str = "timestamp",
     tie_break: str = "reading_id",
-    cut: Cut | None = None,
+    cut: Cut | int | None = ROWS_OF_TASK,
 ) -> DataFrame:
     """Add series columns per entity, ordered by ``time`` and ``tie_break``.
 
-    Without a cut this is the plain window. With one, columns are first computed inside each
-    segment; only the few rows near a cut, at most ``2 * reach`` per segment, go to a second
-    window over the whole entity. Both branches read the same shuffle.
+    ``cut`` is the number of rows above which a history is cut (they are counted here, by a job of
+    ``fitting_cut``), a cut that was found before, or None for the plain window. With a cut, columns are
+    first computed inside each segment; only the few rows of large entities near a cut, at most
+    ``2 * reach`` per segment, go to a second window over the whole entity. Both branches read the same
+    shuffle. Other entities keep the plain window. A cut without a unit sorts and writes the
+    large entities' rows first, and no others.
 
     Distances to the cut come from ``rank`` and ``cume_dist``, which rows with equal sort keys
     share, so both branches agree on every row even when the sort keys are not unique.
     """
     order = (time, tie_break)
     whole = Window.partitionBy(*entity).orderBy(*order)
-    if cut is None:
-        return df.withColumns({name: s.over(whole) for name, s in columns.items()})
-
     reach_back = max(s.back for s in columns.values())
     reach_ahead = max(s.ahead for s in columns.values())
     reach = max(reach_back, reach_ahead)
+    if isinstance(cut, int):
+        cut = fitting_cut(df, entity, time, cut, reach)
+    if cut is None:
+        return df.withColumns({name: s.over(whole) for name, s in columns.items()})
+
+    marked = _marked(df, entity, cut.large)
+    if cut.unit is None and cut.large is not None:
+        small = along(marked.filter("NOT _large").drop("_large"), entity, columns, time, tie_break, None)
+        large = along(marked.filter("_large").drop("_large"), entity, columns, time, tie_break, Cut(None))
+        return small.unionByName(large)
+    segmented = (
+        marked.withColumn("_segment", F.when(F.col("_large"), F.date_trunc(cut.unit, F.col(time)))) if cut.unit
+        else _at_ranges(marked, [*entity, *order])
+    )
     inside = Window.partitionBy(*entity, "_segment").orderBy(*order)
     rows = F.count(F.lit(1)).over(
         inside.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     )
-    segmented = (
-        _at_units(df, entity, time, cut) if cut.unit else _at_ranges(df, [*entity, *order])
-    )
     local = segmented.withColumns({
         "_before": F.rank().over(inside) - 1,
         "_after": rows - F.round(F.cume_dist().over(inside) * rows).cast("bigint"),
         **{name: s.over(inside) for name, s in columns.items()},
     })
     before, after = F.col("_before"), F.col("_after")
-    touched = any_of(
+    touched = F.col("_large") & any_of(
         ([before < reach_back] if reach_back else []) + ([after < reach_ahead] if reach_ahead else [])
     )
     one_way = not (reach_back and reach_ahead)  # then every touched row needs the wider window
@@ -156,7 +175,8 @@ def along(
         else F.when(before < s.back if s.back else after < s.ahead, s.over(whole)).otherwise(F.col(name))
         for name, s in columns.items()
     }
-    near_cut = local.filter((before < reach) | (after < reach)).withColumns(repaired).filter(touched)
+    beside = F.col("_large") & ((before < reach) | (after < reach))
+    near_cut = local.filter(beside).withColumns(repaired).filter(touched)
     kept = [*df.columns, *columns]
     return local.filter(~touched).select(*kept).unionByName(near_cut.select(*kept))
 
@@ -185,7 +205,7 @@ def daily_temperature(readings: DataFrame, entity: str, rounded: bool = False) -
 
 
 def temperature_trend(
-    readings: DataFrame, entity: Sequence[str], rounded: bool = False, cut: Cut | None = None
+    readings: DataFrame, entity: Sequence[str], rounded: bool = False, cut: Cut | int | None = ROWS_OF_TASK
 ) -> DataFrame:
     """Add the previous temperature, its change and the mean of the last three readings."""
     shape = (lambda c: F.round(c, 2)) if rounded else (lambda c: c)

@@ -27,15 +27,14 @@ MARTS = {
 
 @dataclass(frozen=True)
 class Lake:
-    """Schemas of the layers; all tables live below the shared folder unless told otherwise."""
+    """Schemas of the layers; all tables live below ``location``, which is kept, unlike staging folders."""
 
     spark: SparkSession
+    location: str
     prefix: str = "furrow"
-    location: str | None = None
 
     def schema(self, layer: str) -> str:
-        root = self.location or f"{shared.shared_folder(self.spark)}/{self.prefix}"
-        return tables.ensure_schema(self.spark, f"{self.prefix}_{layer}", f"{root}/{layer}")
+        return tables.ensure_schema(self.spark, f"{self.prefix}_{layer}", f"{self.location}/{layer}")
 
     def name(self, layer: str, table: str) -> str:
         return f"{self.schema(layer)}.{table}"
@@ -62,15 +61,15 @@ def refine(lake: Lake) -> None:
     The two outputs scan and check the raw table separately. Keeping the checked rows for both
     would cost more storage traffic than a second scan, as the checks need no shuffle of them
     while the registry is small.
+
+    Both are rebuilt, so that a corrected registry also takes rows out of the quarantine. Feeds that
+    only ever add rows can use ``tables.append_new`` instead.
     """
     cleaned = clean_readings(lake.read("bronze", "sensor_readings"))
     checked = quality.validate(cleaned, lake.read("bronze", "sensor_master"))
     dated = trusted_rows(checked).withColumn("reading_date", F.to_date("timestamp"))
     tables.replace_table(dated, lake.name("silver", "valid_sensor"), ["reading_date"])
-    tables.append_new(
-        quality.invalid_rows(checked), lake.name("silver", "invalid_sensor"),
-        rules.QUARANTINE_IDENTITY,
-    )
+    tables.replace_table(quality.invalid_rows(checked), lake.name("silver", "invalid_sensor"))
 
 
 def describe_readings(readings: DataFrame, farms: DataFrame) -> DataFrame:
@@ -103,7 +102,10 @@ def publish_features(lake: Lake) -> DataFrame:
 
 
 def train_irrigation(lake: Lake, model_path: str, **settings: int) -> DataFrame:
-    """Fit, save and summarise the irrigation classifier."""
+    """Fit, save and summarise the irrigation classifier.
+
+    Importances, label distribution and missing values of the features go to tables of their own.
+    """
     table = lake.read("features", "irrigation_features")
     split = models.hashed_split(table, "reading_id")
     vectors = models.assemble(split, features.IRRIGATION_FEATURES)
@@ -111,16 +113,27 @@ def train_irrigation(lake: Lake, model_path: str, **settings: int) -> DataFrame:
     model = models.fit_classifier(vectors.filter("split = 'train'"), target, **settings)
     models.save_model(model, model_path)
     scored = model.transform(vectors.filter("split = 'test'"))
+    reports = {
+        "irrigation_importance": models.feature_importance(lake.spark, model, features.IRRIGATION_FEATURES),
+        "irrigation_label_distribution": quality.value_counts(table, target),
+        "irrigation_null_profile": quality.null_profile(table),
+    }
+    for name, report in reports.items():
+        tables.replace_table(report, lake.name("gold", name))
     return models.training_summary(split, models.classification_metrics(scored, target), {
         "algorithm": type(model).__name__,
         "feature_count": len(features.IRRIGATION_FEATURES),
         "tree_count": model.getNumTrees,
+        "training_partitions": models.TRAINING_PARTS,
         "model_path": model_path,
     })
 
 
 def forecast_moisture(lake: Lake, **settings: int) -> DataFrame:
-    """Fit the soil moisture regressor on the earlier readings and publish the later forecasts."""
+    """Fit the soil moisture regressor on the earlier readings and publish the later forecasts.
+
+    Its record counts and errors go to the table ``moisture_training_summary``.
+    """
     readings = lake.read("silver", "valid_sensor")
     built = features.next_moisture_features(readings, series.fitting_cut(readings, ["farm_id"]))
     dataset = tables.replace_table(
@@ -132,6 +145,13 @@ def forecast_moisture(lake: Lake, **settings: int) -> DataFrame:
         vectors.filter("split = 'train'"), features.MOISTURE_TARGET, **settings
     )
     scored = model.transform(vectors.filter("split = 'test'"))
+    errors = models.regression_metrics(scored, features.MOISTURE_TARGET)
+    tables.replace_table(models.training_summary(split, errors, {
+        "algorithm": type(model).__name__,
+        "feature_count": len(features.MOISTURE_FEATURES),
+        "tree_count": model.getNumTrees,
+        "training_partitions": models.TRAINING_PARTS,
+    }), lake.name("gold", "moisture_training_summary"))
     return tables.replace_table(
         models.moisture_predictions(scored), lake.name("gold", "future_soil_moisture_predictions")
     )

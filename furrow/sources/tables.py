@@ -1,18 +1,19 @@
 """Catalog tables over Parquet: full refresh, rewrite in place, evolving append, census.
 
-Every refresh writes a new folder and then points the table name at it. A failed job leaves the
-old data in place, a table can be rewritten from itself, and the files of earlier versions stay
-until the lake's housekeeping removes them. Dropping and re-creating the name takes two catalog
-calls, so a reader can miss the table between them; there is no transaction log here.
+Every refresh writes a new folder, registers it under a name of its own and then gives it the
+table's name. A failed write or a schema that the catalog refuses leaves the old table in place, a
+table can be rewritten from itself, and the files of earlier versions stay until the lake's
+housekeeping removes them. Dropping the old name and renaming takes two catalog calls, so a reader
+can miss the table between them; there is no transaction log here.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,18 +32,18 @@ def replace_table(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -
     """Full refresh; rows and schema of the table become those of the frame.
 
     Partitioned output is rebalanced first: a large partition value goes to several files, and
-    small ones are not scattered over a file per task.
+    small ones are not scattered over a file per task. The new version is written and registered
+    under a name of its own; only when that has worked does it take the table's name.
     """
     spark = df.sparkSession
     schema, name = table.rsplit(".", 1)
-    path = f"{spark.catalog.getDatabase(schema).locationUri}/{name}/{uuid.uuid4().hex[:12]}"
+    version = uuid.uuid4().hex[:12]
+    path = f"{spark.catalog.getDatabase(schema).locationUri}/{name}/{version}"
     frame = df.hint("rebalance", *partition_by) if partition_by else df
-    frame.write.partitionBy(*partition_by).parquet(path)
-    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    fresh = f"{schema}.{name}_{version}"
+    frame.write.format("parquet").option("path", path).partitionBy(*partition_by).saveAsTable(fresh)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({_columns(df)}) USING parquet {layout} LOCATION '{path}'")
-    if partition_by:
-        spark.catalog.recoverPartitions(table)
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     return spark.table(table)
 
 
@@ -81,15 +82,19 @@ def list_tables(spark: SparkSession, schema: str) -> DataFrame:
 
 
 def census(spark: SparkSession, tables: Sequence[str]) -> DataFrame:
-    """Row count per table, or the error for a table that cannot be read."""
+    """Row count per table, or the error for a table that cannot be read.
 
-    def line(table: str) -> DataFrame:
-        label = F.lit(table.rsplit(".", 1)[-1]).alias("table_name")
+    Each table is counted by an action of its own, so that one with unreadable files does not stop the
+    others; one row a table reaches the driver.
+    """
+
+    def line(table: str) -> tuple[str, int | None, str | None]:
+        label = table.rsplit(".", 1)[-1]
         try:
-            counted = spark.table(table).agg(F.count(F.lit(1)).alias("record_count"))
-        except AnalysisException as problem:
-            error = F.lit(problem.getCondition()).alias("error")
-            return spark.range(1).select(label, F.lit(None).cast("bigint").alias("record_count"), error)
-        return counted.select(label, "record_count", F.lit(None).cast("string").alias("error"))
+            return label, spark.table(table).count(), None
+        except PySparkException as problem:
+            return label, None, problem.getCondition() or type(problem).__name__
+        except Py4JJavaError as problem:  # failures of tasks that PySpark has no class for
+            return label, None, problem.java_exception.getClass().getSimpleName()
 
-    return reduce(DataFrame.unionAll, map(line, tables))
+    return spark.createDataFrame([line(table) for table in tables], "table_name string, record_count long, error string")

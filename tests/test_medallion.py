@@ -5,6 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from furrow.functions import rules
 from furrow.plans import medallion
 from furrow.sources import sensor_views, shared
 
@@ -29,7 +30,7 @@ def landing(spark):
 
 
 def test_flow(spark, landing):
-    lake = medallion.Lake(spark, prefix=f"lake_{uuid.uuid4().hex[:8]}")
+    lake = medallion.Lake(spark, shared.fresh_path(spark, "lake"), prefix=f"lake_{uuid.uuid4().hex[:8]}")
     counts = []
     for _ in range(2):
         medallion.ingest(lake, landing, {"sensor_readings": sensor_views.RAW_SCHEMA})
@@ -61,3 +62,27 @@ def test_flow(spark, landing):
         "farm_id", "reading_hour", "temperature", "humidity", "soil_moisture", "rainfall", "battery",
         "next_hour_soil_moisture", "predicted_next_hour_soil_moisture", "predicted_irrigation_required"]
     assert 0 < forecast.count() < valid.count()
+    errors = lake.read("gold", "moisture_training_summary").first()
+    assert errors.test_records == forecast.count() and errors.mae > 0
+    assert lake.read("gold", "irrigation_importance").count() == 19
+
+
+def test_inferred_types_and_a_corrected_registry(spark):
+    """Whole-number master ids meet text ids; rows leave the quarantine once their sensor is registered."""
+    lake = medallion.Lake(spark, shared.fresh_path(spark, "lake"), prefix=f"lake_{uuid.uuid4().hex[:8]}")
+    rows = [(1, "101", "1", "p", "01-01-2024 10:00", 20.0, 50.0, 50.0, 0.0, 90.0),
+            (2, "abc", "x", "p", "01-01-2024 11:00", 20.0, 50.0, 50.0, 0.0, 90.0),
+            (3, "102", "1", "p", "01-01-2024 12:00", 20.0, 50.0, 50.0, 0.0, 90.0)]
+    columns = [*rules.REQUIRED_FIELDS]
+    paths = {name: shared.fresh_path(spark, name) for name in ("sensor_readings", "few", "all", "farm_master")}
+    spark.createDataFrame(rows, columns).write.csv(paths["sensor_readings"], header=True)
+    spark.createDataFrame([(101,)], "sensor_id int").write.csv(paths["few"], header=True)
+    spark.createDataFrame([(101,), (102,)], "sensor_id int").write.csv(paths["all"], header=True)
+    spark.createDataFrame([(1, "north")], "farm_id int, farm_name string").write.csv(paths["farm_master"], header=True)
+    for master, valid in (("few", 1), ("all", 2)):
+        medallion.ingest(lake, {name: paths[name] for name in ("sensor_readings", "farm_master")} | {"sensor_master": paths[master]})
+        medallion.refine(lake)
+        kept, rejected = lake.read("silver", "valid_sensor"), lake.read("silver", "invalid_sensor")
+        assert (kept.count(), rejected.count()) == (valid, 3 - valid)
+    described = medallion.describe_readings(kept, lake.read("bronze", "farm_master"))
+    assert {r.farm_name for r in described.collect()} == {"north"}

@@ -80,11 +80,15 @@ def test_incomplete_rows(spark):
         models.assemble(frame, ["a", "b"]).collect()
 
 
-def test_training_uses_every_core(spark, table):
-    cores = spark.sparkContext.defaultParallelism
-    assert models.spread(table.coalesce(1)).rdd.getNumPartitions() == cores
-    many = table.repartition(cores + 3)
-    assert models.spread(many) is many
+def test_forests_do_not_depend_on_partitions(table):
+    split = vectors(table)
+    train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
+    for fit, target in ((models.fit_classifier, "label"), (models.fit_regressor, "value")):
+        fitted = [fit(train.repartition(n), target, numTrees=4) for n in (1, 3, 9)]
+        assert len({model.toDebugString.split("\n", 1)[1] for model in fitted}) == 1
+        assert len({str(model.featureImportances) for model in fitted}) == 1
+        pick = lambda model: sorted((r.reading_id, r.prediction) for r in model.transform(test).collect())
+        assert pick(fitted[0]) == pick(fitted[1]) == pick(fitted[2])
 
 
 def test_published_forecast(spark):

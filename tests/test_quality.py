@@ -57,6 +57,15 @@ def test_null_handling_covers_all_rows(spark):
     assert {r.invalid_reason for r in missing.collect()} == {rules.NULL_REASON}
 
 
+def test_nan_is_missing_everywhere(spark):
+    nan = float("nan")
+    frame = readings(spark, {}, *({name: nan} for name in rules.MEASURES))
+    kept, rejected = quality.required_present(frame), quality.null_quarantine(frame)
+    assert kept.count() == 1 and rejected.count() == len(rules.MEASURES)
+    assert all(quality.null_profile(frame).first()[name] == 1 for name in rules.MEASURES)
+    assert quality.valid_rows(quality.validate(frame, registry(spark, "s1"))).count() == 1
+
+
 def test_fill_by_type(spark):
     frame = readings(spark, dict.fromkeys(["sensor_id", "timestamp", "rainfall"])).withColumn(
         "flag", F.lit(None).cast("boolean"))

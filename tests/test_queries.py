@@ -12,6 +12,7 @@ SF = f"{TESTDATA}/sf0.01"
 LEARNED = {
     "irrigation_predictions", "classifier_metrics", "regressor_metrics", "feature_importance",
     "feature_importance_top5", "moisture_predictions", "predictions_preview", "training_summary",
+    "moisture_training_summary",
 }
 
 

@@ -62,8 +62,8 @@ def test_equal_times_follow_the_tie_break(spark):
 def test_cut_equals_plain(spark, points, unit, columns, only_a):
     data = [(i, s, START + dt.timedelta(minutes=15 * m), float(i)) for i, (s, m) in enumerate(points)]
     df = frame(spark, data)
-    large = spark.createDataFrame([("a",)], "sensor_id string") if only_a and unit else None
-    plain = along(df, ["sensor_id"], columns)
+    large = spark.createDataFrame([("a",)], "sensor_id string") if only_a else None
+    plain = along(df, ["sensor_id"], columns, cut=None)
     cut = along(df, ["sensor_id"], columns, cut=Cut(unit, large))
     assert cut.columns == plain.columns
     assert in_order(cut, *cut.columns) == in_order(plain, *cut.columns)
@@ -105,7 +105,7 @@ def test_short_units_must_not_leave_too_many_edges(spark):
     df = spark.range(5000).select(
         F.col("id").alias("reading_id"), F.lit("s").alias("sensor_id"),
         F.timestamp_seconds(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") * 60)).alias("timestamp"))
-    assert series.fitting_cut(df, ["sensor_id"], limit=1000) == Cut(None)
+    assert series.fitting_cut(df, ["sensor_id"], limit=1000).unit is None
 
 
 def test_hot_entity_is_split_and_equal(spark):
@@ -125,11 +125,20 @@ def test_one_instant_is_split_as_well(spark):
     at = F.when(F.col("sensor_id") == "hot", F.timestamp_seconds(F.lit(0))).otherwise(F.col("timestamp"))
     df = skewed(spark).withColumn("timestamp", at)
     found = series.fitting_cut(df, ["sensor_id"], limit=300)
-    assert found == Cut(None)
-    cut, plain = along(df, ["sensor_id"], COLUMNS, cut=found), along(df, ["sensor_id"], COLUMNS)
+    assert found.unit is None and found.large.count() == 1
+    cut, plain = along(df, ["sensor_id"], COLUMNS, cut=found), along(df, ["sensor_id"], COLUMNS, cut=None)
     assert in_order(cut, *cut.columns) == in_order(plain, *cut.columns)
 
 
+def test_only_rows_of_large_entities_are_staged(spark, monkeypatch):
+    staged = []
+    write = series.write_in_order
+    monkeypatch.setattr(series, "write_in_order", lambda df, *rest: (staged.append(df.count()), write(df, *rest)))
+    df = skewed(spark).withColumn("timestamp", F.timestamp_seconds(F.lit(0)))
+    cut = along(df, ["sensor_id"], COLUMNS, cut=300)
+    assert staged == [2000] and cut.count() == 6000
+
+
 def test_empty_frame(spark):
     empty = frame(spark, [])
     assert series.fitting_cut(empty, ["sensor_id"]) is None

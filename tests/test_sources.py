@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from furrow.operators import quality
+from furrow.operators import models, quality
 from furrow.sources import files, shared, tables
 
 
@@ -121,6 +121,26 @@ def test_failed_refresh_keeps_the_old_table(spark, schema, rows):
     assert rows(spark.table(table)) == [(1,)]
 
 
+def test_refresh_by_columns_sql_cannot_name(spark, schema, rows):
+    """Vectors round-trip; a frame that the catalog refuses leaves the old table."""
+    table = f"{schema}.v"
+    tables.replace_table(numbers(spark, 1), table)
+    vectors = models.assemble(spark.sql("SELECT 1.0D AS a, 2.0D AS b"), ["a", "b"])
+    assert list(tables.replace_table(vectors, table).first().features) == [1.0, 2.0]
+    with pytest.raises(Exception):
+        tables.replace_table(spark.sql("SELECT 1 AS a, 2 AS a"), table)
+    assert spark.table(table).count() == 1
+
+
+def test_census_goes_on_after_an_unreadable_file(spark, schema):
+    tables.replace_table(numbers(spark, 1, 2), f"{schema}.fine")
+    path = shared.fresh_path(spark, "broken")
+    spark.sql("SELECT 'no parquet' AS value").write.text(path)
+    spark.sql(f"CREATE TABLE {schema}.broken (id INT) USING parquet LOCATION '{path}'")
+    found = {r.table_name: r for r in tables.census(spark, [f"{schema}.broken", f"{schema}.fine"]).collect()}
+    assert found["fine"].record_count == 2 and found["broken"].record_count is None and found["broken"].error
+
+
 def test_append_is_idempotent_and_evolves(spark, schema, rows):
     table = f"{schema}.a"
     first = spark.sql("SELECT 1 AS id, 'r' AS reason UNION ALL SELECT NULL, 'r' UNION ALL SELECT NULL, 'r'")
