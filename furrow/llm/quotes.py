@@ -104,12 +104,19 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
 
 
 def _depths(known: DataFrame) -> DataFrame:
-    """conv_id, turn and the number of replies above a turn, by doubling: each round jumps twice as far."""
+    """conv_id, turn and the number of replies above a turn, by doubling: each round jumps twice as far.
+
+    A turn that has reached the top is set aside and only looked up from then on.
+    """
     jumps = known.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(F.max("parent").alias("up"))
     jumps = written(jumps.withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long")), "jumps")
-    while jumps.where("up is not null").limit(1).count():
-        above = jumps.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
-        jumps = written(jumps.join(above, ["conv_id", "up"], "left").select(
+    done, going = jumps.where("up is null"), jumps.where("up is not null")
+    while going.limit(1).count():
+        above = done.unionByName(going).select(
+            "conv_id", F.col("turn").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth")
+        )
+        jumps = written(going.join(above, ["conv_id", "up"], "left").select(
             "conv_id", "turn", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")
         ), "jumps")
-    return jumps.select("conv_id", "turn", "depth")
+        done, going = done.unionByName(jumps.where("up is null")), jumps.where("up is not null")
+    return done.select("conv_id", "turn", "depth")
