@@ -55,13 +55,13 @@ def _signed(x):
 
 
 def anchors_by_hand(text):
-    """Smallest distinct (hash, place) of the closed syncmers, as the operator packs them; BMP texts only."""
+    """Smallest distinct (hash, place) of the closed syncmers, as the operator packs them."""
     if not text:
         return []
     k, s, inner = syncmers.K, syncmers.S, syncmers.INNER
     if len(text) < k:
         return [(_hash(text.encode()) & 0x7FFFFFFF) << 32]
-    h = [_signed(_hash(text[i : i + s].encode())) for i in range(len(text) - s + 1)]
+    h = [_signed(_hash(text[i : i + s].encode("utf-32-be"))) for i in range(len(text) - s + 1)]
     best = {}
     for i in range(len(h) - inner + 1):
         part = h[i : i + inner]
@@ -105,6 +105,8 @@ def test_syncmers_beyond_the_basic_plane_and_odd_ids(spark):
     text = "\U0001f600 some words \U00010348 and more of them " * 12
     rows = [(None, text), (None, "b" * 50), (4, text), (4, text), (2, "")]
     found = syncmers.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    row = next(r for r in found if r.doc_id == 4)
+    assert [int(x, 16) for x in row.fingerprint.split()] == anchors_by_hand(text)
     assert len(found) == 5 and len({r.fingerprint for r in found if r.n_chars == len(text)}) == 1
     single = syncmers.fingerprints(spark.createDataFrame([(1, "x y z " * 30)], "doc_id long, text string")).first()
     assert single.near_next == 1.0
