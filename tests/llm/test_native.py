@@ -113,6 +113,20 @@ def test_syncmers_beyond_the_basic_plane_and_odd_ids(spark):
     assert syncmers.fingerprints(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_no_anchor_of_a_long_text_is_left_out(spark):
+    """One passage changed in the middle of long texts, and one passage shared with a long next text."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    words = [word() for _ in range(2000)]
+    other = [*words[:1000], *(word() for _ in range(12)), *words[1012:]]
+    unlike = [word() for _ in range(2000)] + words[100:150]
+    texts = [" ".join(x) for x in (words, other, unlike, words)]
+    found = syncmers.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    one, two, three, four = sorted(found, key=lambda r: r.doc_id)
+    assert one.fingerprint == four.fingerprint != two.fingerprint and 0.9 < one.near_next < 1
+    assert 0 < three.near_next < 0.1 and len(three.fingerprint.split()) > 2000
+
+
 def test_buckets_join_up_across_borders(spark, monkeypatch):
     monkeypatch.setattr(syncmers, "ROWS_PER_BUCKET", 7)
     rows = [(i * i, f"text number {i} " * 9) for i in range(60)]
