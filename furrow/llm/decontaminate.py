@@ -4,11 +4,14 @@ Words lose case and punctuation, and numbers, names and units become typed place
 of this template are hashed and joined with those of the benchmark. Where windows of a text and of
 an item meet, the values in the slots are compared: within one item, equal values must always be
 replaced by equal ones, so a re-parameterised question is caught and a chance meeting is not.
+
+Words are read in three ways, each with windows of its own: as they are (verbatim, case apart), with
+capitalised words as names, and with the benchmark's names as names in any case.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +48,16 @@ _UNIT_HASHES = _hashes(list(UNITS))
 _EMPTY = _hashes(["."])[0]
 
 
-def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def canonical(
+    data: np.ndarray, offsets: np.ndarray, names: np.ndarray | None = None, found: W.Words | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Template hash and own hash of each word, whether it is a slot, and where texts begin.
 
     A word with a digit is a number, a unit right after a number a unit, and a capitalised word
-    inside a sentence a name. Words of punctuation only are left out.
+    inside a sentence a name, or, if ``names`` (sorted own hashes) are given, a word among them.
+    Words of punctuation only are left out.
     """
-    found = W.words(data, offsets, skip=W.MARK)
+    found = W.words(data, offsets, skip=W.MARK) if found is None else found
     begin, end, own = found.begin, found.end, found.hash
     count = np.zeros(len(data) + 1, np.int32)
     np.cumsum((data >= 48) & (data <= 57), out=count[1:])
@@ -65,20 +71,51 @@ def canonical(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     if len(begin):
         inside[1:] = ~_END[data[end[:-1] - 1]] & (count[begin[1:]] == count[end[:-1]])
         inside[found.at[:-1][found.at[:-1] < len(begin)]] = False
-    name = capital & inside & ~number
+    name = capital & inside if names is None else _among(names, own)
+    name &= ~number
     after = np.zeros(len(begin), bool)
     after[1:] = number[:-1]
     after[found.at[:-1][found.at[:-1] < len(begin)]] = False
-    place = np.minimum(np.searchsorted(_UNIT_HASHES, own), len(_UNIT_HASHES) - 1)
-    unit = after & ~number & (_UNIT_HASHES[place] == own)
+    unit = after & ~number & _among(_UNIT_HASHES, own)
     template = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, own)))
     kept = own != _EMPTY
     at = np.append(0, np.cumsum(kept))[found.at]
     return template[kept], own[kept], (number | unit | name)[kept], at
 
 
+def _among(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def readings(
+    data: np.ndarray, offsets: np.ndarray, names: np.ndarray
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
+    """Template and slots of each way to read the words, own hashes, and where texts begin.
+
+    The first way is verbatim and has no slots; then come capitals as names, and the given names.
+    """
+    found = W.words(data, offsets, skip=W.MARK)
+    template, own, slot, at = canonical(data, offsets, found=found)
+    ways = [(own, np.zeros(len(own), bool)), (template, slot)]
+    if len(names):
+        template, _, slot, _ = canonical(data, offsets, names, found)
+        ways.append((template, slot))
+    return ways, own, at
+
+
+def _names(batch: pa.RecordBatch) -> pa.RecordBatch:
+    template, own, _, _ = canonical(*W.text_bytes(batch.column("text")))
+    return pa.RecordBatch.from_arrays([pa.array(W.signed(np.unique(own[template == _NAME])))], names=["name"])
+
+
 def windows(template: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each window and whether it holds enough literal words. Empty where there are fewer words."""
+    """Hash of each window and whether it holds enough literal words. Empty where there are fewer words.
+
+    Words without any slot, as in the verbatim reading, are all literal, so each window counts.
+    """
     if len(template) < size or size == 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
     literal = np.append(0, np.cumsum(~slot))
@@ -86,13 +123,13 @@ def windows(template: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarr
     return W._chain(template, size, len(template) - size + 1), enough
 
 
-def _item_windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    template, _, slot, at = canonical(*W.text_bytes(batch.column("text")))
+def _item_windows(batch: pa.RecordBatch, names: np.ndarray) -> pa.RecordBatch:
+    ways, _, at = readings(*W.text_bytes(batch.column("text")), names)
     ids, hashes, sizes = [], [], []
     for item, a, b in zip(batch.column("item_id").to_pylist(), at, at[1:]):
         size = min(WINDOW, int(b - a))
-        found, enough = windows(template[a:b], slot[a:b], size)
-        found = np.unique(found[enough])
+        each = [windows(template[a:b], slot[a:b], size) for template, slot in ways]
+        found = np.unique(np.concatenate([x[enough] for x, enough in each]))
         ids += [item] * len(found)
         hashes.append(found)
         sizes += [size] * len(found)
@@ -102,7 +139,7 @@ def _item_windows(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _hits(documents: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+def _hits(documents: DataFrame, items: DataFrame, sizes: list[int], names: np.ndarray) -> DataFrame:
     """key and the distinct item windows that a text holds; texts without any have no row."""
     distinct = items.select("window").distinct()
     wanted = None
@@ -111,20 +148,17 @@ def _hits(documents: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame
         wanted = documents.sparkSession.sparkContext.broadcast(values)
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        template, _, slot, at = canonical(*W.text_bytes(batch.column("text")))
+        ways, _, at = readings(*W.text_bytes(batch.column("text")), names)
         places, found = [], []
-        for size in sizes:
+        for size, (template, slot) in itertools.product(sizes, ways):
             hashes, enough = windows(template, slot, size)
             if not len(hashes):
                 continue
             text = np.searchsorted(at, np.arange(len(hashes)), "right") - 1
             enough &= np.arange(len(hashes)) + size <= at[text + 1]
             hashes = W.signed(hashes)
-            if wanted is not None and len(wanted.value):
-                place = np.minimum(np.searchsorted(wanted.value, hashes), len(wanted.value) - 1)
-                enough &= wanted.value[place] == hashes
-            elif wanted is not None:
-                enough[:] = False
+            if wanted is not None:
+                enough &= _among(wanted.value, hashes)
             picked = np.flatnonzero(enough)
             places.append(text[picked])
             found.append(hashes[picked])
@@ -138,17 +172,23 @@ def _hits(documents: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame
     return per_batch(documents.select("_key", "text"), convert, "_key string, window long")
 
 
-def aligned(text: str, item: str) -> tuple[int, int, int, bool]:
+def aligned(text: str, item: str, names: np.ndarray) -> tuple[int, int, int, bool]:
     """Words of the item's template that lie in windows the text also holds, the template's words,
-    slots compared, and whether these are consistent.
+    slots compared, and whether these are consistent; of the reading in which most words are covered.
 
     The item's words are covered by windows; each covered slot has the values that the text holds in
     its place. Consistent: some reading gives every value of the item one value of the text, and
     different values stay different, for at least the words that are counted.
     """
     data, offsets = W.text_bytes(pa.array([item, text]))
-    template, own, slot, at = canonical(data, offsets)
+    ways, own, at = readings(data, offsets, names)
     n = int(at[1])
+    found = [_best_diagonal(template, slot, own, n) for template, slot in ways]
+    covered, slots, good = max(found, key=lambda x: (x[2], x[0], x[1]))
+    return covered, n, slots, good
+
+
+def _best_diagonal(template: np.ndarray, slot: np.ndarray, own: np.ndarray, n: int) -> tuple[int, int, bool]:
     size = min(WINDOW, n)
     ours, enough = windows(template[:n], slot[:n], size)
     theirs, _ = windows(template[n:], slot[n:], size)
@@ -171,7 +211,7 @@ def aligned(text: str, item: str) -> tuple[int, int, int, bool]:
         found = (int(covered.sum()), len(places), consistent)
         if (found[2], found[0]) > (best[2], best[0]) or best[0] == 0:
             best = found
-    return best[0], n, best[1], best[2]
+    return best
 
 
 def _one_to_one(here: np.ndarray, there: np.ndarray) -> bool:
@@ -187,16 +227,19 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHAR
     with equal ids count apart if their texts differ. Needs ``_key`` (see ``keyed``).
     """
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
-    items = written(per_batch(bench, _item_windows, "item_id long, window long, size int"), "item-windows")
+    # one number for each distinct name of the benchmark
+    known = per_batch(bench.select("text"), _names, "name long").distinct().collect()
+    names = np.sort(np.array([r.name for r in known], np.int64).view(np.uint64))
+    items = written(per_batch(bench, lambda batch: _item_windows(batch, names), "item_id long, window long, size int"), "item-windows")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most WINDOW values
-    hits = written(_hits(documents, items, sizes), "window-hits")
+    hits = written(_hits(documents, items, sizes, names), "window-hits")
     pairs = hits.join(items, "window").groupBy("_key", "item_id").agg(F.count("*").alias("n")).select("_key", "item_id")
     texts = documents.select("_key", "doc_id", "text").join(written(hits.select("_key").distinct(), "hit-texts"), "_key")
     named = bench.select(F.col("item_id").alias("_item"), F.col("text").alias("item_text"))
     rows = texts.dropDuplicates(["_key"]).join(pairs, "_key").join(named, F.col("item_id").eqNullSafe(F.col("_item")))
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [aligned(t or "", i) for t, i in zip(batch.column("text").to_pylist(), batch.column("item_text").to_pylist())]
+        found = [aligned(t or "", i, names) for t, i in zip(batch.column("text").to_pylist(), batch.column("item_text").to_pylist())]
         keep = [n > 0 and covered >= share * n and good for covered, n, _, good in found]
         columns = [pa.array([x[i] for x in found], pa.int64()) for i in range(3)]
         out = pa.RecordBatch.from_arrays(

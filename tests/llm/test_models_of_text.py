@@ -330,6 +330,13 @@ def test_short_and_empty_items(spark):
     assert meets(spark, [], items) == [] and meets(spark, ["a b"], []) == []
 
 
+def test_items_without_literal_windows_and_in_another_case(spark):
+    items = ["What is 12 + 7?", "red green 5", "Anna 3 Ben 4 Carl 5 Dora 6 Emil 7", "der Hund sieht den Ball und die Katze sucht 3 Fische im Wasser"]
+    texts = ["so: what IS 12 + 7?", "RED green 5!", "list: " + items[2].lower() + " end", items[3].upper(),
+             items[3].lower().replace("3", "8"), "what is 13 + 8?", "green red 5"]
+    assert meets(spark, texts, items) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 3)]
+
+
 def test_decontaminate_keeps_rows(spark):
     rows = [(1, ITEM, "k"), (None, None, "k"), (2, "clean text", None), (2, "clean text", None), (1, "other text", "k")]
     documents = spark.createDataFrame(rows, SCHEMA + ", _item string")
