@@ -23,6 +23,7 @@ from furrow.llm.common import per_batch, written
 
 WINDOW = 8  # words of a template window; an item with fewer is one window
 LITERAL = 4  # words of a window (or all of a shorter item, if fewer) that must not be placeholders
+SHIFT = 8  # words inserted or dropped between two runs of one copy
 SHARE = 0.5  # part of an item's template that a text must hold
 BROADCAST_WINDOWS = 2_000_000  # benchmark windows that are sent to all tasks (16 MB); beyond, a shuffled join
 
@@ -172,58 +173,66 @@ def _hits(documents: DataFrame, items: DataFrame, sizes: list[int], names: np.nd
     return per_batch(documents.select("_key", "text"), convert, "_key string, window long")
 
 
-def aligned(text: str, item: str, names: np.ndarray) -> tuple[int, int, int, bool]:
-    """Words of the item's template that lie in windows the text also holds, the template's words,
-    slots compared, and whether these are consistent; of the reading in which most words are covered.
+def aligned(text: str, item: str, names: np.ndarray) -> tuple[int, int, int]:
+    """Words of the item that the text holds in one chain of runs, the item's words, and slots compared.
 
-    The item's words are covered by windows; each covered slot has the values that the text holds in
-    its place. Consistent: some reading gives every value of the item one value of the text, and
-    different values stay different, for at least the words that are counted.
+    A run is a stretch of windows that text and item share on one diagonal (place in the text minus place in the
+    item). Within a run, and along a chain, each value of the item has one value of the text; verbatim runs count
+    whatever the other slots hold. A chain goes forward in both, with at most SHIFT words between two diagonals.
     """
     data, offsets = W.text_bytes(pa.array([item, text]))
     ways, own, at = readings(data, offsets, names)
     n = int(at[1])
-    found = [_best_diagonal(template, slot, own, n) for template, slot in ways]
-    covered, slots, good = max(found, key=lambda x: (x[2], x[0], x[1]))
-    return covered, n, slots, good
+    held = []  # begin and end in the item, diagonal, values, number of slots up to each place
+    for begin, end, shift, way in sorted((a, b, s, i) for i, w in enumerate(ways) for a, b, s in _runs(*w, n)):
+        slot = ways[way][1][:n]
+        places = begin + np.flatnonzero(slot[begin:end])
+        pairs = set(zip(own[places].tolist(), own[n + places + shift].tolist()))
+        if len(pairs) == len({x for x, _ in pairs}):
+            held.append((begin, end, shift, dict(pairs), np.append(0, np.cumsum(slot))))
+    held.sort(key=lambda x: (x[0] + x[2], x[0], x[1]))
+    best: list[tuple[int, int, dict[int, int]]] = []  # covered words, slots and values of the best chain to each run
+    low = 0
+    for k, (begin, end, shift, values, slots) in enumerate(held):
+        while held[low][0] + held[low][2] < begin + shift - n - SHIFT:
+            low += 1
+        top = (end - begin, int(slots[end] - slots[begin]), values)
+        for p in range(low, k):
+            a, b, s = held[p][:3]
+            if not (a < begin and b < end and a + s < begin + shift and abs(s - shift) <= SHIFT):
+                continue
+            new = max(begin, b)
+            sums = (best[p][0] + end - new, best[p][1] + int(slots[end] - slots[new]))
+            if sums > top[:2] and all(best[p][2].get(x, y) == y for x, y in values.items()):
+                top = (*sums, best[p][2] | values)
+        best.append(top)
+    covered, found, _ = max(best, key=lambda x: x[:2], default=(0, 0, {}))
+    return covered, n, found
 
 
-def _best_diagonal(template: np.ndarray, slot: np.ndarray, own: np.ndarray, n: int) -> tuple[int, int, bool]:
+def _runs(template: np.ndarray, slot: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """Begin and end in the item and diagonal of each stretch of shared windows; the first n words are the item's."""
     size = min(WINDOW, n)
     ours, enough = windows(template[:n], slot[:n], size)
     theirs, _ = windows(template[n:], slot[n:], size)
     order = np.argsort(theirs, kind="stable")
     sorted_ = theirs[order]
-    best = (0, 0, True)
-    # runs: diagonals (place in the text minus place in the item) with their windows
     diagonals: dict[int, list[int]] = {}
     for i in np.flatnonzero(enough).tolist():
         low, high = np.searchsorted(sorted_, ours[i], "left"), np.searchsorted(sorted_, ours[i], "right")
         for j in order[low:high].tolist():
             diagonals.setdefault(j - i, []).append(i)
+    runs = []
     for shift, starts in diagonals.items():
-        covered = np.zeros(n, bool)
-        for i in starts:
-            covered[i : i + size] = True
-        places = np.flatnonzero(covered & slot[:n])
-        here, there = own[places], own[n + places + shift]
-        consistent = _one_to_one(here, there)
-        found = (int(covered.sum()), len(places), consistent)
-        if (found[2], found[0]) > (best[2], best[0]) or best[0] == 0:
-            best = found
-    return best
-
-
-def _one_to_one(here: np.ndarray, there: np.ndarray) -> bool:
-    pairs = set(zip(here.tolist(), there.tolist()))
-    return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+        cuts = [k for k in range(1, len(starts)) if starts[k] > starts[k - 1] + size]
+        runs += [(starts[a], starts[b - 1] + size, shift) for a, b in zip([0, *cuts], [*cuts, len(starts)])]
+    return runs
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """_key, doc_id, item_id, n_covered, n_words, n_slots of each text and item that meet consistently.
 
-    At least ``share`` of the item's template words lie in windows that the text holds in one
-    run of places, and the slots are consistent. Null and empty texts and items meet nothing. Items
+    At least ``share`` of the item's words lie in one chain of runs (see ``aligned``). Null and empty texts and items meet nothing. Items
     with equal ids count apart if their texts differ. Needs ``_key`` (see ``keyed``).
     """
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
@@ -240,7 +249,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHAR
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [aligned(t or "", i, names) for t, i in zip(batch.column("text").to_pylist(), batch.column("item_text").to_pylist())]
-        keep = [n > 0 and covered >= share * n and good for covered, n, _, good in found]
+        keep = [n > 0 and covered >= share * n for covered, n, _ in found]
         columns = [pa.array([x[i] for x in found], pa.int64()) for i in range(3)]
         out = pa.RecordBatch.from_arrays(
             [batch.column("_key"), batch.column("doc_id"), batch.column("item_id"), *columns],

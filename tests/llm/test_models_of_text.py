@@ -330,6 +330,14 @@ def test_short_and_empty_items(spark):
     assert meets(spark, [], items) == [] and meets(spark, ["a b"], []) == []
 
 
+def test_equal_values_inserted_words_and_one_changed_number(spark):
+    item = "a box of 3 red and 5 blue pens lies on the desk of Anna near the big window where Carl reads an old book about birds"
+    parted = "uno dos tres cuatro cinco seis siete ocho nueve diez " + "eins zwei drei vier sechs sieben acht neun zehn elf " + "un deux trois quatre cinq sept huit neuf dix onze"
+    texts = [item.replace("3", "4").replace("5", "4"), ITEM.replace("40 tons", "75 tons"),
+             parted.replace("eins", "uh eins").replace("un deux", "hm so un deux"), ITEM.replace("40 tons", "75 tons").replace("40 wagons", "91 wagons")]
+    assert meets(spark, texts, [item, ITEM, parted]) == [(0, 0), (1, 1), (2, 2)]
+
+
 def test_items_without_literal_windows_and_in_another_case(spark):
     items = ["What is 12 + 7?", "red green 5", "Anna 3 Ben 4 Carl 5 Dora 6 Emil 7", "der Hund sieht den Ball und die Katze sucht 3 Fische im Wasser"]
     texts = ["so: what IS 12 + 7?", "RED green 5!", "list: " + items[2].lower() + " end", items[3].upper(),
