@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from furrow.functions.columns import reading_hour
 from furrow.functions.rules import DRY_SOIL, IRRIGATION_LABEL, MEASURES
 from furrow.operators.clean import strict_measures, with_calendar
-from furrow.operators.series import ROWS_OF_TASK, Cut, along, lag, lead, trailing_mean
+from furrow.operators.series import ROWS_OF_TASK, Cut, along, at_distance, by_distance, lag, lead, mean_within, trailing_mean
 from furrow.sources.files import require_columns
 
 # ---- Fixed values: feature names in model order ----
@@ -97,6 +97,24 @@ def next_moisture_features(readings: DataFrame, cut: Cut | int | None = ROWS_OF_
     return with_calendar(series.withColumn("reading_hour", reading_hour()), "reading_hour")
 
 
+HOUR = 3600
+
+
+def next_hour_features(readings: DataFrame, segment: int | None = 86_400) -> DataFrame:
+    """One row per farm and hour with the soil moisture one to three hours before and one hour after.
+
+    Unlike the next row of ``next_moisture_features``, which may lie in the same hour or days ahead, every
+    column keeps its distance in time: where that hour has no reading it is NULL. The rolling means take the
+    readings of the three hours before.
+    """
+    hourly = farm_hour_means(readings)
+    return with_calendar(by_distance(hourly, ["farm_id"], {
+        **{f"soil_moisture_lag_{n}": at_distance("soil_moisture", -n * HOUR) for n in (1, 2, 3)},
+        **{f"{name}_rolling_avg_3": mean_within(name, -3 * HOUR, -HOUR) for name in LAGGED_ROLLING},
+        MOISTURE_TARGET: at_distance("soil_moisture", HOUR),
+    }, segment=segment).withColumnRenamed("timestamp", "reading_hour"), "reading_hour")
+
+
 def next_moisture_dataset(features: DataFrame) -> DataFrame:
     """Rows with every feature and the target."""
     return features.dropna(subset=[*MOISTURE_FEATURES, MOISTURE_TARGET])

@@ -5,25 +5,20 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Model
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.functions.columns import round2
 from furrow.functions.rules import MEASURES, PREDICTED_IRRIGATION
+from furrow.operators import bagging
+from furrow.operators.bagging import BaggedForest
 from furrow.operators.features import MOISTURE_TARGET
 
 # ---- Fixed values: model settings ----
 FOREST = {"numTrees": 100, "maxDepth": 10, "seed": 42}
 TRAIN_SHARE = 0.8
 
-# Partitions of a training table. Part of the model's definition, like the seed: choose it once for the
-# size of the data (a partition should fit in a task's memory) and keep it.
-TRAINING_PARTS = 16
-
 
 def assemble(df: DataFrame, features: Sequence[str], invalid: str = "error") -> DataFrame:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=invalid)
@@ -41,28 +36,16 @@ def hashed_split(df: DataFrame, key: str, train_share: float = TRAIN_SHARE, seed
     return df.withColumn("split", F.when(digest.substr(1, 4) < limit, "train").otherwise("test"))
 
 
-def placed(train: DataFrame, key: str, parts: int) -> DataFrame:
-    """The training rows in ``parts`` partitions by a hash of ``key``, sorted by it.
-
-    A forest draws its bootstrap and its split candidates with one seed per partition, in row order. Where
-    rows lie therefore decides which trees come out; here it depends on the key and on ``parts``
-    alone, not on cores, files or sizes. ``key`` must be unique.
-    """
-    return train.repartition(parts, key).sortWithinPartitions(key)
-
-
 def fit_classifier(
-    train: DataFrame, label: str, key: str = "reading_id", parts: int = TRAINING_PARTS, **settings: int
-) -> RandomForestClassificationModel:
-    forest = RandomForestClassifier(labelCol=label, featuresCol="features", **FOREST | settings)
-    return forest.fit(placed(train.select(key, "features", label), key, parts))
+    train: DataFrame, label: str, features: Sequence[str], key: str = "reading_id", **settings: int
+) -> BaggedForest:
+    return bagging.fit_classifier(train, label, features, key, **FOREST | settings)
 
 
 def fit_regressor(
-    train: DataFrame, label: str, key: str = "reading_id", parts: int = TRAINING_PARTS, **settings: int
-) -> RandomForestRegressionModel:
-    forest = RandomForestRegressor(labelCol=label, featuresCol="features", **FOREST | settings)
-    return forest.fit(placed(train.select(key, "features", label), key, parts))
+    train: DataFrame, label: str, features: Sequence[str], key: str = "reading_id", **settings: int
+) -> BaggedForest:
+    return bagging.fit_regressor(train, label, features, key, **FOREST | settings)
 
 
 def classification_metrics(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
@@ -105,7 +88,7 @@ def regression_metrics(scored: DataFrame, label: str, prediction: str = "predict
     )
 
 
-def feature_importance(spark: SparkSession, model: Model, features: Sequence[str]) -> DataFrame:
+def feature_importance(spark: SparkSession, model: BaggedForest, features: Sequence[str]) -> DataFrame:
     """One row per feature, most important first."""
     scores = [(name, float(score)) for name, score in zip(features, model.featureImportances.toArray())]
     return spark.createDataFrame(scores, "feature_name string, importance_score double").orderBy(
@@ -113,8 +96,8 @@ def feature_importance(spark: SparkSession, model: Model, features: Sequence[str
     )
 
 
-def save_model(model: Model, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: BaggedForest, path: str) -> None:
+    model.save(path)
 
 
 def moisture_predictions(scored: DataFrame) -> DataFrame:

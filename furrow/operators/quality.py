@@ -57,6 +57,20 @@ def quarantine(rejected: DataFrame) -> DataFrame:
     })
 
 
+SIDE, VALID, INVALID = "side", "valid", "invalid"
+STAMPS = ("quarantine_status", "quarantine_timestamp")
+
+
+def sided(validated: DataFrame) -> DataFrame:
+    """All checked rows with their side; the quarantine's stamps are on the rejected ones only."""
+    stamped = quarantine(validated)
+    rejected = ~F.col("is_valid")
+    return stamped.withColumns({
+        **{name: F.when(rejected, F.col(name)) for name in STAMPS},
+        SIDE: F.when(rejected, INVALID).otherwise(VALID),
+    })
+
+
 def invalid_rows(validated: DataFrame) -> DataFrame:
     return validated.filter("NOT is_valid").transform(quarantine)
 
@@ -85,13 +99,16 @@ def fill_columns(df: DataFrame, values: Mapping[str, float | str]) -> DataFrame:
     return df.fillna(dict(values))
 
 
+def summary_columns() -> dict[str, Column]:
+    return {
+        "valid_records": F.count_if("is_valid"), "invalid_records": F.count_if(~F.col("is_valid")),
+        "total_records": F.count(F.lit(1)),
+    }
+
+
 def quality_summary(validated: DataFrame) -> DataFrame:
     """Valid, invalid and total rows from one scan."""
-    return validated.agg(
-        F.count_if("is_valid").alias("valid_records"),
-        F.count_if(~F.col("is_valid")).alias("invalid_records"),
-        F.count(F.lit(1)).alias("total_records"),
-    )
+    return validated.agg(*(count.alias(name) for name, count in summary_columns().items()))
 
 
 def null_profile(df: DataFrame) -> DataFrame:

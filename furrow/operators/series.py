@@ -181,6 +181,79 @@ def along(
     return local.filter(~touched).select(*kept).unionByName(near_cut.select(*kept))
 
 
+@dataclass(frozen=True)
+class Within:
+    """An aggregate of the rows whose time lies ``first`` to ``last`` seconds from the row's own, both included.
+
+    Negative numbers are earlier. Rows without a time, and the aggregate of none, give NULL.
+    """
+
+    over: Callable[[WindowSpec], Column]
+    first: int
+    last: int
+
+    @property
+    def back(self) -> int:
+        return max(0, -self.first)
+
+    @property
+    def ahead(self) -> int:
+        return max(0, self.last)
+
+
+def mean_within(name: str, first: int, last: int) -> Within:
+    return Within(lambda w: F.avg(name).over(w), first, last)
+
+
+def at_distance(name: str, seconds: int) -> Within:
+    """The mean of the rows exactly that far away, so the one value where there is one."""
+    return mean_within(name, seconds, seconds)
+
+
+def by_distance(
+    df: DataFrame,
+    entity: Sequence[str],
+    columns: Mapping[str, Within],
+    time: str = "timestamp",
+    segment: int | None = 86_400,
+) -> DataFrame:
+    """Add columns per entity over rows at given distances in time, not numbers of rows.
+
+    "The next hour" is then one hour ahead, or NULL where no row lies there, whatever the gaps. Times
+    count in whole seconds. Histories are cut into segments of ``segment`` seconds for every entity, and a
+    segment also gets the rows beside its ends that frames of its own rows reach, which is all that those
+    can see; the borrowed rows are dropped afterwards. So an entity that holds a third of all rows is
+    spread over as many tasks as it has segments, one shuffle does it, and rows near an end
+    are sent twice. A segment is at least as long as the longest reach. None uses the plain window.
+    """
+    seconds = F.unix_seconds(F.date_trunc("second", F.col(time)))
+
+    def framed(rows: DataFrame, *keys: str) -> DataFrame:
+        inside = Window.partitionBy(*keys).orderBy("_at")
+        known = F.col("_at").isNotNull()
+        return rows.withColumns({
+            name: F.when(known, c.over(inside.rangeBetween(c.first, c.last))) for name, c in columns.items()
+        })
+
+    timed = df.withColumn("_at", seconds)
+    if segment is None:
+        return framed(timed, *entity).drop("_at")
+    back, ahead = max(c.back for c in columns.values()), max(c.ahead for c in columns.values())
+    length = max(segment, back, ahead, 1)
+    number = F.floor(F.col("_at") / length)
+    into = F.col("_at") - number * length
+    # a row also belongs to the next segment if rows there look back to it, and to the one before if they look ahead
+    segments = F.filter(
+        F.array(number, F.when(into >= length - back, number + 1), F.when(into < ahead, number - 1)),
+        lambda n: n.isNotNull(),
+    )
+    spread = timed.withColumn("_own", number).withColumn(
+        "_segment", F.explode_outer(F.when(F.col("_at").isNotNull(), segments))
+    )
+    done = framed(spread, *entity, "_segment")
+    return done.where(F.col("_own").eqNullSafe(F.col("_segment"))).select(*df.columns, *columns)
+
+
 def group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
     """Add whole-group aggregates to every row (an unordered window, by aggregate and join).
 

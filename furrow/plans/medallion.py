@@ -55,21 +55,34 @@ def trusted_rows(validated: DataFrame, ingested: str = "_ingestion_timestamp") -
     return dedup.latest_reading(quality.valid_rows(validated), ingested=ingested)
 
 
-def refine(lake: Lake) -> None:
-    """Raw readings to the trusted table and the quarantine.
+def refine(lake: Lake) -> DataFrame:
+    """Raw readings to the trusted table and the quarantine; returns the counts of both sides in one row.
 
-    The two outputs scan and check the raw table separately. Keeping the checked rows for both
-    would cost more storage traffic than a second scan, as the checks need no shuffle of them
-    while the registry is small.
+    The raw table is scanned and checked once. The checked rows go to one table with a folder for each side,
+    and the counts are observed while they are written. The quarantine is the folder of the invalid rows under a
+    name of its own, without another copy; the trusted table is made from the folder of the valid ones.
 
     Both are rebuilt, so that a corrected registry also takes rows out of the quarantine. Feeds that
     only ever add rows can use ``tables.append_new`` instead.
     """
+    spark = lake.spark
     cleaned = clean_readings(lake.read("bronze", "sensor_readings"))
-    checked = quality.validate(cleaned, lake.read("bronze", "sensor_master"))
-    dated = trusted_rows(checked).withColumn("reading_date", F.to_date("timestamp"))
-    tables.replace_table(dated, lake.name("silver", "valid_sensor"), ["reading_date"])
-    tables.replace_table(quality.invalid_rows(checked), lake.name("silver", "invalid_sensor"))
+    sided = quality.sided(quality.validate(cleaned, lake.read("bronze", "sensor_master")))
+    name = lake.name("silver", "checked_sensor")
+    checked, counts = tables.replace_table_measured(sided, name, quality.summary_columns(), [quality.SIDE])
+    own = [c for c in checked.columns if c not in (quality.SIDE, *quality.STAMPS)]
+    valid = checked.where(F.col(quality.SIDE) == quality.VALID).select(*own)
+    tables.replace_table(
+        trusted_rows(valid).withColumn("reading_date", F.to_date("timestamp")), lake.name("silver", "valid_sensor"),
+        ["reading_date"],
+    )
+    schema = checked.drop(quality.SIDE).schema
+    folder = f"{tables.location(spark, name)}/{quality.SIDE}={quality.INVALID}"
+    if counts["invalid_records"]:
+        tables.register_folder(spark, lake.name("silver", "invalid_sensor"), folder, schema)
+    else:  # no folder was written
+        tables.replace_table(spark.createDataFrame([], schema), lake.name("silver", "invalid_sensor"))
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
 
 
 def describe_readings(readings: DataFrame, farms: DataFrame) -> DataFrame:
@@ -110,7 +123,9 @@ def train_irrigation(lake: Lake, model_path: str, **settings: int) -> DataFrame:
     split = models.hashed_split(table, "reading_id")
     vectors = models.assemble(split, features.IRRIGATION_FEATURES)
     target = features.IRRIGATION_TARGET
-    model = models.fit_classifier(vectors.filter("split = 'train'"), target, **settings)
+    model = models.fit_classifier(
+        vectors.filter("split = 'train'"), target, features.IRRIGATION_FEATURES, **settings
+    )
     models.save_model(model, model_path)
     scored = model.transform(vectors.filter("split = 'test'"))
     reports = {
@@ -121,10 +136,10 @@ def train_irrigation(lake: Lake, model_path: str, **settings: int) -> DataFrame:
     for name, report in reports.items():
         tables.replace_table(report, lake.name("gold", name))
     return models.training_summary(split, models.classification_metrics(scored, target), {
-        "algorithm": type(model).__name__,
+        "algorithm": model.algorithm,
         "feature_count": len(features.IRRIGATION_FEATURES),
         "tree_count": model.getNumTrees,
-        "training_partitions": models.TRAINING_PARTS,
+        "draw_count": len(model.members),
         "model_path": model_path,
     })
 
@@ -142,15 +157,15 @@ def forecast_moisture(lake: Lake, **settings: int) -> DataFrame:
     split = ordinal.chronological_split(dataset, shared.fresh_path(lake.spark, "border"))
     vectors = models.assemble(split, features.MOISTURE_FEATURES, invalid="skip")
     model = models.fit_regressor(
-        vectors.filter("split = 'train'"), features.MOISTURE_TARGET, **settings
+        vectors.filter("split = 'train'"), features.MOISTURE_TARGET, features.MOISTURE_FEATURES, **settings
     )
     scored = model.transform(vectors.filter("split = 'test'"))
     errors = models.regression_metrics(scored, features.MOISTURE_TARGET)
     tables.replace_table(models.training_summary(split, errors, {
-        "algorithm": type(model).__name__,
+        "algorithm": model.algorithm,
         "feature_count": len(features.MOISTURE_FEATURES),
         "tree_count": model.getNumTrees,
-        "training_partitions": models.TRAINING_PARTS,
+        "draw_count": len(model.members),
     }), lake.name("gold", "moisture_training_summary"))
     return tables.replace_table(
         models.moisture_predictions(scored), lake.name("gold", "future_soil_moisture_predictions")

@@ -5,8 +5,6 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.ml import Model
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +12,8 @@ from pyspark.sql import types as T
 
 from furrow.functions import rules
 from furrow.functions.columns import reading_date
-from furrow.operators import clean, dedup, enrich, features, marts, models, ordinal, quality, series
+from furrow.operators import bagging, clean, dedup, enrich, features, marts, models, ordinal, quality, series
+from furrow.operators.bagging import BaggedForest
 from furrow.plans import medallion
 from furrow.sources import files, sensor_views, shared, tables
 
@@ -147,10 +146,38 @@ def quarantine_append(spark: SparkSession, sf: str) -> DataFrame:
     rows = checked(spark, sf).select(*rules.REQUIRED_FIELDS, "is_valid", "invalid_reason")
     rejected = quality.invalid_rows(rows)
     identity = rules.QUARANTINE_IDENTITY
-    tables.append_new(rejected.drop("is_valid"), table, identity)
-    tables.append_new(rejected, table, identity)
-    tables.append_new(quality.null_quarantine(rows), table, identity)
-    return spark.table(table).drop("quarantine_timestamp")
+    tables.append_new(rejected.drop("is_valid"), table, identity, "timestamp")
+    tables.append_new(rejected, table, identity, "timestamp")
+    tables.append_new(quality.null_quarantine(rows), table, identity, "timestamp")
+    return spark.table(table).drop("quarantine_timestamp", f"timestamp{tables.DAY}")
+
+
+@query
+def quarantine_append_day(spark: SparkSession, sf: str) -> DataFrame:
+    """A day that is delivered again, with more rows than before, onto the history of all days."""
+    table = f"{_schema(spark, 'feed')}.readings"
+    readings = sensor_views.readings(spark, sf).select(*KEY, "timestamp")
+    latest = readings.agg(F.max(F.to_date("timestamp"))).scalar()
+    today = F.to_date("timestamp") == latest
+    identity = ["reading_id", "timestamp"]
+    tables.append_new(readings.where(~today | (F.col("reading_id") % 3 > 0)), table, identity, "timestamp")
+    tables.append_new(readings.where(today), table, identity, "timestamp")
+    return spark.table(table).drop(f"timestamp{tables.DAY}")
+
+
+@query
+def refine_in_one_pass(spark: SparkSession, sf: str) -> DataFrame:
+    """The layered flow's counts, observed while the checked rows are written, and the tables made of them."""
+    path = shared.fresh_path(spark, "lake")
+    lake = medallion.Lake(spark, path, f"furrow_{path[-12:]}")
+    tables.replace_table(sensor_views.readings(spark, sf).withColumn("_ingestion_timestamp", F.current_timestamp()), lake.name("bronze", "sensor_readings"))
+    tables.replace_table(sensor_views.sensor_registry(spark, sf), lake.name("bronze", "sensor_master"))
+    counted = medallion.refine(lake).select(F.struct("*").alias("_c")).scalar()
+    sides = [lake.read("silver", name) for name in ("valid_sensor", "invalid_sensor")]
+    shown = ("reading_id", "invalid_reason", "quarantine_status")
+    valid = sides[0].withColumn("quarantine_status", F.lit(None).cast("string")).select(*shown)
+    both = valid.unionByName(sides[1].select(*shown))
+    return both.withColumn("_c", counted).select(*shown, "_c.*")
 
 
 @query
@@ -185,7 +212,56 @@ def table_list(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def schema_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return files.schema_profile(trusted(spark, sf))
+    """Every column of the trusted table; the estimate of distinct values is shown as how near it is."""
+    profile = files.schema_profile(trusted(spark, sf))
+    return profile.withColumn("about_distinct", F.col("about_distinct") > 0)
+
+
+@query
+def schema_profile_raw(spark: SparkSession, sf: str) -> DataFrame:
+    return files.schema_profile(cleaned(spark, sf)).drop("about_distinct", "nullable")
+
+
+def _damaged_landing(spark: SparkSession, sf: str) -> str:
+    """Landing files in which some lines have a field less, a field more or text for a number."""
+
+    def write(path: str) -> None:
+        names = ("reading_id", "sensor_id", "farm_id", "soil_moisture")
+        fields = [F.col(name).cast("string") for name in names]
+        line = F.when(F.col("reading_id") % 50 == 7, F.concat_ws(",", *fields[:3]))
+        line = line.when(F.col("reading_id") % 50 == 8, F.concat_ws(",", *fields, F.lit("extra")))
+        line = line.when(F.col("reading_id") % 50 == 9, F.concat_ws(",", *fields[:3], F.lit("wet")))
+        # the header is the only column's name, and no field holds the separator
+        lines = sensor_views.readings(spark, sf).select(line.otherwise(F.concat_ws(",", *fields)).alias(",".join(names)))
+        lines.write.csv(path, header=True, sep="\x01", quote="")
+
+    return shared.written_path(spark, f"damaged{sf}", write)
+
+
+DAMAGED = "reading_id BIGINT, sensor_id BIGINT, farm_id BIGINT, soil_moisture DOUBLE"
+
+
+@query
+def csv_scan_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines that fit and, in a table of their own, those that do not."""
+    accepted, rejected = files.scan_checked(spark, _damaged_landing(spark, sf), DAMAGED)
+    table = f"{_schema(spark, 'rejects')}.rejected_lines"
+    stored = tables.replace_table(rejected, table)
+    return accepted.withColumn("rejected_line", F.lit(None).cast("string")).unionByName(
+        stored.select(F.col("_line").alias("rejected_line")), allowMissingColumns=True
+    )
+
+
+@query
+def table_refresh_day(spark: SparkSession, sf: str) -> DataFrame:
+    """A table by day, in which the last day is corrected; other days' files stay."""
+    table = f"{_schema(spark, 'days')}.readings"
+    readings = sensor_views.readings(spark, sf).select(*KEY, "timestamp", "temperature").withColumn("reading_date", reading_date())
+    tables.replace_table(readings, table, ["reading_date"])
+    stored = spark.table(table)
+    latest = stored.agg(F.max("reading_date")).scalar()
+    fixed = stored.where(F.col("reading_date") == latest).withColumn("temperature", F.coalesce("temperature", F.lit(0.0)) + 1)
+    return tables.refresh_partitions(fixed, table)
 
 
 # ---- cleaning ------------------------------------------------------------------------------
@@ -440,6 +516,26 @@ def next_hour_target(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def next_hour_by_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Farm hours with the hours before and after by the clock, histories cut by day."""
+    return features.next_hour_features(trusted(spark, sf)).drop("reading_id", "temperature", "humidity", "rainfall", "battery")
+
+
+@query
+def next_hour_by_time_plain(spark: SparkSession, sf: str) -> DataFrame:
+    return features.next_hour_features(trusted(spark, sf), segment=None).drop("reading_id", "temperature", "humidity", "rainfall", "battery")
+
+
+@query
+def hour_around_sensor(spark: SparkSession, sf: str) -> DataFrame:
+    """Each reading with the mean temperature of its sensor's day before and hour after, cut at the shortest length."""
+    rows = trusted(spark, sf).select(*KEY, "timestamp", "temperature")
+    return series.by_distance(rows, ["sensor_id"], {
+        "day_before": series.mean_within("temperature", -86_400, -1), "hour_after": series.mean_within("temperature", 1, 3600),
+    }, segment=1)
+
+
 # ---- marts ---------------------------------------------------------------------------------
 
 
@@ -589,11 +685,11 @@ def chrono_split(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- models --------------------------------------------------------------------------------
 
-_models: dict[tuple[str, str, str], Model] = {}
+_models: dict[tuple[str, str, str], BaggedForest] = {}
 _fitting = threading.RLock()
 
 
-def _fitted(spark: SparkSession, sf: str, name: str, fit: Callable[[], Model]) -> Model:
+def _fitted(spark: SparkSession, sf: str, name: str, fit: Callable[[], BaggedForest]) -> BaggedForest:
     key = (spark.sparkContext.applicationId, sf, name)
     with _fitting:
         if key not in _models:
@@ -611,15 +707,15 @@ def _moisture_vectors(spark: SparkSession, sf: str, side: str) -> DataFrame:
     return models.assemble(rows, features.MOISTURE_FEATURES, invalid="skip")
 
 
-def _irrigation_model(spark: SparkSession, sf: str) -> Model:
+def _irrigation_model(spark: SparkSession, sf: str) -> BaggedForest:
     return _fitted(spark, sf, "irrigation", lambda: models.fit_classifier(
-        _irrigation_vectors(spark, sf, "train"), features.IRRIGATION_TARGET
+        _irrigation_vectors(spark, sf, "train"), features.IRRIGATION_TARGET, features.IRRIGATION_FEATURES
     ))
 
 
-def _moisture_model(spark: SparkSession, sf: str) -> Model:
+def _moisture_model(spark: SparkSession, sf: str) -> BaggedForest:
     return _fitted(spark, sf, "moisture", lambda: models.fit_regressor(
-        _moisture_vectors(spark, sf, "train"), features.MOISTURE_TARGET
+        _moisture_vectors(spark, sf, "train"), features.MOISTURE_TARGET, features.MOISTURE_FEATURES
     ))
 
 
@@ -748,7 +844,7 @@ def training_summary(spark: SparkSession, sf: str) -> DataFrame:
         "algorithm": "RandomForestClassifier",
         "feature_count": len(features.IRRIGATION_FEATURES),
         "tree_count": _irrigation_model(spark, sf).getNumTrees,
-        "training_partitions": models.TRAINING_PARTS,
+        "draw_count": len(_irrigation_model(spark, sf).members),
     })
 
 
@@ -758,7 +854,7 @@ def moisture_training_summary(spark: SparkSession, sf: str) -> DataFrame:
         "algorithm": "RandomForestRegressor",
         "feature_count": len(features.MOISTURE_FEATURES),
         "tree_count": _moisture_model(spark, sf).getNumTrees,
-        "training_partitions": models.TRAINING_PARTS,
+        "draw_count": len(_moisture_model(spark, sf).members),
     })
 
 
@@ -767,15 +863,33 @@ def moisture_training_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def forest_repartition_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Test rows on which forests of the same rows in 1 and in 9 partitions differ."""
+    """Test rows on which forests of the same rows in 1, 9 and 64 partitions differ, and their trees that do."""
     train = _irrigation_vectors(spark, sf, "train")
-    one, other = (
-        models.fit_classifier(train.repartition(n), features.IRRIGATION_TARGET, numTrees=5) for n in (1, 9)
+    fitted = [
+        models.fit_classifier(
+            train.repartition(n), features.IRRIGATION_TARGET, features.IRRIGATION_FEATURES, numTrees=6, draws=3
+        ) for n in (1, 9, 64)
+    ]
+    scored = _irrigation_vectors(spark, sf, "test")
+    for n, model in enumerate(fitted):
+        scored = model.transform(scored).withColumnRenamed("prediction", f"prediction_{n}").drop("rawPrediction", "probability")
+    differ = (F.col("prediction_0") != F.col("prediction_1")) | (F.col("prediction_0") != F.col("prediction_2"))
+    trees = sum(a != b or a != c for a, b, c in zip(*(model.trees for model in fitted)))
+    return scored.agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(differ).alias("differing"),
+        F.lit(trees).cast("bigint").alias("differing_trees"),
     )
-    again = other.setPredictionCol("again").setProbabilityCol("").setRawPredictionCol("")
-    return again.transform(one.transform(_irrigation_vectors(spark, sf, "test"))).agg(
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("again") != F.col("prediction")).alias("differing"),
+
+
+@query
+def bootstrap_weights(spark: SparkSession, sf: str) -> DataFrame:
+    """A draw's weights: about a Poisson number of mean 1 for every training row, other ones in another draw."""
+    first, second = (bagging.poisson_weight(42, draw, "reading_id") for draw in (0, 1))
+    rows = _irrigation_split(spark, sf).filter("split = 'train'").select(first.alias("one"), second.alias("other"))
+    near = lambda value, aim: F.abs(value - aim) < 0.2
+    return rows.agg(
+        F.count(F.lit(1)).alias("records"), near(F.avg("one"), 1).alias("mean_is_one"),
+        near(F.var_pop("one"), 1).alias("variance_is_one"), near(F.corr("one", "other"), 0).alias("draws_differ"),
     )
 
 
@@ -849,10 +963,9 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         spark, f"model{sf}",
         lambda path: models.save_model(_irrigation_model(spark, sf), path),
     )
-    reloaded = RandomForestClassificationModel.load(path)
-    again = reloaded.setPredictionCol("again").setProbabilityCol("").setRawPredictionCol("")
-    both = again.transform(_irrigation_scored(spark, sf))
+    fitted = _irrigation_scored(spark, sf).withColumnRenamed("prediction", "first").drop("rawPrediction", "probability")
+    both = BaggedForest.load(path).transform(fitted)
     return both.agg(
         F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("again") != F.col("prediction")).alias("differing"),
+        F.count_if(F.col("first") != F.col("prediction")).alias("differing"),
     )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from furrow.functions import rules
+from furrow.operators import quality
 from furrow.plans import medallion
 from furrow.sources import sensor_views, shared
 
@@ -34,7 +35,9 @@ def test_flow(spark, landing):
     counts = []
     for _ in range(2):
         medallion.ingest(lake, landing, {"sensor_readings": sensor_views.RAW_SCHEMA})
-        medallion.refine(lake)
+        checked = medallion.refine(lake).first()
+        summary = quality.quality_summary(lake.read("silver", "checked_sensor")).first()
+        assert checked.asDict() == summary.asDict() and checked.total_records == lake.read("bronze", "sensor_readings").count()
         counts.append((lake.read("silver", "valid_sensor").count(), lake.read("silver", "invalid_sensor").count()))
     raw = lake.read("bronze", "sensor_readings")
     assert counts[0] == counts[1] and sum(counts[0]) == raw.count() and min(counts[0]) > 0
@@ -86,3 +89,34 @@ def test_inferred_types_and_a_corrected_registry(spark):
         assert (kept.count(), rejected.count()) == (valid, 3 - valid)
     described = medallion.describe_readings(kept, lake.read("bronze", "farm_master"))
     assert {r.farm_name for r in described.collect()} == {"north"}
+
+
+def test_raw_is_scanned_once_and_the_quarantine_is_not_copied(spark, landing, monkeypatch):
+    lake = medallion.Lake(spark, shared.fresh_path(spark, "lake"), prefix=f"lake_{uuid.uuid4().hex[:8]}")
+    medallion.ingest(lake, landing, {"sensor_readings": sensor_views.RAW_SCHEMA})
+    written = []
+    replaced = medallion.tables._replaced
+
+    def watched(df, table, *rest):
+        written.append((table.rsplit(".", 1)[1], {path.split("/")[-3] for path in df.inputFiles()}))
+        return replaced(df, table, *rest)
+
+    monkeypatch.setattr(medallion.tables, "_replaced", watched)
+    medallion.refine(lake)
+    assert [name for name, _ in written] == ["checked_sensor", "valid_sensor"]
+    assert "sensor_readings" in written[0][1] and "sensor_readings" not in written[1][1]
+    checked, invalid = (set(lake.read("silver", name).inputFiles()) for name in ("checked_sensor", "invalid_sensor"))
+    assert invalid and invalid < checked
+    row = lake.read("silver", "invalid_sensor").first()
+    assert row.quarantine_status == rules.QUARANTINED and row.quarantine_timestamp is not None and not row.is_valid
+
+
+def test_no_invalid_rows(spark):
+    lake = medallion.Lake(spark, shared.fresh_path(spark, "lake"), prefix=f"lake_{uuid.uuid4().hex[:8]}")
+    rows = [(1, "101", "1", "p", "01-01-2024 10:00", 20.0, 50.0, 50.0, 0.0, 90.0)]
+    paths = {name: shared.fresh_path(spark, name) for name in ("sensor_readings", "sensor_master")}
+    spark.createDataFrame(rows, [*rules.REQUIRED_FIELDS]).write.csv(paths["sensor_readings"], header=True)
+    spark.createDataFrame([(101,)], "sensor_id int").write.csv(paths["sensor_master"], header=True)
+    medallion.ingest(lake, paths)
+    assert medallion.refine(lake).first().asDict() == {"valid_records": 1, "invalid_records": 0, "total_records": 1}
+    assert lake.read("silver", "invalid_sensor").count() == 0 and lake.read("silver", "valid_sensor").count() == 1

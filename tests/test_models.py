@@ -1,9 +1,9 @@
 import pytest
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.sql import functions as F
 
-from furrow.operators import models
+from furrow.operators import bagging, models
+from furrow.operators.bagging import BaggedForest
 from furrow.sources import shared
 
 
@@ -49,14 +49,14 @@ def test_regression_metrics_equal_the_evaluator(spark):
 
 def test_classifier_reload_importance_and_summary(spark, table):
     split = vectors(table)
-    model = models.fit_classifier(split.filter("split = 'train'"), "label", numTrees=5)
+    model = models.fit_classifier(split.filter("split = 'train'"), "label", ["a", "b"], numTrees=5)
     test = split.filter("split = 'test'")
     scored = model.transform(test)
     metrics = models.classification_metrics(scored, "label")
     assert metrics.first().accuracy > 0.95
     path = shared.fresh_path(spark, "forest")
     models.save_model(model, path)
-    again = RandomForestClassificationModel.load(path).transform(test)
+    again = BaggedForest.load(path).transform(test)
     pick = lambda df: sorted((r.reading_id, r.prediction, str(r.probability)) for r in df.collect())
     assert pick(again) == pick(scored)
     ranked = models.feature_importance(spark, model, ["a", "b"]).collect()
@@ -69,7 +69,7 @@ def test_classifier_reload_importance_and_summary(spark, table):
 
 def test_regressor(table):
     split = vectors(table)
-    model = models.fit_regressor(split.filter("split = 'train'"), "value", numTrees=5)
+    model = models.fit_regressor(split.filter("split = 'train'"), "value", ["a", "b"], numTrees=5)
     assert models.regression_metrics(model.transform(split.filter("split = 'test'")), "value").first().r2 > 0.9
 
 
@@ -84,13 +84,47 @@ def test_forests_do_not_depend_on_partitions(table):
     split = vectors(table)
     train, test = split.filter("split = 'train'"), split.filter("split = 'test'")
     for fit, target in ((models.fit_classifier, "label"), (models.fit_regressor, "value")):
-        fitted = [fit(train.repartition(n), target, numTrees=4) for n in (1, 3, 9)]
-        assert len({model.toDebugString.split("\n", 1)[1] for model in fitted}) == 1
+        fitted = [fit(train.repartition(n), target, ["a", "b"], numTrees=4, draws=2) for n in (1, 9, 64)]
+        assert fitted[0].trees == fitted[1].trees == fitted[2].trees and len(fitted[0].trees) == 4
         assert len({str(model.featureImportances) for model in fitted}) == 1
         pick = lambda model: sorted((r.reading_id, r.prediction) for r in model.transform(test).collect())
         assert pick(fitted[0]) == pick(fitted[1]) == pick(fitted[2])
 
 
+def test_edges_of_a_sample_do_not_depend_on_partitions(table, monkeypatch):
+    """More rows than the edges are read off: the sample must be the same rows."""
+    monkeypatch.setattr(bagging, "EDGE_ROWS", 100)
+    edges = [bagging._edges(table.repartition(n), ["a", "b"], "reading_id", 42, 600) for n in (1, 7)]
+    assert edges[0] == edges[1] and len(edges[0][0]) > 10
+
+
+def test_votes_of_draws_are_those_of_one_forest(spark, table):
+    """Raw votes add up over draws, probabilities to one; the most voted label is predicted, of equal ones the smaller."""
+    split = vectors(table)
+    model = models.fit_classifier(split, "label", ["a", "b"], numTrees=5, draws=2)
+    assert [m.getNumTrees for m in model.members] == [3, 2] and model.getNumTrees == 5 and model.numFeatures == 2
+    for row in model.transform(split.limit(50)).collect():
+        assert row.rawPrediction.toArray().sum() == pytest.approx(5)
+        assert list(row.probability) == pytest.approx([v / 5 for v in row.rawPrediction])
+        assert row.prediction == max(range(2), key=lambda i: (row.rawPrediction[i], -i))
+
+
+def test_poisson_weights(spark):
+    rows = spark.range(20000).select(*(bagging.poisson_weight(42, d, "id").alias(f"w{d}") for d in range(2)))
+    found = rows.agg(F.avg("w0").alias("mean"), F.var_pop("w0").alias("var"), F.corr("w0", "w1").alias("corr"), F.avg((F.col("w0") == 0).cast("double")).alias("none")).first()
+    assert found.mean == pytest.approx(1, abs=0.03) and found["var"] == pytest.approx(1, abs=0.05)
+    assert found.none == pytest.approx(0.368, abs=0.02) and abs(found["corr"]) < 0.03
+
+
+def test_constant_and_missing_features_and_a_rare_label(spark):
+    frame = spark.range(80).select(
+        F.col("id").alias("reading_id"), F.lit(1.0).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).cast("double").alias("b"),
+        (F.col("id") == 79).cast("int").alias("label"),
+    )
+    model = models.fit_classifier(frame, "label", ["a", "b"], numTrees=6, draws=6)
+    assert {len(r.probability) for r in model.transform(frame).collect()} == {2}
+
+
 def test_published_forecast(spark):
     scored = spark.sql(
         "SELECT 1 AS farm_id, timestamp'2024-01-01' AS reading_hour, 1.0D AS temperature, 1.0D AS humidity,"

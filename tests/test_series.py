@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from furrow.operators import series
-from furrow.operators.series import Cut, along, lag, lead, trailing_mean
+from furrow.operators.series import Cut, along, at_distance, by_distance, lag, lead, mean_within, trailing_mean
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "reading_id int, sensor_id string, timestamp timestamp, x double"
@@ -162,3 +162,44 @@ def test_rounded_trend(spark):
     assert in_order(trend, "temperature_change", "`3_reading_average`") == [(None, 1.01), (1.0, 1.5)]
     with pytest.raises(Exception):
         along(df, ["sensor_id"], {"p": lag("missing")}).collect()
+
+
+DISTANT = {"hour_ahead": at_distance("x", 3600), "hour_back": at_distance("x", -3600), "day": mean_within("x", -86400, -1),
+           "around": mean_within("x", -900, 900)}
+
+
+def by_hand(data, columns=((3600, 3600), (-3600, -3600), (-86400, -1), (-900, 900))):
+    out = []
+    for i, s, t, _ in data:
+        means = []
+        for first, last in columns:
+            seen = [y for _, o, u, y in data if o == s and t and u and first <= (u - t).total_seconds() <= last]
+            means.append(pytest.approx(sum(seen) / len(seen)) if seen else None)
+        out.append((i, *means))
+    return sorted(out, key=lambda row: row[0])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    points=st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 4 * 24 * 3)), min_size=1, max_size=40),
+    segment=st.sampled_from([None, 1, 86400, 100_000]), missing=st.booleans(),
+)
+def test_frames_by_time_equal_brute_force(spark, points, segment, missing):
+    data = [(i, s, START + dt.timedelta(minutes=15 * m), float(i)) for i, (s, m) in enumerate(points)]
+    data += [(900, "a", None, 5.0), (901, "a", None, 6.0)] if missing else []
+    found = by_distance(frame(spark, data), ["sensor_id"], DISTANT, segment=segment)
+    assert found.columns == ["reading_id", "sensor_id", "timestamp", "x", *DISTANT]
+    assert sorted(tuple(r) for r in found.select("reading_id", *DISTANT).collect()) == by_hand(data)
+
+
+def test_hot_entity_by_time_is_spread(spark):
+    """A third of the rows belong to one sensor; its segments go to several tasks and borrow few rows."""
+    df = skewed(spark)
+    cut, plain = (by_distance(df, ["sensor_id"], DISTANT, segment=s) for s in (86400, None))
+    assert in_order(cut, *cut.columns) == in_order(plain, *cut.columns)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "_segment" in plan and plan.count("Window ") == 1
+
+
+def test_by_time_of_nothing(spark):
+    assert by_distance(frame(spark, []), ["sensor_id"], DISTANT).count() == 0
