@@ -24,7 +24,9 @@ from pyspark.sql.window import Window
 from furrow.llm.common import small_batches, written
 from furrow.llm.words import signed, text_bytes, words
 
-SHARD_WORDS = 1 << 21  # words of a shard, unless one text alone has more
+SHARD_WORDS = 1 << 22  # words of a shard, unless one text alone has more
+SHORT_CODES = 1 << 16  # words that are sent as small numbers; all others as their hashes
+SAMPLED_TEXTS = 20_000  # texts that the words with small numbers are chosen from; which they are changes no result
 UNKNOWN = "und"  # the language of rows without one
 
 # ---- Fixed values: bytes that end a piece (. , ; : ! ? and 0x0A to 0x0D), bytes between words ----
@@ -135,17 +137,21 @@ class Shard:
         self.spelled.update(spelled)
         self.words += count
 
-    def grams(self, lang: str) -> Iterator[pa.RecordBatch]:
-        """Rows of ``GRAMS``: the number of words, each word, each pair with its right extensions."""
+    def grams(self, lang: str, short: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of ``GRAMS``: the number of words, each word, each pair with its right extensions.
+
+        Words are told apart by their hashes, or by their place in ``short``, sorted hashes of common words.
+        """
         sequence = np.concatenate([np.zeros(1, np.uint64), *self.hashes, np.zeros(1, np.uint64)])
         known, number = np.unique(sequence, return_inverse=True)
         index = ShardIndex(number.astype(np.int32), len(known))
         pairs = index.left_pairs()
         owner, following, times = index.right_extensions(pairs)
         alone = index.single()
-        known, at = signed(known), np.searchsorted(owner, np.arange(len(pairs.count) + 1))
+        spelled = [self.spelled[w] for w in signed(known)[1:].tolist()]
+        known, at = _codes(known, short), np.searchsorted(owner, np.arange(len(pairs.count) + 1))
         yield _rows(lang, [None], [None], [self.words], [None])
-        yield _rows(lang, known[1:], [None] * len(alone.count), alone.count, [self.spelled[w] for w in known[1:].tolist()])
+        yield _rows(lang, known[1:], [None] * len(alone.count), alone.count, spelled)
         for low in range(0, len(pairs.count), 1 << 16):
             high = min(low + (1 << 16), len(pairs.count))
             inside, offsets = slice(at[low], at[high]), pa.array((at[low : high + 1] - at[low]).astype(np.int32))
@@ -156,6 +162,13 @@ class Shard:
             )
 
 
+def _codes(hashes: np.ndarray, short: np.ndarray) -> np.ndarray:
+    """The place in ``short`` where it holds the hash, else the hash with its highest bit set, which is negative."""
+    place = np.searchsorted(short, hashes)
+    there = short[np.minimum(place, max(len(short) - 1, 0))] == hashes if len(short) else np.zeros(len(hashes), bool)
+    return np.where(there, place, signed(hashes | np.uint64(1 << 63)))
+
+
 def _rows(lang: str, w1, w2, times, word, following: pa.Array | None = None, counts: pa.Array | None = None) -> pa.RecordBatch:
     size = len(times)
     return pa.RecordBatch.from_arrays([
@@ -186,7 +199,22 @@ def _separated(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, dict[
     return out, spelled, len(hashes)
 
 
-def shard_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def common_words(documents: DataFrame) -> np.ndarray:
+    """Sorted hashes of the most frequent words of a bounded sample: the texts whose hashes are smallest, about."""
+    share = min(1.0, SAMPLED_TEXTS / max(documents.count(), 1))
+    sample = documents.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, times = np.unique(_separated(*text_bytes(batch.column("text")))[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(hashes)), pa.array(times)], ["w", "times"])
+
+    words_of = sample.select("text").mapInArrow(count, "w long, times long").where("w <> 0").groupBy("w").agg(F.sum("times").alias("times"))
+    best = words_of.orderBy(F.desc("times"), "w").limit(SHORT_CODES).collect()
+    return np.sort(np.array([row.w for row in best], np.int64).view(np.uint64))
+
+
+def shard_grams(batches: Iterator[pa.RecordBatch], short: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(lang, text) to rows of ``GRAMS``; a shard is flushed when it has enough words."""
     shards: dict[str, Shard] = {}
     for batch in batches:
@@ -197,9 +225,9 @@ def shard_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if count:
                 shards.setdefault(lang, Shard()).add(hashes, spelled, count)
                 if shards[lang].words >= SHARD_WORDS:
-                    yield from shards.pop(lang).grams(lang)
+                    yield from shards.pop(lang).grams(lang, short)
     for lang in list(shards):
-        yield from shards.pop(lang).grams(lang)
+        yield from shards.pop(lang).grams(lang, short)
 
 
 def _quotient(a: str, left: str, right: str) -> Column:
@@ -219,9 +247,11 @@ def phrases(documents: DataFrame, least: int = 10, inside_percent: int = 50, top
 
     One shuffle carries each shard's pairs with their extensions; rows of rare pairs end there, so only the
     extensions of frequent pairs are dealt again. A pair is as many rows as there are shards that hold it.
+    Common words travel as small numbers, which halves what is shuffled; the driver gets 65,536 hashes for it.
     """
     small_batches(documents.sparkSession)
-    counted = documents.select("lang", "text").mapInArrow(shard_grams, GRAMS)
+    short = common_words(documents)
+    counted = documents.select("lang", "text").mapInArrow(lambda batches: shard_grams(batches, short), GRAMS)
     total = F.sum("times").over(Window.partitionBy("w1", "w2", "lang"))
     kept = written(counted.withColumn("total", total).where(f"total >= {least} OR w1 IS NULL"), "grams")
 
