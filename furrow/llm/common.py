@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from furrow.sources.shared import fresh_path
@@ -47,6 +47,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def packed(frame: DataFrame) -> DataFrame:
+    """The row as one column ``row``, so that no column of the user can clash with one that an operator adds."""
+    return frame.select(F.struct(*(F.col(f"`{name}`") for name in frame.columns)).alias("row"))
+
+
+def unpacked(frame: DataFrame, names: list[str], **changed: Column) -> DataFrame:
+    """The columns of a packed row again, some of them replaced and others added."""
+    kept = [changed.pop(name).alias(name) if name in changed else F.col(f"row.`{name}`").alias(name) for name in names]
+    return frame.select(*kept, *(value.alias(name) for name, value in changed.items()))
+
+
 def with_fields(frame: DataFrame, **types: str) -> str:
     """The schema of ``frame`` and further columns, as DDL."""
     own = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in frame.schema.fields)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm import words as W
-from furrow.llm.common import per_batch, written
+from furrow.llm.common import packed, per_batch, unpacked, written
 
 WINDOW = 8  # words of a template window; an item with fewer is one window
 LITERAL = 4  # words of a window (or all of a shorter item, if fewer) that must not be placeholders
@@ -270,12 +270,19 @@ def keyed(documents: DataFrame) -> DataFrame:
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_covered, n_words, n_slots: one row for each text and item that meet."""
+    """doc_id, item_id, n_covered, n_words, n_slots: one row for each text and item that meet.
+
+    Rows with equal id and text give one row an item. Null and empty texts, empty tables and other columns: see ``decontaminate``.
+    """
     return contaminated(keyed(documents.select("doc_id", "text")), benchmark).drop("_key")
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that hold no benchmark item; all columns, and repeated rows, stay as they are."""
-    rows = keyed(documents)
-    found = written(contaminated(rows, benchmark).select("_key").distinct(), "leaks")
-    return rows.join(found, "_key", "left_anti").drop("_key")
+    """The rows of ``documents`` that hold no benchmark item; all columns, whatever their names, and repeated rows stay as they are.
+
+    Null and empty texts hold none. An empty table, or an empty benchmark, takes nothing away.
+    """
+    key = F.col("row.doc_id"), F.col("row.text")
+    rows = keyed(packed(documents).select("row", key[0].alias("doc_id"), key[1].alias("text")))
+    found = written(contaminated(rows.drop("row"), benchmark).select("_key").distinct(), "leaks")
+    return unpacked(rows.join(found, "_key", "left_anti"), documents.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furrow.llm import words as W
-from furrow.llm.common import per_batch, written
+from furrow.llm.common import packed, per_batch, unpacked, written
 from furrow.llm.components import connected_components
 
 COLLECTION = 8  # m: hashes in each of the two collections
@@ -228,11 +228,13 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
 def one_of_each_group(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``documents`` that ``near_duplicates`` keeps, with all their columns.
 
-    Rows with equal id and text count as one document and come out once.
+    Rows with equal id and text count as one document and come out once, whatever their other columns, which may have
+    any names. Null and empty texts stay. An empty table gives an empty result.
     """
     found = near_duplicates(documents, shingle, percent).where("kept")
     found = written(found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "kept")
-    rows = documents.alias("d").join(
-        found, F.col("d.doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("d.text", F.lit(""))) == F.col("_key"))
+    rows = packed(documents).select(
+        "row", F.col("row.doc_id").cast("long").alias("own_id"), F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("own_key")
     )
-    return rows.dropDuplicates(["_id", "_key"]).select("d.*")
+    rows = rows.join(found, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_key") == F.col("_key")))
+    return unpacked(rows.dropDuplicates(["_id", "_key"]), documents.columns)

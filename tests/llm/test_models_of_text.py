@@ -80,12 +80,39 @@ def test_toxicity_without_labels_or_rows(spark):
 
 def test_corrected_risk_goes_against_a_negative_part():
     """With a prior far too high, the plain risk would fall without end; the corrected one does not."""
-    positive = [np.array([1, 2])] * 20
-    unlabelled = [np.array([1, 2])] * 2 + [np.array([3])] * 98
-    model = toxicity.fit(positive, unlabelled, 0.5)
+    positive = [np.array([0, 1])] * 20
+    unlabelled = [np.array([0, 1])] * 2 + [np.array([2])] * 98
+    model = toxicity.fit(positive, unlabelled, np.array([11, 12, 13]), 0.5)
     assert np.isfinite(model.weights).all() and abs(model.bias) < 20
 
 
+def test_telling_features_and_scores_equal_plain_python(spark, monkeypatch):
+    """Counts, z-scores and the score of a text, worked out one by one."""
+    rng = random.Random(4)
+    texts = {i: " ".join(rng.choice(["vile", "mean", "good", "calm", "tree", "sky"][(0 if i % 4 else 2):]) for _ in range(12)) for i in range(400)}
+    documents = spark.createDataFrame([*texts.items(), (900, "x " * 9000 + "vile")], SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in texts], "doc_id long, toxic int")
+    everyone = toxicity.F.lit(True)
+    model = toxicity.train(documents, labels, everyone, prior=0.3)
+    rows = documents.collect()
+    slots = {r.doc_id: set(toxicity._features(toxicity.pa.array([r.text]))[0].tolist()) for r in rows}
+    positive, unlabelled = [slots[i] for i in texts if i % 4], list(slots.values())
+    expected = []
+    for slot in set().union(*unlabelled):
+        a, b = sum(slot in x for x in positive), sum(slot in x for x in unlabelled)
+        n, u = len(positive), len(unlabelled)
+        share = (a + b) / (n + u)
+        z = (a / n - b / u) / math.sqrt(max(share * (1 - share), 1e-12) * (1 / n + 1 / u))
+        if a >= toxicity.MIN_POSITIVES and 0.3 * a / n >= 0.5 * b / u and z >= toxicity.MIN_Z:
+            expected.append(slot)
+    assert sorted(expected) == model.slots.tolist()
+    weight = dict(zip(model.slots.tolist(), model.weights.tolist()))
+    scored = {r.doc_id: r.toxicity for r in toxicity.score(documents, model).collect()}
+    for doc_id, own in slots.items():
+        margin = model.bias + sum(weight.get(slot, 0.0) for slot in own)
+        assert abs(scored[doc_id] - 1 / (1 + math.exp(-margin))) < 1e-6
+
+
 # language
 
 def test_languages_are_told_apart(spark):
@@ -345,6 +372,15 @@ def test_items_without_literal_windows_and_in_another_case(spark):
     assert meets(spark, texts, items) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 3)]
 
 
+def test_helper_names_in_the_input_stay(spark):
+    frame = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
+    names = ["_key", "row", "window", "item_id", "item_text", "_item"]
+    frame = frame.selectExpr("*", *(f"doc_id AS `{n}`" for n in names))
+    items = spark.createDataFrame([(1, "zz yy")], "item_id long, text string")
+    found = decontaminate.decontaminate(frame, items)
+    assert found.columns == frame.columns and {(r.doc_id, r._key, r.window) for r in found.collect()} == {(i, i, i) for i in (1, 2, 3)}
+
+
 def test_decontaminate_keeps_rows(spark):
     rows = [(1, ITEM, "k"), (None, None, "k"), (2, "clean text", None), (2, "clean text", None), (1, "other text", "k")]
     documents = spark.createDataFrame(rows, SCHEMA + ", _item string")

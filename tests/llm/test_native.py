@@ -18,6 +18,8 @@ def lines_by_hand(rows, window=3):
         lines, gone = text.split("\n"), set()
         for i in range(len(lines) - window + 1):
             key = tuple(line.strip(" ") for line in lines[i : i + window])
+            if not any(key):
+                continue
             if key in seen:
                 gone |= set(range(i, i + window))
             seen.add(key)
@@ -37,6 +39,24 @@ def test_line_windows(spark):
     assert by_id[1004].n_removed > 0
 
 
+def test_blank_lines_and_helper_names_stay(spark):
+    rows = [(1, "a\n\n\n\nb"), (2, "c\n\n\n \nd"), (3, "\n\n\n\n"), (4, "x\ny\nz\n\n\n\nx\ny\nz")]
+    names = ["_id", "_key", "_lines", "_starts", "_gone", "_kept", "id", "key", "row", "lines", "starts", "h", "at", "cuts", "gone", "window", "left"]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *(f"doc_id AS `{n}`" for n in names))
+    found = line_dedup.deduplicate_lines(frame)
+    assert found.columns == ["doc_id", "text", *names, "n_lines", "n_removed"]
+    assert all(set(r[2:-2]) == {r.doc_id} for r in found.collect())
+    assert {r.doc_id: r.text for r in found.collect()} == lines_by_hand(rows)
+
+
+def test_lines_of_very_long_texts(spark):
+    rng = random.Random(5)
+    rows = [(i, "\n".join(rng.choice("abcdefghij") * rng.randrange(1, 4) for _ in range(30000))) for i in range(2)]
+    rows.append((9, "k" * 2_000_000 + "\nq\nq\nq\nq"))
+    found = line_dedup.deduplicate_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.text for r in found.collect()} == lines_by_hand(rows)
+
+
 def test_line_windows_with_repeated_and_null_ids(spark):
     text = "a\nb\nc\nd"
     rows = [(None, text), (None, None), (3, text), (3, text), (9, text)]

@@ -114,3 +114,13 @@ def test_components(spark, links):
                 label[a] = label[b] = min(label[a], label[b])
                 changed = True
     assert {r.node: r.label for r in connected_components(frame).collect()} == label
+
+
+def test_helper_names_and_very_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(60000))
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, None), (4, ""), (5, long), (6, long + " end")]
+    names = ["_id", "_key", "row", "own_id", "own_key", "node", "kept", "doc", "key"]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *(f"doc_id AS `{n}`" for n in names))
+    found = near_dedup.one_of_each_group(frame)
+    assert found.columns == frame.columns
+    assert sorted(set(tuple(r[2:]) for r in found.collect())) == [(i,) * len(names) for i in (1, 3, 4, 5)]

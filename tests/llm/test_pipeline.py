@@ -1,5 +1,6 @@
 """The registered text queries, and the pipeline stage by stage on the small tables."""
 
+import os
 import zlib
 
 import __spark_entry__ as contract
@@ -23,14 +24,12 @@ def stages(spark):
 
 
 def corpus_dir():
-    from conftest import TESTDATA
-
-    return TESTDATA
+    return os.environ.get("FURROW_TESTDATA", "/root/testdata")
 
 
 def test_registered():
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in names if name.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in names if name.startswith("op")}
     assert "pipeline" in names and set(queries.SQL) <= set(queries.REGISTRY)
 
 
