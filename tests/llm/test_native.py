@@ -78,9 +78,7 @@ def anchors_by_hand(text):
     """Smallest distinct (hash, place) of the closed syncmers, as the operator packs them."""
     if not text:
         return []
-    k, s, inner = syncmers.K, syncmers.S, syncmers.INNER
-    if len(text) < k:
-        return [(_hash(text.encode()) & 0x7FFFFFFF) << 32]
+    s, inner = syncmers.S, syncmers.INNER
     h = [_signed(_hash(text[i : i + s].encode("utf-32-be"))) for i in range(len(text) - s + 1)]
     best = {}
     for i in range(len(h) - inner + 1):
@@ -89,12 +87,14 @@ def anchors_by_hand(text):
             first = _hash(struct.pack("<q", part[0]))
             value = _hash(struct.pack("<q", part[-1]), seed=first) & 0x7FFFFFFF
             best.setdefault(value, i)
-    return [value << 32 | place for value, place in sorted(best.items())][: syncmers.HELD]
+    if not best:
+        return [(_hash(text.encode()) & 0x7FFFFFFF) << 32]
+    return [value << 32 | place for value, place in sorted(best.items())]
 
 
 def alike_by_hand(one, two):
     a, b = {x >> 32: x & 0xFFFFFFFF for x in one}, {x >> 32: x & 0xFFFFFFFF for x in two}
-    both = sorted(set(a) | set(b))[: syncmers.HELD]
+    both = sorted(set(a) | set(b))
     if not both:
         return 1.0
     apart = [a[x] - b[x] for x in both if x in a and x in b]
@@ -121,6 +121,28 @@ def test_syncmers(spark):
         assert row.near_edited == alike_by_hand(own, changed) and row.near_next == alike_by_hand(own, anchors_by_hand(after))
 
 
+def test_short_texts_have_fingerprints_of_their_own(spark):
+    """Around the length of a k-mer, where a text may have no anchor; unlike texts are not alike."""
+    rng = random.Random(21)
+    texts = ["".join(rng.choice("abcdefghij klmn") for _ in range(n)) for n in [*range(1, 30)] * 4]
+    found = syncmers.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in found:
+        text, after = texts[r.doc_id], texts[(r.doc_id + 1) % len(texts)]
+        q = len(text) // 4
+        edited = text[: len(text) - q] + after[:q]
+        own, changed = anchors_by_hand(text), anchors_by_hand(edited)
+        assert r.fingerprint and [int(x, 16) for x in r.fingerprint.split()] == own
+        assert [int(x, 16) for x in r.edited_fingerprint.split()] == changed
+        assert r.near_next == alike_by_hand(own, anchors_by_hand(after)) and (r.near_next < 1 or text == after)
+
+
+def test_helper_names_of_syncmers_do_not_clash(spark):
+    names = ["_id", "_key", "_text", "_bucket", "_a", "_f", "_n", "_place", "_b", "_e", "row"]
+    frame = spark.createDataFrame([(1, "some words here " * 5), (2, "other")], "doc_id long, text string")
+    plain = syncmers.fingerprints(frame).collect()
+    assert sorted(syncmers.fingerprints(frame.selectExpr("*", *(f"'x' AS `{n}`" for n in names))).collect()) == sorted(plain)
+
+
 def test_syncmers_beyond_the_basic_plane_and_odd_ids(spark):
     text = "\U0001f600 some words \U00010348 and more of them " * 12
     rows = [(None, text), (None, "b" * 50), (4, text), (4, text), (2, "")]
@@ -177,3 +199,118 @@ def test_quotes(spark):
     assert [p for p, _ in places] == list(range(6)) and places[-1][1] == 4
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert quotes.link_quotes(empty).count() == 0
+
+
+def quotes_by_hand(rows):
+    """(n_quotes, n_linked, parent, linked) of each message, by comparing every quote with every earlier message."""
+    import re
+    import string
+
+    def normal(text):
+        return re.sub(r"[\s%s]+" % re.escape(string.punctuation), " ", text.lower()).strip()
+
+    def units_of(words):
+        return {tuple(words[i : i + 4]) for i in range(len(words) - 3)}
+
+    def split(text):
+        own, parts, before = [], [], (0, True)
+        for line in text.split("\n"):
+            marks = re.match(r"[ \t]*((?:>[ \t]?)*)", line)
+            level, rest = marks[1].count(">"), line[marks.end():]
+            if not re.match(r"[ \t]*>", line):
+                own.append(line)
+            blank = not rest.strip(" ")
+            if not blank and level and (level == before[0] and not before[1]):
+                parts[-1][1].append(rest)
+            elif not blank and level:
+                parts.append((level, [rest]))
+            before = (level, blank)
+        return "\n".join(own).strip("\n"), parts
+
+    out, messages = {}, {}
+    for conv, turn, text in sorted(rows):
+        own, parts = split(text)
+        near, any_, n, linked = [], [], 0, 0
+        for level, lines in parts:
+            n += 1
+            quote = normal("\n".join(lines))
+            if not quote:
+                continue
+            words, source = quote.split(" "), None
+            for earlier in sorted(messages.get(conv, {}), reverse=True):
+                wrote = messages[conv][earlier]
+                if len(words) >= 4:
+                    there = units_of(words) <= units_of(normal(wrote).split(" "))
+                else:
+                    pieces = wrote.split("\n") + re.split(r"[.!?\n]+", wrote) + re.split(r"\n[ \t]*\n", wrote) + [wrote]
+                    there = quote in {normal(x) for x in pieces}
+                if there:
+                    source = earlier
+                    break
+            if source is not None:
+                linked += 1
+                any_.append(source)
+                if level == 1:
+                    near.append(source)
+        before = max(messages.get(conv, {}), default=None)
+        found = max(near, default=max(any_, default=None))
+        out[conv, turn] = (n, linked, before if found is None else found, found is not None)
+        messages.setdefault(conv, {})[turn] = own
+    return out
+
+
+def threads(seed, conversations=12, turns=14):
+    """Generated threads whose messages quote whole, trimmed, joined and nested parts of earlier ones; and their true parents."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    sentence = lambda: " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(3, 12))).capitalize() + rng.choice(".?!")
+    rows, truth = [], {}
+    for conv in range(conversations):
+        own = []
+        for turn in range(turns):
+            blocks = [[sentence() for _ in range(rng.randrange(1, 4))] for _ in range(rng.randrange(1, 3))]
+            head = []
+            if turn and rng.random() < 0.8:
+                target = rng.randrange(turn)
+                parts = own[target]
+                kind = rng.choice(["whole", "line", "trimmed", "joined", "nested"])
+                lines = [line for block in parts for line in block]
+                if kind == "line":
+                    lines = [rng.choice(lines)]
+                elif kind == "trimmed":
+                    words = " ".join(lines).split(" ")
+                    start = rng.randrange(max(1, len(words) - 6))
+                    lines = [" ".join(words[start : start + 9])]
+                elif kind == "whole":
+                    lines = rng.choice(parts)
+                if len(" ".join(lines).split(" ")) >= 4 or kind in ("whole", "line"):
+                    truth[conv, turn] = target
+                mark = rng.choice(["> ", ">", "  > ", "\t> "])
+                head = [mark + line.upper() for line in lines]
+                if kind == "nested" and target:
+                    head = ["> > " + own[rng.randrange(target)][0][0], *head]
+            own.append(blocks)
+            rows.append((conv, turn, "\n".join([*head, "", "\n\n".join("\n".join(b) for b in blocks)])))
+    return rows, truth
+
+
+def test_partial_quotes_equal_brute_force_and_find_the_parents(spark):
+    rows, truth = threads(3)
+    frame = spark.createDataFrame([(c, t, "user", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.turn): r for r in quotes.link_quotes(frame.repartition(4)).collect()}
+    expected = quotes_by_hand(rows)
+    assert {k: (r.n_quotes, r.n_linked, r.parent, r.linked) for k, r in found.items()} == expected
+    right = [found[k].linked and found[k].parent == target for k, target in truth.items()]
+    assert len(right) > 80 and sum(right) / len(right) >= 0.9
+    assert not any(">" in r.text for r in found.values())
+
+
+def test_one_line_of_a_message_and_many_quoters_of_one(spark):
+    rows = [(1, 0, "a", "First line here.\nSecond line there now."), (1, 1, "b", "hm"), (1, 2, "a", "> Second line there now.\nyes"),
+            (1, 3, "b", "> yes\nshort quote"), (1, 4, "a", "> line here second line\nacross lines"), (1, 5, "b", "> line there first\nno")]
+    rows += [(2, t, "a", "the same words again and again" if t % 2 else "> the same words again and again\nok") for t in range(300)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r.conv_id, r.turn): r for r in quotes.link_quotes(frame).collect()}
+    assert [(found[1, t].parent, found[1, t].linked) for t in range(6)] == [
+        (None, False), (0, False), (0, True), (2, True), (0, True), (4, False)]
+    assert all(found[2, t].parent == (t - 1 if t else None) and found[2, t].linked == (t % 2 == 0 and t > 0) for t in range(300))
