@@ -5,6 +5,9 @@ of this template are hashed and joined with those of the benchmark. Where window
 an item meet, the values in the slots are compared: within one item, equal values must always be
 replaced by equal ones, so a re-parameterised question is caught and a chance meeting is not.
 
+Short questions have too few plain words for that ("What is 12 + 7?"). With other values they are found
+where their whole template is a sentence of its own in the text.
+
 Words are read in three ways, each with windows of its own: as they are (verbatim, case apart), with
 capitalised words as names, and with the benchmark's names as names in any case.
 """
@@ -23,6 +26,7 @@ from furrow.llm.common import packed, per_batch, unpacked, written
 
 WINDOW = 8  # words of a template window; an item with fewer is one window
 LITERAL = 4  # words of a window (or all of a shorter item, if fewer) that must not be placeholders
+SHORT_LITERAL = 2  # plain words of a whole short item that is looked for as a sentence
 SHIFT = 8  # words inserted or dropped between two runs of one copy
 SHARE = 0.5  # part of an item's template that a text must hold
 BROADCAST_WINDOWS = 2_000_000  # benchmark windows that are sent to all tasks (16 MB); beyond, a shuffled join
@@ -36,6 +40,9 @@ UNITS = (
 )
 
 _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (0xA11CE5, 0xB0B5, 0xC0FFEE))
+_SENTENCE = np.zeros(256, bool)  # bytes that end a sentence, as line ends do
+_SENTENCE[[*b".!?:;"]] = True
+_WHOLE = np.uint64(0x5E47E4CE)  # tells whole short items from windows
 _END = np.zeros(256, bool)  # bytes after which a capital does not make a name
 _END[[ord(c) for c in ".!?:;\"'()[]{}<>|*-#>"]] = True
 
@@ -91,10 +98,24 @@ def _among(known: np.ndarray, values: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
+def sentence_starts(data: np.ndarray, found: W.Words) -> np.ndarray:
+    """Whether a sentence begins at each word that counts (see ``canonical``)."""
+    begin, end = found.begin, found.end
+    lines = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(data == 10, out=lines[1:])
+    starts = np.ones(len(begin), bool)
+    if len(begin):
+        starts[1:] = _SENTENCE[data[end[:-1] - 1]] | (lines[begin[1:]] > lines[end[:-1]])
+        starts[found.at[:-1][found.at[:-1] < len(begin)]] = True
+    kept = np.flatnonzero(found.hash != _EMPTY)
+    so_far = np.cumsum(starts)[kept]
+    return np.diff(so_far, prepend=0) > 0
+
+
 def readings(
     data: np.ndarray, offsets: np.ndarray, names: np.ndarray
-) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray]:
-    """Template and slots of each way to read the words, own hashes, and where texts begin.
+) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
+    """Template and slots of each way to read the words, own hashes, where texts begin, and where sentences do.
 
     The first way is verbatim and has no slots; then come capitals as names, and the given names.
     """
@@ -104,7 +125,7 @@ def readings(
     if len(names):
         template, _, slot, _ = canonical(data, offsets, names, found)
         ways.append((template, slot))
-    return ways, own, at
+    return ways, own, at, sentence_starts(data, found)
 
 
 def _names(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -124,19 +145,38 @@ def windows(template: np.ndarray, slot: np.ndarray, size: int) -> tuple[np.ndarr
     return W._chain(template, size, len(template) - size + 1), enough
 
 
+def whole_sentences(template: np.ndarray, slot: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each stretch of words and whether it is one sentence or more that a short item could be found as.
+
+    It has a slot, as verbatim copies are found anyway, and SHORT_LITERAL plain words.
+    """
+    if len(template) < size or size == 0:
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
+    literal = np.append(0, np.cumsum(~slot))
+    plain = literal[size:] - literal[:-size]
+    alone = starts[: len(starts) - size + 1] & np.append(starts, True)[size:]
+    return W.mix(W._chain(template, size, len(template) - size + 1) ^ _WHOLE), alone & (plain >= SHORT_LITERAL) & (plain < size)
+
+
 def _item_windows(batch: pa.RecordBatch, names: np.ndarray) -> pa.RecordBatch:
-    ways, _, at = readings(*W.text_bytes(batch.column("text")), names)
-    ids, hashes, sizes = [], [], []
+    ways, _, at, starts = readings(*W.text_bytes(batch.column("text")), names)
+    ids, hashes, sizes, times, words = [], [], [], [], []
     for item, a, b in zip(batch.column("item_id").to_pylist(), at, at[1:]):
         size = min(WINDOW, int(b - a))
         each = [windows(template[a:b], slot[a:b], size) for template, slot in ways]
-        found = np.unique(np.concatenate([x[enough] for x, enough in each]))
+        if b - a <= WINDOW:
+            each += [whole_sentences(template[a:b], slot[a:b], starts[a:b], size) for template, slot in ways]
+        found, often = np.unique(np.concatenate([x[enough] for x, enough in each]), return_counts=True)
         ids += [item] * len(found)
         hashes.append(found)
+        times.append(often)
         sizes += [size] * len(found)
+        words += [int(b - a)] * len(found)
     joined = W.signed(np.concatenate(hashes)) if hashes else np.zeros(0, np.int64)
+    often = np.concatenate(times) if times else np.zeros(0, np.int64)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(joined), pa.array(sizes, pa.int32())], names=["item_id", "window", "size"]
+        [pa.array(ids, pa.int64()), pa.array(joined), pa.array(sizes, pa.int32()), pa.array(often, pa.int64()), pa.array(words, pa.int64())],
+        names=["item_id", "window", "size", "times", "words"],
     )
 
 
@@ -149,16 +189,17 @@ def _hits(documents: DataFrame, items: DataFrame, sizes: list[int], names: np.nd
         wanted = documents.sparkSession.sparkContext.broadcast(values)
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ways, _, at = readings(*W.text_bytes(batch.column("text")), names)
+        ways, _, at, starts = readings(*W.text_bytes(batch.column("text")), names)
         places, found = [], []
-        for size, (template, slot) in itertools.product(sizes, ways):
-            hashes, enough = windows(template, slot, size)
+        each = [(size, windows(*way, size)) for size, way in itertools.product(sizes, ways)]
+        each += [(size, whole_sentences(*way, starts, size)) for size, way in itertools.product(sizes, ways)]
+        for size, (hashes, enough) in each:
             if not len(hashes):
                 continue
             text = np.searchsorted(at, np.arange(len(hashes)), "right") - 1
             enough &= np.arange(len(hashes)) + size <= at[text + 1]
             hashes = W.signed(hashes)
-            if wanted is not None:
+            if wanted is not None and enough.any():
                 enough &= _among(wanted.value, hashes)
             picked = np.flatnonzero(enough)
             places.append(text[picked])
@@ -181,10 +222,10 @@ def aligned(text: str, item: str, names: np.ndarray) -> tuple[int, int, int]:
     whatever the other slots hold. A chain goes forward in both, with at most SHIFT words between two diagonals.
     """
     data, offsets = W.text_bytes(pa.array([item, text]))
-    ways, own, at = readings(data, offsets, names)
+    ways, own, at, starts = readings(data, offsets, names)
     n = int(at[1])
     held = []  # begin and end in the item, diagonal, values, number of slots up to each place
-    for begin, end, shift, way in sorted((a, b, s, i) for i, w in enumerate(ways) for a, b, s in _runs(*w, n)):
+    for begin, end, shift, way in sorted((a, b, s, i) for i, w in enumerate(ways) for a, b, s in _runs(*w, starts, n)):
         slot = ways[way][1][:n]
         places = begin + np.flatnonzero(slot[begin:end])
         pairs = set(zip(own[places].tolist(), own[n + places + shift].tolist()))
@@ -210,7 +251,7 @@ def aligned(text: str, item: str, names: np.ndarray) -> tuple[int, int, int]:
     return covered, n, found
 
 
-def _runs(template: np.ndarray, slot: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+def _runs(template: np.ndarray, slot: np.ndarray, starts: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     """Begin and end in the item and diagonal of each stretch of shared windows; the first n words are the item's."""
     size = min(WINDOW, n)
     ours, enough = windows(template[:n], slot[:n], size)
@@ -223,9 +264,14 @@ def _runs(template: np.ndarray, slot: np.ndarray, n: int) -> list[tuple[int, int
         for j in order[low:high].tolist():
             diagonals.setdefault(j - i, []).append(i)
     runs = []
-    for shift, starts in diagonals.items():
-        cuts = [k for k in range(1, len(starts)) if starts[k] > starts[k - 1] + size]
-        runs += [(starts[a], starts[b - 1] + size, shift) for a, b in zip([0, *cuts], [*cuts, len(starts)])]
+    for shift, begins in diagonals.items():
+        cuts = [k for k in range(1, len(begins)) if begins[k] > begins[k - 1] + size]
+        runs += [(begins[a], begins[b - 1] + size, shift) for a, b in zip([0, *cuts], [*cuts, len(begins)])]
+    if 0 < n <= WINDOW:  # a whole short item as a sentence
+        ours, enough = whole_sentences(template[:n], slot[:n], starts[:n], n)
+        theirs, alone = whole_sentences(template[n:], slot[n:], starts[n:], n)
+        same = np.flatnonzero(alone & (theirs == ours[0])) if enough[0] else []
+        runs += [(0, n, j) for j in map(int, same) if j not in diagonals]
     return runs
 
 
@@ -239,10 +285,13 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHAR
     # one number for each distinct name of the benchmark
     known = per_batch(bench.select("text"), _names, "name long").distinct().collect()
     names = np.sort(np.array([r.name for r in known], np.int64).view(np.uint64))
-    items = written(per_batch(bench, lambda batch: _item_windows(batch, names), "item_id long, window long, size int"), "item-windows")
+    items = written(per_batch(bench, lambda batch: _item_windows(batch, names), "item_id long, window long, size int, times long, words long"), "item-windows")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # at most WINDOW values
     hits = written(_hits(documents, items, sizes, names), "window-hits")
-    pairs = hits.join(items, "window").groupBy("_key", "item_id").agg(F.count("*").alias("n")).select("_key", "item_id")
+    # windows that could not cover the share, each as often as the item holds it, end here: most meetings over a stock phrase do
+    pairs = hits.join(items, "window").groupBy("_key", "item_id").agg(
+        (F.sum("times") * WINDOW).alias("most"), F.max("words").alias("words")
+    ).where(F.col("most") >= share * F.col("words")).select("_key", "item_id")
     texts = documents.select("_key", "doc_id", "text").join(written(hits.select("_key").distinct(), "hit-texts"), "_key")
     named = bench.select(F.col("item_id").alias("_item"), F.col("text").alias("item_text"))
     rows = texts.dropDuplicates(["_key"]).join(pairs, "_key").join(named, F.col("item_id").eqNullSafe(F.col("_item")))

@@ -348,7 +348,7 @@ def test_templates_catch_other_numbers(spark):
     crossed = ITEM.replace("40 tons", "75 tons").replace("40 wagons", "91 wagons")
     texts = ["x y z. " + ITEM, other.upper(), crossed, "the old station with coal and nothing else at all here", None, "",
              ITEM.replace("coal", "iron").replace("tons", "tons, in all,"), "intro\n" + other + "\nmore words"]
-    assert meets(spark, texts) == [(0, 0), (1, 0), (7, 0)] or meets(spark, texts) == [(0, 0), (1, 0), (6, 0), (7, 0)]
+    assert meets(spark, texts) == [(0, 0), (1, 0), (6, 0), (7, 0)]  # inserted and changed words leave most of the item
 
 
 def test_short_and_empty_items(spark):
@@ -369,7 +369,59 @@ def test_items_without_literal_windows_and_in_another_case(spark):
     items = ["What is 12 + 7?", "red green 5", "Anna 3 Ben 4 Carl 5 Dora 6 Emil 7", "der Hund sieht den Ball und die Katze sucht 3 Fische im Wasser"]
     texts = ["so: what IS 12 + 7?", "RED green 5!", "list: " + items[2].lower() + " end", items[3].upper(),
              items[3].lower().replace("3", "8"), "what is 13 + 8?", "green red 5"]
-    assert meets(spark, texts, items) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 3)]
+    assert meets(spark, texts, items) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 3), (5, 0)]
+
+
+def test_short_items_with_other_values_are_found_as_sentences(spark):
+    items = ["What is 12 + 7?", "Solve 3 x for 9", "5 6 7"]
+    texts = ["What is 40 + 9?", "He asked: what is 40 - 9? Nobody knew.", "so what is 40 + 9 in all", "what is 4 + 4?\nsolve 8 x for 2",
+             "8 9 4", "nothing. What is 40\n9", "what is 40 9 is"]
+    assert meets(spark, texts, items) == [(0, 0), (1, 0), (3, 0), (3, 1), (5, 0)]  # the last one over a line end
+
+
+def templates_by_hand(text, item):
+    """Share of the item covered by shared windows of the template in which each value keeps one value; numbers and units only."""
+    def read(t):
+        words = [w for w in (re.sub(r"[!-/:-@\[-`{-~]", "", x).lower() for x in t.split()) if w]
+        kinds, before = [], ""
+        for w in words:
+            kind = "#" if any(c.isdigit() for c in w) else "unit" if before == "#" and w in decontaminate.UNITS else w
+            kinds.append(kind)
+            before = kind
+        return words, kinds
+
+    (a, ka), (b, kb) = read(text), read(item)
+    size, best = min(8, len(b)), 0
+    for shift in range(-len(b), len(a)):
+        covered = [i for i in range(len(b) - size + 1) if 0 <= i + shift <= len(a) - size and ka[i + shift : i + shift + size] == kb[i : i + size]
+                   and sum(k not in ("#", "unit") for k in kb[i : i + size]) >= min(4, size)]
+        words = {j for i in covered for j in range(i, i + size)}
+        pairs = {(b[j], a[j + shift]) for j in words if kb[j] in ("#", "unit")}
+        if len(pairs) == len({x for x, _ in pairs}):
+            best = max(best, len(words))
+    return best / max(1, len(b))
+
+
+def test_changed_copies_equal_brute_force_over_templates(spark):
+    """Items with other values, some with two values for one, among texts of the same words; and the recall of true copies."""
+    rng = random.Random(12)
+    plain = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(200)]
+    items, texts, copies = [], [], []
+    for i in range(20):
+        words = [rng.choice(plain) if rng.random() < 0.75 else str(rng.randrange(2, 9)) for _ in range(rng.randrange(12, 40))]
+        items.append(" ".join(words))
+        values = {str(v): str(v + rng.randrange(10, 90)) for v in range(2, 9)}
+        changed = [values.get(w, w) for w in words]
+        copies.append((len(texts), i))
+        texts.append(" ".join(rng.choices(plain, k=9) + changed + rng.choices(plain, k=9)))
+        texts.append(" ".join(values.get(w, w) if rng.random() < 0.5 else w for w in words))
+    found = set(meets(spark, texts, items))
+    for t, text in enumerate(texts):
+        for i, item in enumerate(items):
+            if templates_by_hand(text, item) >= decontaminate.SHARE:
+                assert (t, i) in found
+    assert sum(pair in found for pair in copies) / len(copies) >= 0.95
+    assert all(t // 2 == i for t, i in found)
 
 
 def test_helper_names_in_the_input_stay(spark):
