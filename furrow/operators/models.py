@@ -96,6 +96,24 @@ def feature_importance(spark: SparkSession, model: BaggedForest, features: Seque
     )
 
 
+def strongest(df: DataFrame, features: Sequence[str], label: str, k: int) -> DataFrame:
+    """The k features that go with the label most: feature_name and the size of their correlation, largest first.
+
+    All correlations come from one aggregate; what is ordered is one row a feature. Features without any
+    spread have none and come last; equal ones go by name.
+    """
+    truth = F.col(label).cast("double")
+
+    def strength(name: str) -> Column:
+        value = F.col(name).cast("double")
+        return F.abs(F.try_divide(F.covar_pop(value, truth), F.stddev_pop(value) * F.stddev_pop(truth)))
+
+    entries = (F.struct(F.lit(name).alias("feature_name"), strength(name).alias("strength")) for name in features)
+    sizes = df.agg(F.array(*entries).alias("sizes")).select(F.inline("sizes"))
+    known = F.round(F.nanvl("strength", F.lit(None).cast("double")), 9)
+    return sizes.withColumn("strength", known).orderBy(F.desc_nulls_last("strength"), "feature_name").limit(k)
+
+
 def save_model(model: BaggedForest, path: str) -> None:
     model.save(path)
 

@@ -383,6 +383,22 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
             avg(temperature) OVER (PARTITION BY sensor_id ORDER BY sec RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING) AS day_before,
             avg(temperature) OVER (PARTITION BY sensor_id ORDER BY sec RANGE BETWEEN 1 FOLLOWING AND 3600 FOLLOWING) AS hour_after
         FROM (SELECT *, CAST(epoch(date_trunc('second', timestamp)) AS BIGINT) AS sec FROM trusted)"""),
+    "strongest_features": (("featured",), "SELECT * FROM (" + " UNION ALL ".join(
+        f"""SELECT '{name}' AS feature_name, CASE WHEN stddev_pop({name}) > 0 THEN round(abs(
+                covar_pop({name}, irrigation_label) / (stddev_pop({name}) * stddev_pop(irrigation_label))), 9) END AS strength
+            FROM featured"""
+        for name in _IRRIGATION_VECTOR) + ") ORDER BY strength DESC NULLS LAST, feature_name LIMIT 5"),
+    "predictions_preview_of_mean": (("dataset",), f"""
+        SELECT farm_id, reading_hour, temperature, humidity, soil_moisture, rainfall, battery,
+            next_hour_soil_moisture, {_round('soil_moisture_rolling_avg_3')} AS predicted_next_hour_soil_moisture,
+            CASE WHEN soil_moisture_rolling_avg_3 < 30 THEN 'YES' ELSE 'NO' END AS predicted_irrigation_required
+        FROM dataset ORDER BY farm_id, reading_hour, reading_id LIMIT 50"""),
+    "column_guard": (("trusted",), """
+        SELECT reading_id, 'missing required columns: [''rainfall'', ''battery'']' AS refusal FROM trusted"""),
+    "too_few_rows": (("dataset",), """
+        SELECT count(*) AS records,
+            concat('not enough rows to train: ', count(*), ', at least ', count(*) + 1, ' needed') AS refusal
+        FROM dataset"""),
     "quarantine_append_day": (("readings",), "SELECT reading_id, sensor_id, farm_id, timestamp FROM readings"),
     "refine_in_one_pass": (("checked",), """
         SELECT reading_id, invalid_reason, CASE WHEN NOT is_valid THEN 'QUARANTINED' END AS quarantine_status,

@@ -826,6 +826,12 @@ def feature_importance_top5(spark: SparkSession, sf: str) -> DataFrame:
     return feature_importance(spark, sf).limit(5)
 
 
+@query
+def strongest_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The five features that go with the irrigation label most."""
+    return models.strongest(_irrigation_split(spark, sf), features.IRRIGATION_FEATURES, features.IRRIGATION_TARGET, 5)
+
+
 @query
 def moisture_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return models.moisture_predictions(_moisture_scored(spark, sf))
@@ -838,6 +844,38 @@ def predictions_preview(spark: SparkSession, sf: str) -> DataFrame:
     return models.moisture_predictions(first)
 
 
+@query
+def predictions_preview_of_mean(spark: SparkSession, sf: str) -> DataFrame:
+    first = _same_again(spark, sf).orderBy("farm_id", "reading_hour", "reading_id").limit(50)
+    return models.moisture_predictions(first)
+
+
+@query
+def column_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns that forecasts need are there; a frame without one of them is refused by name."""
+    required = ["reading_id", "farm_id", "timestamp", *rules.MEASURES]
+    rows = files.require_columns(trusted(spark, sf), required).select("reading_id")
+    try:
+        files.require_columns(trusted(spark, sf).drop("battery", "rainfall"), required)
+        refusal = None
+    except ValueError as problem:
+        refusal = str(problem)
+    return rows.withColumn("refusal", F.lit(refusal))
+
+
+@query
+def too_few_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A chronological split that asks for one row more than there are is refused."""
+    table = _moisture_split(spark, sf).drop("split")
+    needed = table.count() + 1
+    try:
+        ordinal.chronological_split(table, shared.fresh_path(spark, "border"), min_rows=needed)
+        refusal = None
+    except ValueError as problem:
+        refusal = str(problem)
+    return table.agg(F.count(F.lit(1)).alias("records"), F.lit(refusal).alias("refusal"))
+
+
 @query
 def training_summary(spark: SparkSession, sf: str) -> DataFrame:
     return models.training_summary(_irrigation_split(spark, sf), classifier_metrics(spark, sf), {
@@ -926,7 +964,7 @@ def feature_importance_check(spark: SparkSession, sf: str) -> DataFrame:
 def training_summary_check(spark: SparkSession, sf: str) -> DataFrame:
     right = (F.col("prediction") == F.col(features.IRRIGATION_TARGET)).cast("double")
     plain = _irrigation_scored(spark, sf).agg(F.avg(right).alias("share_right"))
-    return training_summary(spark, sf).join(plain).select(
+    return training_summary(spark, sf).withColumn("share_right", plain.scalar()).select(
         "total_records", "train_records", "test_records",
         (F.abs(F.col("accuracy") - F.col("share_right")) < 1e-9).alias("same_accuracy"),
     )
@@ -950,7 +988,8 @@ def moisture_training_summary_check(spark: SparkSession, sf: str) -> DataFrame:
     fitted = models.regression_metrics(
         _moisture_model(spark, sf).transform(_moisture_vectors(spark, sf, "train")), features.MOISTURE_TARGET
     ).select(F.col("r2").alias("fitted_r2"))
-    return moisture_training_summary(spark, sf).join(plain).join(fitted).select(
+    summary = moisture_training_summary(spark, sf).withColumns({"mean_error": plain.scalar(), "fitted_r2": fitted.scalar()})
+    return summary.select(
         "total_records", "train_records", "test_records",
         (F.abs(F.col("mae") - F.col("mean_error")) < 1e-6).alias("same_mae"), (F.col("fitted_r2") > 0).alias("learned"),
     )

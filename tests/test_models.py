@@ -133,3 +133,14 @@ def test_published_forecast(spark):
     row = models.moisture_predictions(scored).first()
     assert len(row) == 10
     assert (row.predicted_next_hour_soil_moisture, row.predicted_irrigation_required) == (30.0, "YES")
+
+
+def test_strongest_features(spark):
+    frame = spark.range(40).select(
+        F.col("id").cast("double").alias("same"), (-F.col("id")).alias("against"), F.lit(3.0).alias("constant"),
+        (F.col("id") % 2).alias("odd"), F.lit(None).cast("double").alias("none"), F.col("id").alias("label"),
+    )
+    found = models.strongest(frame, ["odd", "constant", "same", "none", "against"], "label", 4).collect()
+    assert [r.feature_name for r in found] == ["against", "same", "odd", "constant"]
+    assert found[0].strength == found[1].strength == pytest.approx(1) and found[3].strength is None
+    assert [r.strength for r in models.strongest(frame.limit(0), ["odd"], "label", 4).collect()] == [None]
