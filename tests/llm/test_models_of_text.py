@@ -206,6 +206,76 @@ def test_exchange_ends_where_no_single_move_helps():
             assert likelihood(pairs, moved, 4) <= best + 1e-6
 
 
+def corpus_of_kinds(seed, size):
+    """Sentences of kinds of words in turn, each kind with many words; and two kinds that share their endings."""
+    rng = random.Random(seed)
+    kinds = [[f"{a}{i}{'xyz' if k < 2 else end}" for i in range(40)] for k, (a, end) in enumerate(zip("pqrst", ["", "", "ion", "ing", "est"]))]
+    return [(i, " ".join(rng.choice(kinds[(start + j) % 5]) for j in range(20))) for i, start in enumerate(rng.choices(range(5), k=size))], kinds
+
+
+def test_score_equals_plain_python(spark, monkeypatch):
+    """Classes from the tables, transitions and emissions counted anew over all training tokens."""
+    monkeypatch.setattr(class_lm, "UNIT_WORDS", 20)
+    monkeypatch.setattr(class_lm, "FREQUENT", 150)
+    rows, _ = corpus_of_kinds(3, 150)
+    documents = spark.createDataFrame([*rows, (900, "p1xyz unseenword q2xyz"), (901, None)], SCHEMA)
+    learn = F.col("doc_id") < 120
+    tables, counts, tokens, types = class_lm.train(documents, learn)
+    place = {int(w): i for i, w in enumerate(tables.words)}
+
+    def classes(text):
+        word, ending, _ = class_lm._tokens(pa.array([text]))
+        return [(w, int(tables.classes[place.get(w, len(place) + e)])) for w, e in zip(word.tolist(), ending.tolist())]
+
+    steps, in_class, seen, n = {}, {}, {}, {}
+    for doc_id, text in rows:
+        if doc_id < 120:
+            before = 0
+            for w, c in [*classes(text), (None, 0)]:
+                steps[before, c] = steps.get((before, c), 0) + 1
+                in_class[c] = in_class.get(c, 0) + 1
+                n[w] = n.get(w, 0) + 1
+                if w is not None:
+                    seen.setdefault(c, set()).add(w)
+                before = c
+    for r in class_lm.score(documents, tables, counts, tokens, types).collect():
+        text = next((t for i, t in documents.select("doc_id", "text").collect() if i == r.doc_id), "") or ""
+        total, before = 0.0, 0
+        for w, c in [*classes(text), (None, 0)]:
+            out = sum(v for (b, _), v in steps.items() if b == before)
+            total += math.log10((steps.get((before, c), 0) + 0.5) / (out + 0.5 * class_lm.CLASSES))
+            total += math.log10((n.get(w, 0) + 1) / (in_class.get(c, 0) + (len(seen.get(c, ())) + 1 if w is not None else 1)))
+            before = c
+        assert r.score == pytest.approx(total)
+
+
+def test_words_beyond_the_exchanged_ones_find_their_kind(spark, monkeypatch):
+    """Words with one ending but different neighbours are parted; by their endings alone they could not be."""
+    monkeypatch.setattr(class_lm, "UNIT_WORDS", 60)
+    rows, kinds = corpus_of_kinds(5, 400)
+    documents = spark.createDataFrame(rows, SCHEMA)
+    tables, counts, tokens, types = class_lm.train(documents, F.lit(True))
+    place = {int(w): i for i, w in enumerate(tables.words)}
+    of = [[int(tables.classes[place[int(w)]]) for w in class_lm._tokens(pa.array([" ".join(kind)]))[0]] for kind in kinds[:2]]
+    assert not set(of[0]) & set(of[1])
+    held = class_lm.score(spark.createDataFrame(corpus_of_kinds(6, 50)[0], SCHEMA), tables, counts, tokens, types).collect()
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.85
+
+
+def test_best_class_equals_all_classes_tried(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "CLASSES", 4)
+    rng = np.random.default_rng(2)
+    step, tokens = np.log10(rng.dirichlet(np.ones(4), 4)), rng.integers(1, 90, 4).astype(float)
+    rows = [(w, k, int(rng.integers(1, 9))) for w in range(30) for k in range(8) if rng.random() < 0.6]
+    found = class_lm.best_classes(spark.createDataFrame(rows, "number long, k int, n long"), step, tokens).collect()
+    for r in found:
+        likely = [
+            sum(n * (step[k, c] - math.log10(tokens[c] + 1) if k < 4 else step[c, k - 4]) for w, k, n in rows if w == r["number"])
+            for c in range(1, 4)
+        ]
+        assert r["class"] == 1 + likely.index(max(likely))
+
+
 def test_transitions_and_emissions_add_up(spark):
     rows = [(i, "the cat sat on the mat and the dog ran") for i in range(9)]
     tables, counts, _, _ = class_lm.train(spark.createDataFrame(rows, SCHEMA), F.lit(True))
