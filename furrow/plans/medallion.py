@@ -50,6 +50,26 @@ def ingest(lake: Lake, sources: Mapping[str, str], schemas: Mapping[str, str] |
         tables.replace_table(files.with_audit(scanned), lake.name("bronze", entity))
 
 
+def ingest_new(lake: Lake, entity: str, path: str, schema: str | None = None) -> int:
+    """Append the landing files that the raw table does not hold yet, and read no others; returns how many.
+
+    A file is known by its name, so files must not be changed in place. The first load makes the table.
+    A later load reads by the table's own columns unless a schema is given, and may leave columns out.
+    """
+    spark, table = lake.spark, lake.name("bronze", entity)
+    if not spark.catalog.tableExists(table):
+        ingest(lake, {entity: path}, {entity: schema} if schema else None)
+        return len(files.scan_csv(spark, path, lake.read("bronze", entity).schema).inputFiles())
+    stored = spark.table(table)
+    audit = [name for name in stored.columns if name in files.AUDIT]
+    kind = schema or stored.drop(*audit).schema
+    fresh = files.not_landed(files.scan_csv(spark, path, kind), stored)
+    if fresh:
+        rows = files.with_audit(files.scan_csv(spark, fresh, kind))
+        stored.limit(0).unionByName(rows, allowMissingColumns=True).write.insertInto(table)
+    return len(fresh)
+
+
 def trusted_rows(validated: DataFrame, ingested: str = "_ingestion_timestamp") -> DataFrame:
     """Valid rows, the latest of each sensor, farm and time."""
     return dedup.latest_reading(quality.valid_rows(validated), ingested=ingested)

@@ -383,6 +383,10 @@ _QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
             avg(temperature) OVER (PARTITION BY sensor_id ORDER BY sec RANGE BETWEEN 86400 PRECEDING AND 1 PRECEDING) AS day_before,
             avg(temperature) OVER (PARTITION BY sensor_id ORDER BY sec RANGE BETWEEN 1 FOLLOWING AND 3600 FOLLOWING) AS hour_after
         FROM (SELECT *, CAST(epoch(date_trunc('second', timestamp)) AS BIGINT) AS sec FROM trusted)"""),
+    "incremental_landing": (("raw",), """
+        SELECT reading_id, sensor_id, farm_id, field_id, timestamp, nullif(temperature, '') AS temperature, humidity,
+            soil_moisture, rainfall, battery, CAST(0 AS INTEGER) AS files_in_last_load
+        FROM raw"""),
     "strongest_features": (("featured",), "SELECT * FROM (" + " UNION ALL ".join(
         f"""SELECT '{name}' AS feature_name, CASE WHEN stddev_pop({name}) > 0 THEN round(abs(
                 covar_pop({name}, irrigation_label) / (stddev_pop({name}) * stddev_pop(irrigation_label))), 9) END AS strength

@@ -123,6 +123,20 @@ def bronze_audit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def incremental_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """Landing files that arrive in two deliveries, each loaded once though the folder is read three times."""
+    path = shared.fresh_path(spark, "arriving")
+    lake = medallion.Lake(spark, f"{path}-lake", f"furrow_{path[-12:]}")
+    keep = dict(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    odd = F.col("reading_id") % 2 == 1
+    for delivery in (raw(spark, sf).where(odd), raw(spark, sf).where(~odd)):
+        delivery.write.options(**keep).mode("append").csv(path)
+        medallion.ingest_new(lake, "sensor_readings", path, sensor_views.RAW_SCHEMA)
+    again = medallion.ingest_new(lake, "sensor_readings", path, sensor_views.RAW_SCHEMA)
+    return lake.read("bronze", "sensor_readings").drop(*files.AUDIT).withColumn("files_in_last_load", F.lit(again))
+
+
 @query
 def table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """A full refresh, then one that also changes the schema."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, BooleanType, DoubleType, FloatType, MapType, StringType, StructField, StructType, UserDefinedType, VariantType,
@@ -13,12 +13,13 @@ from pyspark.sql.types import (
 from furrow.sources import shared
 
 _REJECTED = "_rejected"
+AUDIT = ("_ingestion_timestamp", "_source_file")
 
 
 def scan_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, trim: bool = False
+    spark: SparkSession, path: str | list[str], schema: StructType | str | None = None, trim: bool = False
 ) -> DataFrame:
-    """Read a CSV file with a header; give a schema to save the inference pass over the data."""
+    """Read CSV files with a header; give a schema to save the inference pass over the data."""
     reader = spark.read.options(
         header=True, ignoreLeadingWhiteSpace=trim, ignoreTrailingWhiteSpace=trim
     )
@@ -29,11 +30,24 @@ def scan_csv(
 def with_audit(scanned: DataFrame) -> DataFrame:
     """Add the load time and the file each row came from."""
     return scanned.withColumns({
-        "_ingestion_timestamp": F.current_timestamp(),
-        "_source_file": F.col("_metadata.file_path"),
+        AUDIT[0]: F.current_timestamp(),
+        AUDIT[1]: F.col("_metadata.file_path"),
     })
 
 
+def _same_path(path: Column) -> Column:
+    """A file's name in one spelling, as listings and ``_metadata`` differ in slashes and escapes."""
+    return F.url_decode(F.regexp_replace(path, "^([a-z]+):/+", "$1:/"))
+
+
+def not_landed(listed: DataFrame, stored: DataFrame) -> list[str]:
+    """Files of a scan that no row of the stored table names in ``_source_file``; only new names reach the driver."""
+    spark = listed.sparkSession
+    names = spark.createDataFrame([(name,) for name in sorted(listed.inputFiles())], "file string")
+    known = stored.select(_same_path(F.col("_source_file")).alias("known")).distinct()
+    return [row.file for row in names.join(known, _same_path(F.col("file")) == F.col("known"), "left_anti").collect()]
+
+
 def scan_checked(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
     """Lines of CSV files that fit the schema, and those that do not.
 

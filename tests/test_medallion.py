@@ -120,3 +120,20 @@ def test_no_invalid_rows(spark):
     medallion.ingest(lake, paths)
     assert medallion.refine(lake).first().asDict() == {"valid_records": 1, "invalid_records": 0, "total_records": 1}
     assert lake.read("silver", "invalid_sensor").count() == 0 and lake.read("silver", "valid_sensor").count() == 1
+
+
+def test_only_new_files_are_read(spark):
+    lake = medallion.Lake(spark, shared.fresh_path(spark, "lake"), prefix=f"lake_{uuid.uuid4().hex[:8]}")
+    path = shared.fresh_path(spark, "arriving files")  # a name with a blank
+    spark.sql("SELECT 1 AS id, 'a' AS name").coalesce(1).write.csv(path, header=True)
+    assert medallion.ingest_new(lake, "things", path) == 1
+    assert medallion.ingest_new(lake, "things", path) == 0
+    spark.sql("SELECT 2 AS id, 'b' AS name").coalesce(1).write.mode("append").csv(path, header=True)
+    for name in spark.table(lake.name("bronze", "things")).select("_source_file").distinct().collect():
+        old = name[0].replace("file:", "").replace("%20", " ")
+    with open(old, "w") as file:  # were it read again, its new row would appear
+        file.write("id,name\n77,changed\n")
+    assert medallion.ingest_new(lake, "things", path) == 1
+    stored = lake.read("bronze", "things")
+    assert sorted((r.id, r.name) for r in stored.collect()) == [(1, "a"), (2, "b")]
+    assert stored.select("_source_file").distinct().count() == 2
