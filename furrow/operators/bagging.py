@@ -163,7 +163,10 @@ def fit_classifier(
     train: DataFrame, label: str, features: Sequence[str], key: str = "reading_id", *, numTrees: int, maxDepth: int,  # noqa: N803
     seed: int, draws: int = DRAWS,
 ) -> BaggedForest:
-    """A classifier of 0, 1, ..; ``key`` must be unique. The driver gets 31 edges a feature and the trees."""
+    """A classifier of 0, 1, ..; ``key`` must be unique. The driver gets 31 edges a feature and the trees.
+
+    NaN has a bin of its own; a NULL feature is refused.
+    """
 
     def member(trees: int, own_seed: int) -> RandomForestClassifier:
         return RandomForestClassifier(

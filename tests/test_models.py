@@ -118,11 +118,13 @@ def test_poisson_weights(spark):
 
 def test_constant_and_missing_features_and_a_rare_label(spark):
     frame = spark.range(80).select(
-        F.col("id").alias("reading_id"), F.lit(1.0).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id")).cast("double").alias("b"),
+        F.col("id").alias("reading_id"), F.lit(1.0).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id").cast("double")).otherwise(float("nan")).alias("b"),
         (F.col("id") == 79).cast("int").alias("label"),
     )
     model = models.fit_classifier(frame, "label", ["a", "b"], numTrees=6, draws=6)
     assert {len(r.probability) for r in model.transform(frame).collect()} == {2}
+    with pytest.raises(Exception):
+        models.fit_classifier(frame.withColumn("b", F.lit(None).cast("double")), "label", ["a", "b"], numTrees=1)
 
 
 def test_published_forecast(spark):
