@@ -290,7 +290,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, share: float = SHAR
     hits = written(_hits(documents, items, sizes, names), "window-hits")
     # windows that could not cover the share, each as often as the item holds it, end here: most meetings over a stock phrase do
     pairs = hits.join(items, "window").groupBy("_key", "item_id").agg(
-        (F.sum("times") * WINDOW).alias("most"), F.max("words").alias("words")
+        (F.sum("times") * WINDOW).alias("most"), F.min("words").alias("words")
     ).where(F.col("most") >= share * F.col("words")).select("_key", "item_id")
     texts = documents.select("_key", "doc_id", "text").join(written(hits.select("_key").distinct(), "hit-texts"), "_key")
     named = bench.select(F.col("item_id").alias("_item"), F.col("text").alias("item_text"))
