@@ -262,18 +262,37 @@ def test_words_beyond_the_exchanged_ones_find_their_kind(spark, monkeypatch):
     assert sum(r.score for r in held) > sum(r.base_score for r in held) * 0.85
 
 
-def test_best_class_equals_all_classes_tried(spark, monkeypatch):
-    monkeypatch.setattr(class_lm, "CLASSES", 4)
+def test_best_class_equals_all_classes_tried():
     rng = np.random.default_rng(2)
-    step, tokens = np.log10(rng.dirichlet(np.ones(4), 4)), rng.integers(1, 90, 4).astype(float)
-    rows = [(w, k, int(rng.integers(1, 9))) for w in range(30) for k in range(8) if rng.random() < 0.6]
-    found = class_lm.best_classes(spark.createDataFrame(rows, "number long, k int, n long"), step, tokens).collect()
-    for r in found:
+    size = class_lm.CLASSES
+    step, tokens = np.log10(rng.dirichlet(np.ones(size), size)), rng.integers(1, 90, size).astype(float)
+    counts = rng.integers(0, 9, (30, 2 * size)) * (rng.random((30, 2 * size)) < 0.3)
+    found = class_lm.best_of(counts.astype(float), step, tokens)
+    for row, best in zip(counts, found):
         likely = [
-            sum(n * (step[k, c] - math.log10(tokens[c] + 1) if k < 4 else step[c, k - 4]) for w, k, n in rows if w == r["number"])
-            for c in range(1, 4)
+            sum(n * (step[k, c] - math.log10(tokens[c] + 1) if k < size else step[c, k - size]) for k, n in enumerate(row))
+            for c in range(1, size)
         ]
-        assert r["class"] == 1 + likely.index(max(likely))
+        assert likely[best - 1] == pytest.approx(max(likely))
+
+
+def test_neighbours_are_summed_over_tasks(spark):
+    rows, _ = corpus_of_kinds(8, 90)
+    documents = spark.createDataFrame(rows, SCHEMA)
+    word, ending, _ = class_lm._tokens(pa.array([t for _, t in rows]))
+    words = np.unique(word)
+    classes = np.concatenate([1 + np.arange(len(words)) % 7, np.full(class_lm.UNIT_ENDINGS, 9)])
+    step = np.log10(np.random.default_rng(1).dirichlet(np.ones(class_lm.CLASSES), class_lm.CLASSES))
+    tokens = np.arange(1.0, class_lm.CLASSES + 1)
+    counts = np.zeros((len(words), 2 * class_lm.CLASSES))
+    for _, text in rows:
+        own = np.searchsorted(words, class_lm._tokens(pa.array([text]))[0])
+        path = [0, *classes[own], 0]
+        for i, w in enumerate(own):
+            counts[w, path[i]] += 1
+            counts[w, class_lm.CLASSES + path[i + 2]] += 1
+    found = class_lm.best_classes(class_lm.neighbours(documents.repartition(5), F.lit(True), words, classes), step, tokens).collect()
+    assert {r["number"]: r["class"] for r in found} == dict(enumerate(class_lm.best_of(counts, step, tokens).tolist()))
 
 
 def test_transitions_and_emissions_add_up(spark):
