@@ -25,6 +25,7 @@ from furrow.llm.common import small_batches, written
 from furrow.llm.words import signed, text_bytes, words
 
 SHARD_WORDS = 1 << 22  # words of a shard, unless one text alone has more
+BLOCK_ROWS = 1 << 18  # rows of a shard's index that are extended at once; more only for one word alone
 SHORT_CODES = 1 << 16  # words that are sent as small numbers; all others as their hashes
 SAMPLED_TEXTS = 20_000  # texts that the words with small numbers are chosen from; which they are changes no result
 UNKNOWN = "und"  # the language of rows without one
@@ -70,7 +71,13 @@ class ShardIndex:
         """The number before each place, places sorted by the three numbers from there on."""
         ahead = np.concatenate([sequence, sequence[:2]]).astype(np.int64)
         if self.size <= 1 << 21:
-            order = np.argsort((ahead[:-2] * self.size + ahead[1:-1]) * self.size + ahead[2:], kind="stable")
+            key = ahead[:-2] * self.size
+            key += ahead[1:-1]
+            key *= self.size
+            key += ahead[2:]
+            del ahead
+            order = np.argsort(key, kind="stable")
+            del key
         else:
             order = np.lexsort((ahead[2:], ahead[1:-1], ahead[:-2]))
         return sequence[order - 1]
@@ -111,11 +118,21 @@ class ShardIndex:
         """(pattern, word, count) of the words after each pattern, without intervals of their own."""
         return self._extended(patterns, self.after, patterns.mirror)[:3]
 
-    def left_pairs(self) -> Patterns:
-        """All pairs of words; only their mirror intervals, which is all a step to the right reads."""
-        alone = self.single()
+    def left_pairs(self, alone: Patterns | None = None) -> Patterns:
+        """Each single word with every word before it; only mirror intervals, which is all a step to the right reads."""
+        alone = self.single() if alone is None else alone
         owner, number, count, smaller = self._extended(alone, self.before, alone.low)
-        return Patterns(np.column_stack([number, owner + 1]), np.zeros(0, np.int64), alone.mirror[owner] + smaller, count)
+        words = np.column_stack([number, alone.words[owner, 0]])
+        return Patterns(words, np.zeros(0, np.int64), alone.mirror[owner] + smaller, count)
+
+    def blocks(self, rows: int) -> Iterator[Patterns]:
+        """The single words in order, a block of them at a time: as many as have ``rows`` rows, one at least."""
+        alone, begin = self.single(), 0
+        while begin < len(alone.count):
+            end = max(begin + 1, int(np.searchsorted(self.first[1:], alone.low[begin] + rows, "right")) - 1)
+            part = slice(begin, end)
+            yield Patterns(alone.words[part], alone.low[part], alone.mirror[part], alone.count[part])
+            begin = end
 
     def _step(self, transform: np.ndarray, number: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Where the rows begin that follow from ``number`` before the rows from ``place`` on (LF mapping)."""
@@ -142,24 +159,32 @@ class Shard:
 
         Words are told apart by their hashes, or by their place in ``short``, sorted hashes of common words.
         """
-        sequence = np.concatenate([np.zeros(1, np.uint64), *self.hashes, np.zeros(1, np.uint64)])
-        known, number = np.unique(sequence, return_inverse=True)
-        index = ShardIndex(number.astype(np.int32), len(known))
-        pairs = index.left_pairs()
-        owner, following, times = index.right_extensions(pairs)
-        alone = index.single()
-        spelled = [self.spelled[w] for w in signed(known)[1:].tolist()]
-        known, at = _codes(known, short), np.searchsorted(owner, np.arange(len(pairs.count) + 1))
+        known = np.sort(np.concatenate([np.zeros(1, np.int64), np.fromiter(self.spelled, np.int64)]).view(np.uint64))
+        hashes, self.hashes = self.hashes, []  # let go one by one
+        sequence, at = np.zeros(2 + sum(map(len, hashes)), np.int32), 1
+        while hashes:
+            part = hashes.pop(0)
+            sequence[at : at + len(part)] = np.searchsorted(known, part)
+            at += len(part)
+        index = ShardIndex(sequence, len(known))
+        del sequence
+        spelled, codes = self.spelled, _codes(known, short)
         yield _rows(lang, [None], [None], [self.words], [None])
-        yield _rows(lang, known[1:], [None] * len(alone.count), alone.count, spelled)
-        for low in range(0, len(pairs.count), 1 << 16):
-            high = min(low + (1 << 16), len(pairs.count))
-            inside, offsets = slice(at[low], at[high]), pa.array((at[low : high + 1] - at[low]).astype(np.int32))
-            yield _rows(
-                lang, known[pairs.words[low:high, 0]], known[pairs.words[low:high, 1]], pairs.count[low:high], None,
-                pa.ListArray.from_arrays(offsets, pa.array(known[following[inside]])),
-                pa.ListArray.from_arrays(offsets, pa.array(times[inside].astype(np.int32))),
-            )
+        for alone in index.blocks(BLOCK_ROWS):
+            words_of = [spelled.pop(w) for w in signed(known[alone.words[:, 0]]).tolist()]
+            yield _rows(lang, codes[alone.words[:, 0]], [None] * len(alone.count), alone.count, words_of)
+        for alone in index.blocks(BLOCK_ROWS):
+            pairs = index.left_pairs(alone)
+            owner, following, times = index.right_extensions(pairs)
+            at = np.searchsorted(owner, np.arange(len(pairs.count) + 1)).astype(np.int32)
+            for low in range(0, len(pairs.count), 1 << 16):
+                high = min(low + (1 << 16), len(pairs.count))
+                inside, offsets = slice(at[low], at[high]), pa.array(at[low : high + 1] - at[low])
+                yield _rows(
+                    lang, codes[pairs.words[low:high, 0]], codes[pairs.words[low:high, 1]], pairs.count[low:high], None,
+                    pa.ListArray.from_arrays(offsets, pa.array(codes[following[inside]])),
+                    pa.ListArray.from_arrays(offsets, pa.array(times[inside].astype(np.int32))),
+                )
 
 
 def _codes(hashes: np.ndarray, short: np.ndarray) -> np.ndarray:

@@ -140,6 +140,26 @@ def test_phrases_equal_brute_force(spark, monkeypatch, shard_words):
     assert phrase_rows(phrases.phrases(frame.repartition(3), least=4, top=30)) == phrases_by_hand(rows, 4, 30)
 
 
+@pytest.mark.parametrize("block_rows", [1 << 18, 7, 1])
+def test_a_shard_is_extended_in_blocks(monkeypatch, block_rows):
+    """Blocks hold their rows and no more unless one word has more; together they give each pair once, in order."""
+    monkeypatch.setattr(phrases, "BLOCK_ROWS", block_rows)
+    rng = np.random.default_rng(4)
+    sequence = np.concatenate([[0], rng.integers(0, 12, 300), [0]]).astype(np.int32)
+    index = phrases.ShardIndex(sequence, 12)
+    parts = list(index.blocks(phrases.BLOCK_ROWS))
+    assert [w for part in parts for w in part.words[:, 0].tolist()] == list(range(1, 12))
+    assert all(len(part.count) == 1 or part.count.sum() <= block_rows for part in parts)
+    text, found = sequence.tolist(), Counter()
+    for part in parts:
+        pairs = index.left_pairs(part)
+        owner, following, times = index.right_extensions(pairs)
+        found.update({tuple(w): n for w, n in zip(pairs.words.tolist(), pairs.count.tolist())})
+        found.update({(*pairs.words[o].tolist(), w): n for o, w, n in zip(owner.tolist(), following.tolist(), times.tolist())})
+    expected = Counter(tuple(text[i : i + k]) for k in (2, 3) for i in range(len(text) - k + 1) if 0 not in text[i : i + k])
+    assert found == expected
+
+
 def test_one_very_long_text_and_no_text(spark):
     row = ("en", ", ".join("to be or not to be" for _ in range(60000)))
     frame = spark.createDataFrame([row], "lang string, text string")
