@@ -31,10 +31,16 @@ DRAWS = 5  # bootstrap draws of a forest; its trees are shared out among them, o
 EDGE_ROWS = 50_000  # rows that the bin edges are read off, on average; all rows of smaller tables
 BINS = 32
 FITS_AT_ONCE = 5  # draws fitted side by side, so that small stages of one fill the gaps of another
+ROWS_OF_TASK = 500_000  # rows that one task reads at most where a number of partitions is chosen
 
 _BINNED = "_binned"
 
 
+def tasks_for(rows: DataFrame) -> int:
+    """How many tasks share out the rows, at least one."""
+    return max(1, math.ceil(rows.count() / ROWS_OF_TASK))
+
+
 def uniform(seed: int, name: str, key: str) -> Column:
     """A number in [0, 1) from a hash of the key; another one for another name or seed."""
     hashed = F.xxhash64(F.lit(seed), F.lit(name), F.col(key))

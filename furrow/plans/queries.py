@@ -915,11 +915,15 @@ def moisture_training_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def forest_repartition_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Test rows on which forests of the same rows in 1, 9 and 64 partitions differ, and their trees that do."""
+    """Test rows on which forests of the same rows in 1, 9 and 64 partitions differ, and their trees that do.
+
+    Beyond ``bagging.ROWS_OF_TASK`` training rows there are that many times as many, so that no task gets the whole table.
+    """
     train = _irrigation_vectors(spark, sf, "train")
+    times = bagging.tasks_for(train)
     fitted = [
         models.fit_classifier(
-            train.repartition(n), features.IRRIGATION_TARGET, features.IRRIGATION_FEATURES, numTrees=6, draws=3
+            train.repartition(n * times), features.IRRIGATION_TARGET, features.IRRIGATION_FEATURES, numTrees=6, draws=3
         ) for n in (1, 9, 64)
     ]
     scored = _irrigation_vectors(spark, sf, "test")

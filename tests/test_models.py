@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from furrow.operators import bagging, models
 from furrow.operators.bagging import BaggedForest
+from furrow.plans import queries
 from furrow.sources import shared
 
 
@@ -98,6 +99,22 @@ def test_edges_of_a_sample_do_not_depend_on_partitions(table, monkeypatch):
     assert edges[0] == edges[1] and len(edges[0][0]) > 10
 
 
+def test_no_task_of_the_repartition_check_gets_the_whole_table(spark, sf, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def seen(train, *rest, **settings):
+        raise Seen(train.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first())
+
+    monkeypatch.setattr(models, "fit_classifier", seen)
+    monkeypatch.setattr(bagging, "ROWS_OF_TASK", 20)
+    with pytest.raises(Seen) as found:  # the first forest's, of the fewest partitions
+        queries.forest_repartition_check(spark, sf)
+    most, rows = found.value.args[0]
+    assert rows > 100 and most < 40
+    assert (bagging.tasks_for(spark.range(61)), bagging.tasks_for(spark.range(0))) == (4, 1)
+
+
 def test_votes_of_draws_are_those_of_one_forest(spark, table):
     """Raw votes add up over draws, probabilities to one; the most voted label is predicted, of equal ones the smaller."""
     split = vectors(table)
