@@ -4,18 +4,22 @@ Words belong to classes; a text's probability is the product of class transition
 emission of each word by its class. Exchange clustering moves the most frequent words one at a time, on a
 table of how often they follow each other in which all other words go by their endings. Then, in rounds over
 the whole corpus, every word of the vocabulary of 65,536 is moved to the class that fits its own
-counts of classes before and after it best, and so is each group of words beyond it with one ending; words that the
-corpus does not hold have the class of their ending. Word and class counts cover the whole corpus. The
-logarithms of words outside the vocabulary come by a join.
+counts of classes before and after it best, and so is each group of words beyond it with one ending. With ``every=True``
+each word beyond the vocabulary then moves to the class that its own neighbours fit as well, however many such
+words there are: they are shuffled by word and never held in one place. Words that the corpus does not hold have the class
+of their ending. Word and class counts cover the whole corpus. The logarithms and classes of words outside the
+vocabulary come by a join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count as count_up
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,10 @@ ROUNDS = 2  # in which the rest of the vocabulary moves, all words at once
 TRANSITION_ADD = 0.5
 END = np.int64(-0x45E4D)  # stands for the end of a text, as a word hash
 KEPT_WORDS = 1_000_000  # word counts that a training task holds before it sends them
+SETTLED = 250_000  # occurrences of words beyond the vocabulary that are settled together, on average
+BESIDE = 16_384  # words whose neighbours' classes are counted at once there
+RARE = 128  # added to a class where the word is beyond the vocabulary, so that its own class may differ; above CLASSES
+PACK = 65_536  # tokens of texts that are scored together, if a text is not longer
 
 
 @dataclass(frozen=True)
@@ -132,8 +140,7 @@ def unit_bigrams(documents: DataFrame, learn: Column, words: np.ndarray, unit: n
             if batch.num_rows:
                 word, ending, at = _tokens(batch.column("text"))
                 full, _ = _sequence(_units(*sent.value, word, ending, alone), at)
-                found, n = np.unique(full[:-1] * size + full[1:], return_counts=True)
-                total[found] += n.astype(np.int32)
+                np.add.at(total, full[:-1] * size + full[1:], 1)
         found = np.flatnonzero(total)
         for low in range(0, len(found), 100_000):
             part = found[low : low + 100_000]
@@ -229,8 +236,7 @@ def _totals(rows: Iterator[pa.RecordBatch], size: int, count) -> np.ndarray:
     total = np.zeros(size, np.int64)
     for batch in rows:
         if batch.num_rows:
-            found, n = np.unique(count(*_tokens(batch.column("text"))), return_counts=True)
-            total[found] += n
+            np.add.at(total, count(*_tokens(batch.column("text"))), 1)
     return total
 
 
@@ -321,13 +327,148 @@ def best_classes(found: DataFrame, log_step: np.ndarray, tokens: np.ndarray) ->
     return found.repartition("part").sortWithinPartitions("part").mapInArrow(run, "number int, class int")
 
 
+def rest_pairs(documents: DataFrame, learn: Column, words: np.ndarray, classes: np.ndarray, parts: int) -> DataFrame:
+    """Occurrences of all training words beyond the vocabulary with what stands beside them, packed by part of a hash.
+
+    ``word`` and the classes ``before`` and ``after`` it, which have RARE added where the neighbour is beyond the vocabulary
+    as well; ``next`` is the word after it in that case. Rows with a negative part, -1 - code, count transitions of
+    current classes: code below CLASSES ** 2 all of them, above only those between words of the vocabulary.
+    """
+    small_batches(documents.sparkSession)
+    size = CLASSES * CLASSES
+    names = ["part", "n", "word", "before", "after", "next"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, held, kept = np.zeros(2 * size, np.int64), [], 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            word, before, after, following = (np.concatenate(x) for x in zip(*held))
+            part = (word.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            word, before, after, following, part = word[order], before[order], after[order], following[order], part[order]
+            used, begin = np.unique(part, return_index=True)
+            for p, a, b in zip(used.tolist(), begin, [*begin[1:], len(part)]):
+                packed = (word[a:b], before[a:b], after[a:b], following[a:b][after[a:b] >= RARE])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p], pa.int32()), pa.array([0], pa.int64()), *(pa.array([x.tobytes()], pa.binary()) for x in packed)],
+                    names=names,
+                )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word, ending, at = _tokens(batch.column("text"))
+            number = _numbers(words, word, ending)
+            cls, _ = _sequence(classes[number], at)
+            beyond = _sequence(number >= len(words), at)[0].astype(bool)
+            code = cls[:-1] * CLASSES + cls[1:]
+            table[:size] += np.bincount(code, minlength=size)
+            table[size:] += np.bincount(code[~beyond[:-1] & ~beyond[1:]], minlength=size)
+            own, _ = _sequence(word, at)
+            marked = (cls + RARE * beyond).astype(np.uint8)
+            here = np.flatnonzero(beyond)
+            held.append((own[here], marked[here - 1], marked[here + 1], own[here + 1]))
+            kept += len(here)
+            if kept > KEPT_WORDS:
+                yield from sent()
+                held.clear()
+                kept = 0
+        if kept:
+            yield from sent()
+        used = np.flatnonzero(table)
+        none = pa.nulls(len(used), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array((-1 - used).astype(np.int32)), pa.array(table[used]), *[none] * 4], names=names)
+
+    rows = documents.select("text").where(F.coalesce(learn, F.lit(False)))
+    return rows.mapInArrow(run, "part int, n long, word binary, before binary, after binary, next binary")
+
+
+def settled(pairs: DataFrame, log_step: np.ndarray, tokens: np.ndarray) -> DataFrame:
+    """Each word of ``rest_pairs`` with n and the class that its neighbours fit best, and the transitions that follow.
+
+    Rows with a word and ``before`` -1 are the words. Rows without a word count n transitions from class ``before`` to
+    ``class``; rows with both say that class ``before`` stands n times before the word.
+    """
+
+    def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        word, before, after, following = (np.concatenate(x) for x in zip(*held))
+        found, place, n = np.unique(word, return_inverse=True, return_counts=True)
+        order = np.argsort(place, kind="stable")
+        begin = np.append(0, np.cumsum(n))
+        chosen = np.zeros(len(found), np.int64)
+        for low in range(0, len(found), BESIDE):
+            high = min(low + BESIDE, len(found))
+            own = order[begin[low] : begin[high]]
+            row = (place[own] - low) * (2 * CLASSES)
+            code = np.concatenate([row + before[own] % RARE, row + CLASSES + after[own] % RARE])
+            beside = np.bincount(code, minlength=(high - low) * 2 * CLASSES).reshape(high - low, 2 * CLASSES)
+            chosen[low:high] = best_of(beside.astype(float), log_step, tokens)
+        yield rows(found, n, chosen, np.full(len(found), -1))
+        own = chosen[place]
+        into, out = before < RARE, after < RARE
+        codes, times = np.unique(np.concatenate([before[into] * np.int64(CLASSES) + own[into], own[out] * CLASSES + after[out]]), return_counts=True)
+        yield rows(None, times, codes % CLASSES, codes // CLASSES)
+        links, times = np.unique(np.stack([following, own[~out]]), axis=1, return_counts=True)
+        yield rows(links[0], times, np.full(len(times), -1), links[1])
+
+    def rows(word: np.ndarray | None, n: np.ndarray, cls: np.ndarray, before: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(len(n), pa.int64()) if word is None else pa.array(word), pa.array(n.astype(np.int64)),
+             pa.array(cls.astype(np.int32)), pa.array(before.astype(np.int32))],
+            names=["word", "n", "class", "before"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+        kinds = [np.int64, np.uint8, np.uint8, np.int64]
+        for batch in batches:
+            for part, *packed in zip(*(batch.column(name).to_pylist() for name in ["part", "word", "before", "after", "next"])):
+                if part != current:
+                    if held:
+                        yield from settle(held)
+                    current, held = part, []
+                held.append(tuple(np.frombuffer(x, kind) for x, kind in zip(packed, kinds)))
+        if held:
+            yield from settle(held)
+
+    small_batches(pairs.sparkSession)
+    shuffled = pairs.where("part >= 0").drop("n").repartition("part").sortWithinPartitions("part")
+    return shuffled.mapInArrow(run, "word long, n long, class int, before int")
+
+
+def settle_rest(
+    documents: DataFrame, learn: Column, words: np.ndarray, classes: np.ndarray, occurrences: int
+) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """word, n and class of every training word beyond the vocabulary; then the table of transitions, and the types of each class."""
+    pairs = written(rest_pairs(documents, learn, words, classes, -(-occurrences // SETTLED)), "lm-rest-pairs")
+    size = CLASSES * CLASSES
+    tables = np.zeros(2 * size)
+    for row in pairs.where("part < 0").groupBy("part").agg(F.sum("n").alias("n")).collect():
+        tables[-1 - row.part] = row.n
+    current, table = tables.reshape(2, CLASSES, CLASSES)
+    found = written(settled(pairs, _log_step(current), current.sum(axis=0)), "lm-rest")
+    rest = found.where("word is not null and before = -1").select("word", "n", "class")
+    cells = found.where("word is null").select("before", "class", "n")
+    links = found.where("word is not null and before >= 0").select("word", "before", F.col("n").alias("times"))
+    linked = links.join(rest, "word").select("before", "class", F.col("times").alias("n"))
+    for row in cells.unionByName(linked).groupBy("before", "class").agg(F.sum("n").alias("n")).collect():
+        table[row["before"], row["class"]] += row["n"]
+    kinds = np.zeros(CLASSES)
+    for row in rest.groupBy("class").count().collect():
+        kinds[row["class"]] = row["count"]
+    return rest, table, kinds
+
+
 def _log_step(table: np.ndarray) -> np.ndarray:
     return np.log10(table + TRANSITION_ADD) - np.log10(table.sum(axis=1, keepdims=True) + TRANSITION_ADD * CLASSES)
 
 
-def train(documents: DataFrame, learn: Column) -> tuple[Tables, DataFrame, int, int]:
+def train(documents: DataFrame, learn: Column, every: bool = False) -> tuple[Tables, DataFrame, int, int]:
     """The model, the counts of all training words, and their tokens and types (ends included).
 
+    With ``every``, each word beyond the vocabulary has a class of its own choice, which comes with its count in a column
+    ``class``; else such words share the class of their ending. The counts hold then no words of the vocabulary.
+
     The driver gets the vocabulary with its counts and classes, the table of units, and tables of classes; their
     sizes are fixed. Null texts count as empty, repeated rows count each, and without training rows every
     word is unseen.
@@ -347,21 +488,29 @@ def train(documents: DataFrame, learn: Column) -> tuple[Tables, DataFrame, int,
         member[np.where(unit > 0, unit, 1 + UNIT_WORDS + endings)] if len(words) else np.zeros(0, np.int64), member[1 + UNIT_WORDS :]
     ])
     table, fixed = _class_table(pairs, member, CLASSES), np.flatnonzero(unit > 0)
-    for _ in range(ROUNDS if tokens else 0):
+    beyond = tokens - int(n.sum()) - int(table[0].sum())
+    for left in reversed(range(ROUNDS if tokens else 0)):
         moved = best_classes(neighbours(documents, learn, words, classes), _log_step(table), table.sum(axis=0)).collect()
         own = classes[fixed].copy()
         for row in moved:
             classes[row["number"]] = row["class"]
         classes[fixed] = own
-        table = class_pairs(documents, learn, words, classes)
+        if left or not (every and beyond):
+            table = class_pairs(documents, learn, words, classes)
+    kinds = np.zeros(CLASSES)
+    if every and beyond:
+        rest, table, kinds = settle_rest(documents, learn, words, classes, beyond)
+        ends = counts.where(F.col("word") == int(END)).select("word", "n", F.lit(0).alias("class"))
+        counts = rest.unionByName(ends)
+    else:
+        of_ending = np.zeros(UNIT_ENDINGS)
+        for row in counts.where(F.col("word") != int(END)).groupBy("ending").count().collect():
+            of_ending[row.ending] = row["count"]
+        np.subtract.at(of_ending, endings, 1)
+        np.add.at(kinds, classes[len(words) :], of_ending)
     # tokens and types of each class, over the whole vocabulary
-    in_class, kinds = table.sum(axis=0), np.zeros(CLASSES)
+    in_class = table.sum(axis=0)
     np.add.at(kinds, classes[: len(words)], 1)
-    of_ending = np.zeros(UNIT_ENDINGS)
-    for row in counts.where(F.col("word") != int(END)).groupBy("ending").count().collect():
-        of_ending[row.ending] = row["count"]
-    np.subtract.at(of_ending, endings, 1)
-    np.add.at(kinds, classes[len(words) :], of_ending)
     log_emit = np.log10(in_class + kinds + 1)
     log_emit[0] = np.log10(in_class[0] + 1) if in_class[0] else 0.0
     return Tables(words, n, classes, log_emit, _log_step(table)), counts, tokens, types
@@ -379,58 +528,73 @@ def score(documents: DataFrame, tables: Tables, counts: DataFrame, tokens: int,
     base = float(np.log10(tokens + types + 1))
     end_log = float(np.log10(counts.where(F.col("word") == int(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + 1))
 
-    def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Tables = sent.value
-        word, ending, at = _tokens(batch.column("text"))
-        cls, ends = _sequence(model.classes[_numbers(model.words, word, ending)], at)
-        steps = model.log_step[cls[:-1], cls[1:]] - model.log_emit[cls[1:]]
-        size = np.diff(at)
-        place = np.minimum(np.searchsorted(model.words, word), max(0, len(model.words) - 1))
-        known = model.words[place] == word if len(model.words) else np.zeros(len(word), bool)
-        logs = np.where(known, np.log10(model.counts[place] + 1) if len(model.words) else 0, 0.0)
-        sums = np.append(0, np.cumsum(steps))
-        log_sums, known_sums = np.append(0, np.cumsum(logs)), np.append(0, np.cumsum(known))
-        begin = np.append(0, ends[:-1]) if len(ends) else ends
-        path = sums[ends] - sums[begin]
-        frequent = log_sums[at[1:]] - log_sums[at[:-1]]
-        rest, times, owner = [], [], np.repeat(np.arange(len(size)), size)[~known]
-        rare = word[~known]
-        cuts = np.searchsorted(owner, np.arange(len(size) + 1))
-        for a, b in zip(cuts, cuts[1:]):
-            found, n = np.unique(rare[a:b], return_counts=True)
-            rest.append(found)
-            times.append(n.astype(np.int32))
-        offsets = np.append(0, np.cumsum([len(x) for x in rest])).astype(np.int32)
-        joined = np.concatenate(rest) if rest else np.zeros(0, np.int64)
-        joined_n = np.concatenate(times) if times else np.zeros(0, np.int32)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("_key"), pa.array(size + 1, pa.int64()),
-             pa.array((known_sums[at[1:]] - known_sums[at[:-1]]).astype(np.int64)), pa.array(frequent), pa.array(path),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(joined)),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(joined_n))],
-            names=["doc_id", "_key", "n_tokens", "known", "logs", "path", "rare", "times"],
-        )
-
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_key"), "text")
-    schema = "doc_id long, _key long, n_tokens long, known long, logs double, path double, rare array<long>, times array<int>"
-    scored = written(per_batch(rows, convert, schema), "lm-rows")
-    each = scored.select("doc_id", "_key", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
-        "doc_id", "_key", F.col("x.rare").alias("word"), F.col("x.times").alias("times")
-    )
-    looked_up = each.join(counts.select("word", "n"), "word")
-    own = looked_up.groupBy("doc_id", "_key").agg(
-        F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_logs")
-    )
-    # repeated rows each send their words, so their sums are shared
-    copies = scored.groupBy("doc_id", "_key").agg(F.count("*").alias("copies"))
-    own = own.join(copies, own.doc_id.eqNullSafe(copies.doc_id) & (own._key == copies._key)).select(
-        own.doc_id.alias("_id"), own._key.alias("_k"), (F.col("rare_known") / F.col("copies")).cast("long").alias("rare_known"),
-        (F.col("rare_logs") / F.col("copies")).alias("rare_logs"),
-    )
-    all_ = scored.drop("rare", "times").join(own, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k")), "left")
-    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0)) + F.lit(end_log)
-    return all_.select(
-        "doc_id", "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0)) + F.lit(1 if end_log > 0 else 0)).alias("n_known"),
-        (logs - F.col("n_tokens") * F.lit(base)).alias("base_score"), (logs + F.col("path")).alias("score"),
+        task, own = TaskContext.get().partitionId(), count_up()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word, ending, at = _tokens(batch.column("text"))
+            number = _numbers(model.words, word, ending)
+            known = number < len(model.words)
+            cls = (model.classes[number] + RARE * ~known).astype(np.uint8)
+            log = np.zeros(len(word))
+            log[known] = np.log10(model.counts[number[known]] + 1)
+            low = 0
+            while low < batch.num_rows:
+                high = max(low + 1, int(np.searchsorted(at, at[low] + PACK, "right")) - 1)
+                a, b = at[low], at[high]
+                rare, spots = np.unique(word[a:b][~known[a:b]], return_inverse=True)
+                owner = np.repeat(np.arange(high - low), np.diff(at[low : high + 1]))
+                packed = [
+                    np.diff(at[low : high + 1]).astype(np.int64), np.bincount(owner, known[a:b], high - low).astype(np.int64),
+                    np.bincount(owner, log[a:b], high - low), cls[a:b], spots.astype(np.int32),
+                ]
+                ids = batch.column("doc_id").slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([(task << 32) + next(own)], pa.int64()), _listed(ids),
+                     *(pa.array([x.tobytes()], pa.binary()) for x in packed), _listed(pa.array(rare, pa.int64()))],
+                    names=["pack", "ids", "size", "known", "logs", "cls", "spots", "rare"],
+                )
+                low = high
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Tables = sent.value
+        kinds = {"size": np.int64, "known": np.int64, "logs": float, "cls": np.uint8, "spots": np.int32}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                size, known, logs, cls, spots = (np.frombuffer(batch.column(name)[i].as_py(), kind) for name, kind in kinds.items())
+                own, times = np.full(int(spots.max(initial=-1)) + 1, -1), np.zeros(int(spots.max(initial=-1)) + 1)
+                found = batch.column("found")[i]
+                if found.is_valid:
+                    place, chosen, n = (found.values.field(k).to_numpy() for k in range(3))
+                    own[place], times[place] = chosen, n
+                beyond = cls >= RARE
+                cls, chosen, times = (cls % RARE).astype(np.int64), own[spots], times[spots]
+                cls[beyond] = np.where(chosen >= 0, chosen, cls[beyond])
+                full, ends = _sequence(cls, np.append(0, np.cumsum(size)))
+                steps = model.log_step[full[:-1], full[1:]] - model.log_emit[full[1:]]
+                path = np.add.reduceat(steps, np.append(0, ends[:-1]))
+                owner = np.repeat(np.arange(len(size)), size)[beyond]
+                known = known + np.bincount(owner, times > 0, len(size)).astype(np.int64) + (end_log > 0)
+                logs = logs + np.bincount(owner, np.log10(times + 1), len(size)) + end_log
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("ids")[i].values, pa.array(size + 1), pa.array(known), pa.array(logs - (size + 1) * base), pa.array(logs + path)],
+                    names=["doc_id", "n_tokens", "n_known", "base_score", "score"],
+                )
+
+    small_batches(spark)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = "pack long, ids array<long>, size binary, known binary, logs binary, cls binary, spots binary, rare array<long>"
+    scored = written(rows.mapInArrow(packs, schema), "lm-rows")
+    chosen = F.col("class") if "class" in counts.columns else F.lit(-1).alias("class")
+    each = scored.select("pack", F.posexplode("rare").alias("place", "word")).join(counts.select("word", "n", chosen), "word")
+    found = each.repartition("pack").groupBy("pack").agg(F.collect_list(F.struct("place", "class", "n")).alias("found"))
+    return scored.drop("rare").join(found, "pack", "left").mapInArrow(
+        finish, "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
+
+
+def _listed(values: pa.Array) -> pa.ListArray:
+    """All values as the one list of a column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)

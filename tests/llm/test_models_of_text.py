@@ -295,6 +295,52 @@ def test_neighbours_are_summed_over_tasks(spark):
     assert {r["number"]: r["class"] for r in found} == dict(enumerate(class_lm.best_of(counts, step, tokens).tolist()))
 
 
+def test_every_word_beyond_the_vocabulary_has_its_own_class(spark, monkeypatch):
+    """Words with one ending but different neighbours are parted there too; all counts and scores follow from the classes."""
+    monkeypatch.setattr(class_lm, "UNIT_WORDS", 60)
+    monkeypatch.setattr(class_lm, "FREQUENT", 120)
+    monkeypatch.setattr(class_lm, "SETTLED", 500)
+    monkeypatch.setattr(class_lm, "BESIDE", 7)
+    monkeypatch.setattr(class_lm, "PACK", 90)
+    rows, kinds = corpus_of_kinds(5, 400)
+    odd = [(900, "p1xyz unseenword q2xyz unseenxyz"), (901, None), (None, "q3xyz"), (3, rows[3][1]), (902, "")]
+    documents = spark.createDataFrame([*rows, *odd], SCHEMA).repartition(5)
+    learn = F.col("doc_id") < 350
+    tables, counts, tokens, types = class_lm.train(documents, learn, every=True)
+    place = {int(w): i for i, w in enumerate(tables.words)}
+    rest = {r["word"]: (r["class"], r["n"]) for r in counts.where(F.col("word") != int(class_lm.END)).collect()}
+    assert len(place) == 120 and len(place) + len(rest) + 1 == types
+
+    def classes(text):
+        word, ending, _ = class_lm._tokens(pa.array([text]))
+        ending_of = lambda w, e: int(tables.classes[place.get(w, len(place) + e)])
+        return [(w, rest[w][0] if w in rest else ending_of(w, e)) for w, e in zip(word.tolist(), ending.tolist())]
+
+    beyond = [{c for w, c in classes(" ".join(kind)) if w in rest} for kind in kinds[:2]]
+    assert all(beyond) and not beyond[0] & beyond[1]
+    table, seen, n = np.zeros((class_lm.CLASSES, class_lm.CLASSES)), {}, {}
+    for doc_id, text in [*rows, rows[3]]:
+        if doc_id < 350:
+            path = [(None, 0), *classes(text), (None, 0)]
+            for (_, b), (w, c) in zip(path, path[1:]):
+                table[b, c] += 1
+                n[w] = n.get(w, 0) + 1
+                seen.setdefault(c, set()).add(w)
+    assert table.sum() == tokens and all(n[w] == m for w, (_, m) in rest.items())
+    assert np.allclose(tables.log_step, class_lm._log_step(table))
+    found = class_lm.score(documents, tables, counts, tokens, types).collect()
+    assert len(found) == len(rows) + len(odd)
+    texts = dict([*rows, *odd])
+    for r in found:
+        path = [(None, 0), *classes(texts[r.doc_id] or ""), (None, 0)]
+        score = sum(
+            tables.log_step[b, c] + math.log10((n.get(w, 0) + 1) / (table[:, c].sum() + (len(seen.get(c, ())) + 1 if w is not None else 1)))
+            for (_, b), (w, c) in zip(path, path[1:])
+        )
+        assert r.score == pytest.approx(score) and r.n_known == sum(w in n for w, _ in path[1:])
+        assert r.base_score == pytest.approx(sum(math.log10((n.get(w, 0) + 1) / (tokens + types + 1)) for w, _ in path[1:]))
+
+
 def test_transitions_and_emissions_add_up(spark):
     rows = [(i, "the cat sat on the mat and the dog ran") for i in range(9)]
     tables, counts, _, _ = class_lm.train(spark.createDataFrame(rows, SCHEMA), F.lit(True))
