@@ -137,31 +137,37 @@ def _fit(
     member: Callable[[int, int], object], classes: bool,
 ) -> BaggedForest:
     columns = train.select(key, *(F.col(name).cast("double").alias(name) for name in features), label)
-    rows, largest = columns.agg(F.count(F.lit(1)), F.max(label)).first()
-    names = [f"_bin_{i}" for i in range(len(features))]
-    bins = Bucketizer(
-        inputCols=list(features), outputCols=names, handleInvalid="keep",
-        splitsArray=[[-math.inf, *edges, math.inf] for edges in _edges(columns, features, key, seed, rows)],
-    )
-    vector = VectorAssembler(inputCols=names, outputCol=_BINNED)
-    # a draw that lacks the last label still votes on it
-    of_label = {"ml_attr": {"type": "nominal", "num_vals": int(largest) + 1}} if classes and largest is not None else None
-    target = F.col(label).cast("double").alias(label, metadata=of_label) if of_label else F.col(label).cast("double").alias(label)
-    # bins are ordered: as plain numbers they are split by order, with the bins' own metadata as sets of categories
-    ordered = bins.transform(columns).withColumns({name: F.col(name) + F.lit(0.0) for name in names})
-    binned = vector.transform(ordered).select(key, _BINNED, target)
-    binned = binned.persist(StorageLevel.MEMORY_AND_DISK)  # lost blocks are binned again
-    draws = min(draws, trees)
-
-    def one(draw: int) -> Model:
-        weighted = binned.withColumn("_weight", poisson_weight(seed, draw, key)).where("_weight > 0")
-        return member(trees // draws + (draw < trees % draws), seed * 1009 + draw).fit(weighted)
-
+    columns = columns.persist(StorageLevel.MEMORY_AND_DISK)  # counted, sampled and binned from one scan
     try:
-        with ThreadPoolExecutor(min(FITS_AT_ONCE, draws)) as pool:
-            members = list(pool.map(inheritable_thread_target(train.sparkSession)(one), range(draws)))
+        rows, largest = columns.agg(F.count(F.lit(1)), F.max(label)).first()
+        names = [f"_bin_{i}" for i in range(len(features))]
+        bins = Bucketizer(
+            inputCols=list(features), outputCols=names, handleInvalid="keep",
+            splitsArray=[[-math.inf, *edges, math.inf] for edges in _edges(columns, features, key, seed, rows)],
+        )
+        vector = VectorAssembler(inputCols=names, outputCol=_BINNED)
+        # a draw that lacks the last label still votes on it
+        of_label = {"ml_attr": {"type": "nominal", "num_vals": int(largest) + 1}} if classes and largest is not None else None
+        target = F.col(label).cast("double").alias(label, metadata=of_label) if of_label else F.col(label).cast("double").alias(label)
+        # bins are ordered: as plain numbers they are split by order, with the bins' own metadata as sets of categories
+        ordered = bins.transform(columns).withColumns({name: F.col(name) + F.lit(0.0) for name in names})
+        binned = vector.transform(ordered).select(key, _BINNED, target)
+        binned = binned.persist(StorageLevel.MEMORY_AND_DISK)  # lost blocks are binned again
+        draws = min(draws, trees)
+
+        def one(draw: int) -> Model:
+            weighted = binned.withColumn("_weight", poisson_weight(seed, draw, key)).where("_weight > 0")
+            return member(trees // draws + (draw < trees % draws), seed * 1009 + draw).fit(weighted)
+
+        try:
+            binned.count()
+            columns.unpersist()  # only the bins stay while the draws are fitted
+            with ThreadPoolExecutor(min(FITS_AT_ONCE, draws)) as pool:
+                members = list(pool.map(inheritable_thread_target(train.sparkSession)(one), range(draws)))
+        finally:
+            binned.unpersist()
     finally:
-        binned.unpersist()
+        columns.unpersist()
     return BaggedForest(bins, vector, members)
 
 

@@ -92,6 +92,23 @@ def test_forests_do_not_depend_on_partitions(table):
         assert pick(fitted[0]) == pick(fitted[1]) == pick(fitted[2])
 
 
+def test_a_fit_reads_its_rows_once(spark, table):
+    """Counting, bin edges and binning share one scan, and nothing stays cached."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for fit, target in ((models.fit_classifier, "label"), (models.fit_regressor, "value")):
+        before = read.value
+        fit(table.mapInArrow(seen, table.schema), target, ["a", "b"], numTrees=4, draws=2)
+        assert read.value - before == table.count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+
+
 def test_edges_of_a_sample_do_not_depend_on_partitions(table, monkeypatch):
     """More rows than the edges are read off: the sample must be the same rows."""
     monkeypatch.setattr(bagging, "EDGE_ROWS", 100)
